@@ -53,13 +53,15 @@ class Warehouse:
     dim_tracks: DataFrame
     track_metadata: DataFrame
     weather: DataFrame
+    staged: DataFrame           # clean plays with their row id (every clean play)
     rows: dict = field(default_factory=dict)
 
     def fact_streams(self) -> DataFrame:
         return self.plays.select(*star.FACT_COLUMNS)
 
     def dim_date(self) -> DataFrame:
-        return self.plays.select("date_id", *star.DATE_COLUMNS)
+        """One row per clean play (not only those that reached the fact)."""
+        return self.staged.select(F.col("row_id").alias("date_id"), *star.DATE_COLUMNS)
 
 
 def _write(df: DataFrame, path: str) -> DataFrame:
@@ -95,17 +97,19 @@ def build_warehouse(spark: SparkSession, sources: Sources, root: str) -> Warehou
                   p("track_metadata"))
     weather = _write(weather_op.dim_weather(sources.weather, plays), p("dim_weather"))
 
-    return Warehouse(spark, root, sources, clean, plays, artists, tracks, meta, weather,
+    return Warehouse(spark, root, sources, clean, plays, artists, tracks, meta, weather, staged,
                      rows={"dim_artists": n_artists, "dim_tracks": n_tracks})
 
 
 def load_warehouse(spark: SparkSession, sources: Sources, root: str) -> Warehouse:
     """Open a warehouse written earlier by ``build_warehouse``."""
     r = lambda name: spark.read.parquet(path_join(root, name))
-    clean = r("streaming_clean").drop(keys.PART, keys.SEQ)
+    ranged = r("streaming_clean")
+    staged = keys.attach_ids(ranged, "row_id", r("streaming_clean_offsets"))
+    clean = ranged.drop(keys.PART, keys.SEQ)
     artists, tracks = r("dim_artists"), r("dim_tracks")
     return Warehouse(spark, root, sources, clean, r("plays"), artists, tracks,
-                     r("track_metadata"), r("dim_weather"),
+                     r("track_metadata"), r("dim_weather"), staged,
                      rows={"dim_artists": _count(artists), "dim_tracks": _count(tracks)})
 
 
