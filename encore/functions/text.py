@@ -5,13 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters Python's str.strip() removes (str.isspace),
-# written as one regular-expression class that both Java regex and RE2 accept.
-WHITESPACE_CLASS = (
-    r"[\t\n\x0b\x0c\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-)
-STRIP_PATTERN = f"^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$"
+# The characters Python's str.strip() removes (str.isspace).
+WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+              "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+              "\u2028\u2029\u202f\u205f\u3000")
 
 # Platform string (lower-cased, stripped) -> platform group.
 # Anything else, including the "unknown" placeholder, maps to "other".
@@ -27,7 +24,8 @@ MISSING_TEXT = "unknown"
 
 
 def strip(col: Column) -> Column:
-    return F.regexp_replace(col, STRIP_PATTERN, "")
+    """Both-ends trim of every character in ``WHITESPACE`` (no regex)."""
+    return F.btrim(col, F.lit(WHITESPACE))
 
 
 def normalise_country(col: Column) -> Column:
