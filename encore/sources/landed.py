@@ -69,7 +69,7 @@ def weather_rows(payloads: DataFrame) -> DataFrame:
         "_ok", F.when(F.coalesce(F.size(d["time"]), F.lit(-1)) > 0, F.lit(True))
                 .otherwise(F.raise_error(F.concat(F.lit("no daily data returned for "),
                                                   F.coalesce(F.col("city"), F.lit("?"))))))
-    return (checked.select("country", "city", "_ok", F.inline(zipped))
+    return (checked.where(F.col("_ok")).select("country", "city", F.inline(zipped))
             .select(F.to_date("time").alias("date"), "temp_max", "temp_min", "temp_mean",
                     "precipitation", "sunshine_duration", "wind_speed_max", "country", "city"))
 
