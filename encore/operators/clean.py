@@ -82,7 +82,7 @@ def typed_rows(raw: DataFrame) -> DataFrame:
     )
 
 
-def with_derived(base: DataFrame) -> DataFrame:
+def with_derived(base: DataFrame, keep: list[str] | tuple = ()) -> DataFrame:
     ts = F.col("played_at")
     cols = {
         "platform_group": text.platform_group(F.col("platform")),
@@ -90,7 +90,7 @@ def with_derived(base: DataFrame) -> DataFrame:
         **calendar.calendar_columns(ts),
         "track_id": text.last_uri_segment(F.col("track_uri")),
     }
-    return base.select(*BASE_COLUMNS, *[v.alias(k) for k, v in cols.items()])
+    return base.select(*BASE_COLUMNS, *[v.alias(k) for k, v in cols.items()], *keep)
 
 
 def clean_plays(raw: DataFrame) -> DataFrame:
@@ -105,13 +105,14 @@ def removed_rows(raw: DataFrame, clean: DataFrame) -> DataFrame:
     """E2: rows removed by the junk filters, counted after the music filter.
 
     ``removed_from_raw`` also counts the non-music rows (raw minus clean).
-    Three one-row aggregates combined through scalar subqueries (no join).
+    One pass over the raw rows, and the clean count as a scalar subquery.
     """
-    n = lambda df: df.agg(F.count(F.lit(1))).scalar()
-    out = clean.agg(F.count(F.lit(1)).alias("clean_rows"))
-    out = out.select(n(raw).alias("raw_rows"), n(music_rows(raw)).alias("music_rows"), "clean_rows")
+    r = renamed(raw)
+    is_music = F.col("track_name").isNotNull() & F.col("artist_name").isNotNull()
+    clean_rows = clean.agg(F.count(F.lit(1))).scalar()
+    out = r.agg(F.count(F.lit(1)).alias("raw_rows"), F.count_if(is_music).alias("music_rows"))
     return out.select(
-        "raw_rows", "music_rows", "clean_rows",
-        (F.col("music_rows") - F.col("clean_rows")).alias("removed_rows"),
-        (F.col("raw_rows") - F.col("clean_rows")).alias("removed_from_raw"),
+        "raw_rows", "music_rows", clean_rows.alias("clean_rows"),
+        (F.col("music_rows") - clean_rows).alias("removed_rows"),
+        (F.col("raw_rows") - clean_rows).alias("removed_from_raw"),
     )

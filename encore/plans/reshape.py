@@ -10,6 +10,7 @@ from encore.functions.calendar import SEASONS, WEEKDAYS, rank_of
 from encore.functions.labels import period_label
 from encore.functions.numeric import half_even, mean_half_even
 from encore.plans import listening
+from encore.sources.adapters import constant_table
 from encore.sources.warehouse import Warehouse
 
 HOUR_COLUMNS = [f"h{h:02d}" for h in range(24)]
@@ -21,7 +22,7 @@ def heatmap_grid(wh: Warehouse) -> DataFrame:
     pivoted = (heat.groupBy("day_of_week").pivot("hour", list(range(24)))
                    .agg(F.first("stream_count")))
     pivoted = pivoted.select("day_of_week", *[F.col(str(h)).alias(c) for h, c in enumerate(HOUR_COLUMNS)])
-    days = wh.spark.createDataFrame([(d,) for d in WEEKDAYS], "day_of_week string")
+    days = constant_table(wh.spark, ["day_of_week"], [(d,) for d in WEEKDAYS])
     return (days.join(pivoted, "day_of_week", "left")
                 .orderBy(rank_of(F.col("day_of_week"), WEEKDAYS)))
 

@@ -102,8 +102,14 @@ def metadata_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
              ))
 
 
+def constant_table(spark: SparkSession, names: list[str], rows: list[tuple]) -> DataFrame:
+    """A small fixed table built in the JVM (no Python data transfer)."""
+    structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, r)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def city_coordinates(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CITY_COORDS, "country string, city string, lat double, lon double")
+    return constant_table(spark, ["country", "city", "lat", "lon"], CITY_COORDS)
 
 
 def weather_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
