@@ -78,8 +78,9 @@ def build_warehouse(spark: SparkSession, sources: Sources, root: str) -> Warehou
 
     # Clean plays, written once in chronological (total) order with position
     # tags; stream ids are offsets over those tags.
-    ranged = keys.write_ranged(clean_op.clean_plays(sources.raw), clean_op.PLAY_ORDER,
-                               p("streaming_clean"))
+    clean_lazy = clean_op.clean_plays(sources.raw)
+    ranged = keys.write_ranged(clean_lazy, clean_op.PLAY_ORDER, p("streaming_clean"),
+                               num_partitions=keys.range_partitions(clean_lazy))
     offsets = _write(keys.partition_offsets(ranged), p("streaming_clean_offsets"))
     staged = keys.attach_ids(ranged, "row_id", offsets)
     clean = ranged.drop(keys.PART, keys.SEQ)
