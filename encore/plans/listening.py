@@ -110,9 +110,12 @@ def top_tracks(wh: Warehouse, n: int = 15) -> DataFrame:
 
 
 # Q4-Q7 ----------------------------------------------------------------------
+def hourly_counts(wh: Warehouse) -> DataFrame:
+    return wh.plays.groupBy("hour", "day_of_week").agg(n_rows().alias("stream_count"))
+
+
 def hourly_heatmap(wh: Warehouse) -> DataFrame:
-    return (wh.plays.groupBy("hour", "day_of_week").agg(n_rows().alias("stream_count"))
-            .orderBy(rank_of(F.col("day_of_week"), WEEKDAYS), "hour"))
+    return hourly_counts(wh).orderBy(rank_of(F.col("day_of_week"), WEEKDAYS), "hour")
 
 
 def monthly_trend(wh: Warehouse) -> DataFrame:
@@ -183,6 +186,10 @@ def hidden_gems(wh: Warehouse, n: int = 15) -> DataFrame:
 
 # Q10 ------------------------------------------------------------------------
 def country_summary(wh: Warehouse) -> DataFrame:
+    return country_rows(wh).orderBy(F.desc("total_streams"), "country")
+
+
+def country_rows(wh: Warehouse) -> DataFrame:
     f = focus(wh.plays)
     peak = (f.groupBy("country", "hour").agg(n_rows().alias("n"))
              .groupBy("country")
@@ -195,7 +202,7 @@ def country_summary(wh: Warehouse) -> DataFrame:
         F.countDistinct("track_id").alias("unique_tracks"),
         _pct(_skip_avg()).alias("skip_pct"),
         _pct(_shuffle_avg()).alias("shuffle_pct"))
-    return s.join(peak, "country").orderBy(F.desc("total_streams"), "country")
+    return s.join(peak, "country")
 
 
 def country_top_artists(wh: Warehouse, k: int = 8) -> DataFrame:
@@ -249,6 +256,10 @@ def _season_order():
 
 
 def weather_listening(wh: Warehouse) -> DataFrame:
+    return weather_groups(wh).orderBy("country", _season_order(), "temp_category")
+
+
+def weather_groups(wh: Warehouse) -> DataFrame:
     g = weather_days(wh).groupBy("country", "season", "temp_category").agg(
         n_rows().alias("total_days"),
         F.sum(F.when(F.col("is_rainy"), F.col("n")).otherwise(0)).cast("long").alias("rainy_days"),
@@ -261,8 +272,7 @@ def weather_listening(wh: Warehouse) -> DataFrame:
                      sql_round(F.col("streams").cast("double") / days, 1).alias("avg_streams_per_day"),
                      sql_round(F.col("minutes").cast("double") / F.lit(60.0) / days, 2).alias("avg_hours_per_day"),
                      _pct(_ratio(F.col("n_skip"), F.col("streams"))).alias("skip_pct"),
-                     "avg_temp_c", "avg_sunshine_hrs")
-             .orderBy("country", _season_order(), "temp_category"))
+                     "avg_temp_c", "avg_sunshine_hrs"))
 
 
 def rainy_vs_dry(wh: Warehouse) -> DataFrame:

@@ -18,7 +18,7 @@ HOUR_COLUMNS = [f"h{h:02d}" for h in range(24)]
 
 def heatmap_grid(wh: Warehouse) -> DataFrame:
     """Day x hour grid of stream counts, rows Monday..Sunday, empty slot NULL."""
-    heat = listening.hourly_heatmap(wh)
+    heat = listening.hourly_counts(wh)
     pivoted = (heat.groupBy("day_of_week").pivot("hour", list(range(24)))
                    .agg(F.first("stream_count")))
     pivoted = pivoted.select("day_of_week", *[F.col(str(h)).alias(c) for h, c in enumerate(HOUR_COLUMNS)])
@@ -28,7 +28,7 @@ def heatmap_grid(wh: Warehouse) -> DataFrame:
 
 
 def season_summary(wh: Warehouse) -> DataFrame:
-    w = listening.weather_listening(wh)
+    w = listening.weather_groups(wh)
     return (w.groupBy("country", "season").agg(
                 mean_half_even(F.col("avg_hours_per_day"), 2, 2).alias("avg_hours"),
                 mean_half_even(F.col("avg_temp_c"), 1, 2).alias("avg_temp"),
@@ -37,14 +37,14 @@ def season_summary(wh: Warehouse) -> DataFrame:
 
 
 def skip_by_temperature(wh: Warehouse) -> DataFrame:
-    w = listening.weather_listening(wh)
+    w = listening.weather_groups(wh)
     return (w.groupBy("country", "temp_category")
              .agg(mean_half_even(F.col("skip_pct"), 1, 1).alias("skip_pct"))
              .orderBy("country", "temp_category"))
 
 
 def country_differences(wh: Warehouse) -> DataFrame:
-    s = listening.country_summary(wh)
+    s = listening.country_rows(wh)
     pick = lambda c, col: F.max(F.when(F.col("country") == c, F.col(col)))
     wide = s.agg(pick("DE", "skip_pct").alias("de_skip_pct"), pick("PK", "skip_pct").alias("pk_skip_pct"),
                  pick("DE", "unique_artists").alias("de_unique_artists"),
