@@ -1,10 +1,13 @@
 """Track metadata (landed service rows) and behavioural features per track.
 
-Features are computed from a pre-aggregate of the fact at
+Features join each play to its track's duration and aggregate twice, by
+(track, day) then by track, so the distinct-day count needs no Expand.
+The duration table is broadcast when the track count is under
+``encore.broadcast.maxRows``. Above that, the fact is first pre-aggregated at
 (track_id, date, ms_played) grain: map-side partial aggregation collapses a
-hot track before any shuffle, and the completion ratio — which depends on a
-play only through (ms_played, duration) — is evaluated once per distinct
-ms value and weighted by its play count.
+hot track before the shuffled join. The completion ratio depends on a play
+only through (ms_played, duration), so it is evaluated per distinct ms value
+and weighted by its play count.
 """
 
 from __future__ import annotations
@@ -14,6 +17,10 @@ from pyspark.sql import functions as F
 
 from encore.functions.labels import release_year
 from encore.functions.numeric import sql_round
+from encore.session import conf_int
+
+BROADCAST_ROWS_KEY = "encore.broadcast.maxRows"
+BROADCAST_ROWS_DEFAULT = 2_000_000
 
 API_COLUMNS = ["track_id", "popularity", "duration_ms", "explicit", "release_date",
                "release_year", "api_available"]
@@ -54,26 +61,49 @@ def completion_ratio(ms_played, duration_ms):
     return (num / den).cast("float").cast("double")
 
 
-def track_features(plays: DataFrame, api: DataFrame) -> DataFrame:
-    grain = (plays.groupBy("track_id", "date", "ms_played")
-                  .agg(F.count(F.lit(1)).alias("n"),
-                       F.sum(F.col("skipped").cast("int")).alias("n_skip"),
-                       F.sum(F.col("shuffle").cast("int")).alias("n_shuffle")))
-    per_ms = (grain.groupBy("track_id", "ms_played").agg(F.sum("n").alias("n"))
-                   .join(api.select("track_id", "duration_ms"), "track_id", "left")
-                   .withColumn("q", completion_ratio(F.col("ms_played"), F.col("duration_ms")))
-                   .groupBy("track_id")
-                   .agg(F.sum(F.col("q") * F.col("n")).alias("q_sum"),
-                        F.sum(F.when(F.col("q").isNotNull(), F.col("n"))).alias("q_n")))
-    per_track = (grain.groupBy("track_id")
-                      .agg(F.sum("n").alias("total_plays"),
-                           F.sum("n_skip").alias("n_skip"),
-                           F.sum("n_shuffle").alias("n_shuffle"),
-                           F.countDistinct("date").alias("days")))
-    j = per_track.join(per_ms, "track_id")
+def _weighted_plays(plays: DataFrame, preaggregate: bool) -> DataFrame:
+    """(track_id, date, ms_played) with play counts as weights.
+
+    Pre-aggregating collapses a hot track map-side before any shuffle; it is
+    used when the duration table is too large to broadcast (the join would
+    then shuffle on track_id, where one track may hold a large share of plays).
+    """
+    if preaggregate:
+        return (plays.groupBy("track_id", "date", "ms_played")
+                     .agg(F.count(F.lit(1)).alias("n"),
+                          F.sum(F.col("skipped").cast("int")).alias("n_skip"),
+                          F.sum(F.col("shuffle").cast("int")).alias("n_shuffle")))
+    return plays.select("track_id", "date", "ms_played", F.lit(1).cast("long").alias("n"),
+                        F.col("skipped").cast("int").alias("n_skip"),
+                        F.col("shuffle").cast("int").alias("n_shuffle"))
+
+
+def track_features(plays: DataFrame, api: DataFrame, tracks_rows: int | None = None) -> DataFrame:
+    """E5 per track: plays, completion (float32 ratio, capped, NULL mean -> 1.0),
+    skip and shuffle rates, plays per active day.
+
+    The completion ratio depends on a play only through (ms_played, duration),
+    so sums of ratio x weight over any pre-aggregate equal the per-play sums.
+    """
+    limit = conf_int(plays.sparkSession, BROADCAST_ROWS_KEY, BROADCAST_ROWS_DEFAULT)
+    small = tracks_rows is not None and tracks_rows <= limit
+    durations = api.select("track_id", "duration_ms")
+    weighted = _weighted_plays(plays, preaggregate=not small)
+    j = weighted.join(F.broadcast(durations) if small else durations, "track_id", "left")
+    q = completion_ratio(F.col("ms_played"), F.col("duration_ms"))
+    by_day = (j.withColumn("q", q)
+               .groupBy("track_id", "date")
+               .agg(F.sum("n").alias("n"), F.sum("n_skip").alias("n_skip"),
+                    F.sum("n_shuffle").alias("n_shuffle"),
+                    F.sum(F.col("q") * F.col("n")).alias("q_sum"),
+                    F.sum(F.when(F.col("q").isNotNull(), F.col("n"))).alias("q_n")))
+    per_track = by_day.groupBy("track_id").agg(
+        F.sum("n").alias("total_plays"), F.sum("n_skip").alias("n_skip"),
+        F.sum("n_shuffle").alias("n_shuffle"), F.sum("q_sum").alias("q_sum"),
+        F.sum("q_n").alias("q_n"), F.count(F.lit(1)).alias("days"))
     mean_q = F.col("q_sum") / F.col("q_n").cast("double")
     plays_d = F.col("total_plays").cast("double")
-    return j.select(
+    return per_track.select(
         "track_id",
         F.col("total_plays").cast("long").alias("total_plays"),
         sql_round(F.least(mean_q, F.lit(1.0)), 3).alias("completion_rate"),

@@ -24,8 +24,7 @@ PLAY_COLUMNS = FACT_COLUMNS + [c for c in DATE_COLUMNS if c != "played_at"]
 # Dimensions with at most this many rows are broadcast when joined to the
 # fact; above it the join shuffles (AQE may still pick a broadcast at run time
 # from measured sizes, and splits skewed partitions).
-BROADCAST_ROWS_KEY = "encore.broadcast.maxRows"
-BROADCAST_ROWS_DEFAULT = 2_000_000
+from encore.operators.features import BROADCAST_ROWS_DEFAULT, BROADCAST_ROWS_KEY  # noqa: E402
 
 
 def sized_join(big: DataFrame, dim: DataFrame, dim_rows: int, on, how: str = "inner") -> DataFrame:

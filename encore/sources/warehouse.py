@@ -94,7 +94,7 @@ def build_warehouse(spark: SparkSession, sources: Sources, root: str) -> Warehou
                    .sortWithinPartitions("played_at"), p("plays"))
 
     api = features.track_api(tracks, sources.metadata)
-    meta = _write(features.track_metadata(api, features.track_features(plays, api)),
+    meta = _write(features.track_metadata(api, features.track_features(plays, api, n_tracks)),
                   p("track_metadata"))
     weather = _write(weather_op.dim_weather(sources.weather, plays), p("dim_weather"))
 

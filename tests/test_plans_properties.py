@@ -87,3 +87,30 @@ def test_flagship_query_stable(wh_small, wh_other_partitions):
     b = QUERIES["top_tracks"](wh_other_partitions).collect()
     assert a == b
     assert F is not None
+
+
+def test_feature_paths_agree(wh_small):
+    """Broadcast path (small track table) == pre-aggregated shuffle path."""
+    from encore.operators import features
+    api = features.track_api(wh_small.dim_tracks, wh_small.sources.metadata)
+    direct = features.track_features(wh_small.plays, api, tracks_rows=1)
+    shuffled = features.track_features(wh_small.plays, api, tracks_rows=10 ** 12)
+    assert "BroadcastExchange" in plan(direct)
+    assert direct.count() == shuffled.count()
+    assert direct.exceptAll(shuffled).count() == 0
+
+
+def test_fact_join_without_broadcast_hint(spark, wh_small):
+    """Above the row limit the star join is a plain join and gives the same fact."""
+    from encore.operators import star
+    old = spark.conf.get(star.BROADCAST_ROWS_KEY, str(star.BROADCAST_ROWS_DEFAULT))
+    spark.conf.set(star.BROADCAST_ROWS_KEY, "0")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rebuilt = star.plays(wh_small.staged, wh_small.dim_tracks, 10 ** 9, wh_small.dim_artists, 10 ** 9)
+        assert "SortMergeJoin" in plan(rebuilt)
+        cols = wh_small.plays.columns
+        assert rebuilt.select(*cols).exceptAll(wh_small.plays).count() == 0
+    finally:
+        spark.conf.set(star.BROADCAST_ROWS_KEY, old)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
