@@ -9,6 +9,7 @@ loaded tables; nothing passes through the driver.
 from __future__ import annotations
 
 import hashlib
+import os
 import threading
 import uuid
 from dataclasses import dataclass, field
@@ -117,16 +118,77 @@ def load_warehouse(spark: SparkSession, sources: Sources, root: str) -> Warehous
 _LOCK = threading.Lock()
 _BUILT: dict[tuple[str, str], Warehouse] = {}
 
+ADAPTER_TABLES = ["lineitem", "orders", "part", "customer", "nation", "region"]
+COMPLETE_MARKER = "_COMPLETE"
+_CODE_DIRS = ["functions", "operators", "sources"]
+
+
+def _fs(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def _code_version() -> str:
+    """Hash of the build code, so a changed build never reuses an old warehouse."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    h = hashlib.sha1()
+    for d in _CODE_DIRS:
+        folder = os.path.join(root, d)
+        for name in sorted(os.listdir(folder)):
+            if name.endswith(".py"):
+                with open(os.path.join(folder, name), "rb") as fh:
+                    h.update(name.encode() + fh.read())
+    return h.hexdigest()
+
+
+def input_fingerprint(spark: SparkSession, sf_dir: str, tables: list[str] = ADAPTER_TABLES) -> str:
+    """Build code + (path, size, modification time) of every input file."""
+    h = hashlib.sha1(_code_version().encode())
+    for name in tables:
+        fs, path = _fs(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+        for st in sorted(fs.listStatus(path), key=lambda x: x.getPath().toString()):
+            h.update(f"{st.getPath().toString()}|{st.getLen()}|{st.getModificationTime()}".encode())
+    return h.hexdigest()[:16]
+
+
+def completed_build(spark: SparkSession, base: str) -> str | None:
+    """A finished warehouse under ``base`` (marker written after the last table)."""
+    fs, path = _fs(spark, base)
+    if not fs.exists(path):
+        return None
+    for st in sorted(fs.listStatus(path), key=lambda x: x.getPath().getName()):
+        if st.isDirectory() and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(st.getPath(), COMPLETE_MARKER)):
+            return st.getPath().toString()
+    return None
+
+
+def mark_complete(spark: SparkSession, root: str) -> None:
+    fs, path = _fs(spark, path_join(root, COMPLETE_MARKER))
+    fs.create(path, True).close()
+
 
 def warehouse_for(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The warehouse for a folder of test tables, built once per session."""
+    """The warehouse for a folder of test tables.
+
+    Built once and reused: within a session from memory, across sessions from
+    the shared folder when a completed build for the same inputs and the same
+    build code exists. A build that stopped half-way has no marker and is never
+    read.
+    """
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     with _LOCK:
         wh = _BUILT.get(key)
         if wh is None:
+            sources = sources_from_tables(spark, sf_dir)
             tag = hashlib.sha1(key[1].encode()).hexdigest()[:10]
-            root = path_join(shared_dir(spark), "encore-warehouse", f"{tag}-{uuid.uuid4().hex[:8]}")
-            wh = build_warehouse(spark, sources_from_tables(spark, sf_dir), root)
+            base = path_join(shared_dir(spark), "encore-warehouse", f"{tag}-{input_fingerprint(spark, sf_dir)}")
+            done = completed_build(spark, base)
+            if done:
+                wh = load_warehouse(spark, sources, done)
+            else:
+                root = path_join(base, uuid.uuid4().hex[:12])
+                wh = build_warehouse(spark, sources, root)
+                mark_complete(spark, root)
             _BUILT[key] = wh
         return wh
 

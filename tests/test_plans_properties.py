@@ -1,6 +1,7 @@
 """Plan shape (pushdown, pruning, partial top-k, pre-aggregation) and
 result properties (totals agree, ranks dense, ids stable under re-partitioning)."""
 
+import os
 import re
 
 import pytest
@@ -114,3 +115,15 @@ def test_fact_join_without_broadcast_hint(spark, wh_small):
     finally:
         spark.conf.set(star.BROADCAST_ROWS_KEY, old)
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_reopened_warehouse_equals_built(spark, wh_small):
+    """A completed build is found again by fingerprint and reads back equal."""
+    from encore.sources import warehouse as W
+    base = os.path.dirname(wh_small.root.rstrip("/"))
+    assert W.completed_build(spark, base) is not None
+    again = W.load_warehouse(spark, wh_small.sources, wh_small.root)
+    for a, b in [(again.plays, wh_small.plays), (again.dim_tracks, wh_small.dim_tracks),
+                 (again.dim_date(), wh_small.dim_date())]:
+        assert a.exceptAll(b).count() == 0 and a.count() == b.count()
+    assert W.input_fingerprint(spark, SF_SMALL) in base
