@@ -2,7 +2,8 @@
 
 Keys follow the workload's tables, checks, queries, previews and reshapes.
 ``for_tables()`` binds each to a folder of test tables: the warehouse for
-that folder is built once per session and every query reads it.
+that folder is built once (reused within and across sessions while inputs
+and build code are unchanged) and every query reads it.
 """
 
 from __future__ import annotations
@@ -81,6 +82,8 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "country_differences": reshape.country_differences,
     "monthly_period": reshape.monthly_period,
     "engagement_scatter": reshape.engagement_scatter,
+    "recent_months": reshape.recent_months,
+    "heatmap_monday": reshape.heatmap_day,
     # strict variants (NULL instead of the original's fall-through values)
     "completion_leaders_strict": lambda wh: listening.completion_leaders(wh, strict=True),
     "dim_weather_strict": lambda wh: _weather(wh, strict=True),

@@ -118,12 +118,15 @@ def hourly_heatmap(wh: Warehouse) -> DataFrame:
     return hourly_counts(wh).orderBy(rank_of(F.col("day_of_week"), WEEKDAYS), "hour")
 
 
+def monthly_trend_rows(wh: Warehouse) -> DataFrame:
+    return wh.plays.groupBy("year", "month", "month_name").agg(
+        _hours(exact_sum("minutes_played")).alias("hours_listened"),
+        n_rows().alias("stream_count"),
+        _pct(_skip_avg()).alias("skip_pct"))
+
+
 def monthly_trend(wh: Warehouse) -> DataFrame:
-    return (wh.plays.groupBy("year", "month", "month_name").agg(
-                _hours(exact_sum("minutes_played")).alias("hours_listened"),
-                n_rows().alias("stream_count"),
-                _pct(_skip_avg()).alias("skip_pct"))
-            .orderBy("year", "month"))
+    return monthly_trend_rows(wh).orderBy("year", "month")
 
 
 def year_comparison(wh: Warehouse) -> DataFrame:

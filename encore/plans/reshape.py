@@ -59,9 +59,23 @@ def country_differences(wh: Warehouse) -> DataFrame:
 
 
 def monthly_period(wh: Warehouse) -> DataFrame:
-    m = listening.monthly_trend(wh)
-    return m.withColumn("period", period_label(F.col("year"), F.col("month")))
+    m = listening.monthly_trend_rows(wh)
+    return (m.withColumn("period", period_label(F.col("year"), F.col("month")))
+             .orderBy("year", "month"))
 
 
 def engagement_scatter(wh: Warehouse) -> DataFrame:
     return listening.top_tracks(wh).where(F.col("completion_pct").isNotNull())
+
+
+def recent_months(wh: Warehouse, n: int = 6) -> DataFrame:
+    """The last ``n`` months of the monthly trend, in calendar order (tail)."""
+    last = (listening.monthly_trend_rows(wh)
+            .orderBy(F.desc("year"), F.desc("month")).limit(n))
+    return last.orderBy("year", "month")
+
+
+def heatmap_day(wh: Warehouse, day: str = "Monday") -> DataFrame:
+    """One weekday's row of the heatmap (hour, day_of_week, stream_count)."""
+    return (listening.hourly_counts(wh).where(F.col("day_of_week") == day)  # pushed below the aggregate
+            .orderBy("hour"))

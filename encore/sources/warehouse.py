@@ -23,9 +23,6 @@ from encore.operators import weather as weather_op
 from encore.session import path_join, shared_dir
 from encore.sources import adapters
 
-TABLES = ["streaming_clean", "dim_artists", "dim_tracks", "plays", "track_metadata", "dim_weather"]
-
-
 @dataclass
 class Sources:
     raw: DataFrame              # export-schema plays
@@ -198,12 +195,5 @@ def clear_memo() -> None:
         _BUILT.clear()
 
 
-def table(wh: Warehouse, name: str) -> DataFrame:
-    return {
-        "streaming_clean": wh.clean, "dim_artists": wh.dim_artists, "dim_tracks": wh.dim_tracks,
-        "plays": wh.plays, "track_metadata": wh.track_metadata, "dim_weather": wh.weather,
-    }[name]
-
-
 def focus(df: DataFrame) -> DataFrame:
     return df.where(F.col("country").isin(*weather_op.FOCUS_COUNTRIES))
