@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from encore.plans import listening, previews
 from encore.plans.catalog import QUERIES
