@@ -59,8 +59,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     local = tempfile.mkdtemp(prefix="encore-")
-    sc.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
+    sc.setCheckpointDir(local)  # later calls find it through getCheckpointDir()
     return local
 
 

@@ -125,3 +125,25 @@ def test_reopened_warehouse_equals_built(spark, wh_small):
                  (again.dim_date(), wh_small.dim_date())]:
         assert a.exceptAll(b).count() == 0 and a.count() == b.count()
     assert W.input_fingerprint(spark, SF_SMALL) in base
+
+
+def _partial_before_exchange(p: str) -> bool:
+    """A partial aggregate sits right below the topmost shuffle of the plan."""
+    lines = p.splitlines()
+    ex = min(i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line)
+    nxt = lines[ex + 1] if ex + 1 < len(lines) else ""
+    return "Aggregate(key" in nxt
+
+
+def test_hot_key_operators_aggregate_map_side(spark, wh_small):
+    """Dedupe, first-per-key and the features fallback reduce a hot key before shuffling."""
+    from encore.operators import clean as clean_op, features, keys
+    from encore.sources.adapters import raw_plays
+    dedupe = clean_op.clean_plays(raw_plays(spark, SF_SMALL))
+    assert _partial_before_exchange(plan(dedupe))
+    firsts = keys.first_per_key(wh_small.clean, "track_uri", ["track_name"], ["album_name", "artist_name"])
+    assert _partial_before_exchange(plan(firsts))
+    api = features.track_api(wh_small.dim_tracks, wh_small.sources.metadata)
+    pre = features._weighted_plays(wh_small.plays, preaggregate=True)
+    assert "partial_count" in plan(pre)
+    assert features.track_features(wh_small.plays, api, 10 ** 12) is not None
