@@ -55,22 +55,31 @@ def canon(cols, rows):
     return [cols[i] for i in order], sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
+# Spark type name -> DuckDB type name, for the schema part of the check
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+         "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
 def compare(spark, con, key, fn, sql, sf_dir):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
     s_cols = sdf.columns
+    s_types = {c: TYPES.get(t, t) for c, t in sdf.dtypes}
     s_rows = [tuple(r) for r in sdf.collect()]
     t1 = time.time()
-    res = con.execute(sql)
-    d_cols = [d[0] for d in res.description]
-    d_rows = res.fetchall()
+    rel = con.sql(sql)
+    d_cols = rel.columns
+    d_types = dict(zip(d_cols, [str(t) for t in rel.types]))
+    d_rows = rel.fetchall()
     t2 = time.time()
     sc, sr = canon(s_cols, s_rows)
     dc, dr = canon(d_cols, d_rows)
-    ok = sc == dc and sr == dr
+    ok = sc == dc and sr == dr and s_types == d_types
     detail = ""
     if sc != dc:
         detail = f"cols spark={sc} duck={dc}"
+    elif s_types != d_types:
+        detail = f"types {[(c, s_types[c], d_types.get(c)) for c in s_types if s_types[c] != d_types.get(c)]}"
     elif len(sr) != len(dr):
         detail = f"rows spark={len(sr)} duck={len(dr)}"
     elif sr != dr:
