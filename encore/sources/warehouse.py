@@ -40,6 +40,26 @@ def sources_from_tables(spark: SparkSession, sf_dir: str) -> Sources:
     )
 
 
+def sources_from_landed(spark: SparkSession, export_dir: str, metadata_path: str | None,
+                        weather_path: str | None) -> Sources:
+    """Real inputs: export files, landed metadata batches and weather payloads.
+
+    Metadata batches carry the warehouse track ids they were requested for
+    (S13 manifests); a missing folder means no service data yet (every track
+    ``api_available = false``, no weather rows).
+    """
+    from encore.sources import landed, raw
+    meta_payloads = (landed.read_metadata_json(spark, metadata_path) if metadata_path
+                     else spark.createDataFrame([], landed.METADATA_SCHEMA))
+    meta = landed.metadata_rows(meta_payloads)
+    if weather_path:
+        weather = landed.weather_rows(landed.read_weather_json(spark, weather_path))
+    else:
+        weather = landed.weather_rows(spark.createDataFrame([], landed.WEATHER_SCHEMA))
+    return Sources(raw=raw.read_export(spark, export_dir), metadata=meta, weather=weather,
+                   coords=adapters.city_coordinates(spark))
+
+
 @dataclass
 class Warehouse:
     spark: SparkSession

@@ -43,7 +43,7 @@ def norm(v):
     if isinstance(v, bool):
         return v
     if isinstance(v, int):
-        return repr(float(v)) if False else v
+        return v
     if isinstance(v, (dt.datetime, dt.date)):
         return v.isoformat()
     return v
