@@ -57,3 +57,17 @@ def test_landed_inputs_end_to_end(spark, tmp_path):
         if key not in ("removed_rows",):
             fn(wh).collect()
     assert QUERIES["removed_rows"](wh).first().raw_rows == len(plays)
+
+
+def test_command_line_build_and_query(spark, tmp_path, capsys):
+    from encore.__main__ import main
+    export = os.path.join(tmp_path, "export")
+    os.makedirs(export)
+    rows = [play(f"2024-03-0{d}T10:00:00Z", 90000, f"S{d % 2}", "B", f"x:track:{d % 2}") for d in range(1, 6)]
+    _json(os.path.join(export, "Streaming_History_Audio_2024.json"), [dict(zip(FIELDS, r)) for r in rows])
+    out = path_join(shared_dir(spark), "cli-" + uuid.uuid4().hex[:8])
+    assert main(["build", "--export", export, "--out", out]) == 0
+    assert main(["query", "top_artists", "--warehouse", out, "--export", export]) == 0
+    printed = capsys.readouterr().out
+    assert "artist_name" in printed and "|B " in printed
+    assert main(["preview", "--warehouse", out, "--export", export, "--rows", "3"]) == 0
