@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from encore.session import conf_int, shuffle_partitions
+from encore.session import conf_int
 
 PART, SEQ = "_part", "_seq"
 
@@ -46,11 +46,16 @@ def input_bytes(df: DataFrame) -> int:
         return 0
 
 
+def cores(spark) -> int:
+    return max(int(spark.sparkContext.defaultParallelism), 1)
+
+
 def range_partitions(df: DataFrame) -> int:
+    """ceil(input bytes / target), at least one partition per core."""
     spark = df.sparkSession
     target = max(conf_int(spark, RANGE_BYTES_KEY, RANGE_BYTES_DEFAULT), 1)
     by_size = -(-input_bytes(df) // target)
-    return int(min(max(shuffle_partitions(spark), by_size), MAX_RANGE_PARTITIONS))
+    return int(min(max(cores(spark), by_size), MAX_RANGE_PARTITIONS))
 
 
 def _order_exprs(order: list) -> list[Column]:
@@ -58,9 +63,11 @@ def _order_exprs(order: list) -> list[Column]:
 
 
 def write_ranged(df: DataFrame, order: list, path: str, num_partitions: int | None = None) -> DataFrame:
-    """Steps 1-2: write ``df`` range-partitioned and sorted, tagged with position."""
+    """Steps 1-2: write ``df`` range-partitioned and sorted, tagged with position.
+
+    Without an explicit count, one range partition per core (dimensions)."""
     spark = df.sparkSession
-    n = num_partitions or shuffle_partitions(spark)
+    n = num_partitions or cores(spark)
     exprs = _order_exprs(order)
     pid = F.spark_partition_id()
     (df.repartitionByRange(n, *exprs)
