@@ -16,11 +16,13 @@ import sys
 
 from encore.session import build_session
 
-# The queries printed by ``preview``, in the original preview order.
-PREVIEW = ["summary_stats", "top_artists", "top_tracks", "heatmap_monday", "recent_months",
-           "year_comparison", "skip_analysis", "completion_leaders", "hidden_gems",
-           "country_summary", "country_top_artists", "country_peak_hours",
-           "weather_listening", "rainy_vs_dry"]
+# The queries printed by ``preview``, in the original preview
+# order, with the row counts the original preview asks for.
+PREVIEW = [("summary_stats", {}), ("top_artists", {"n": 10}), ("top_tracks", {"n": 10}),
+           ("heatmap_monday", {}), ("recent_months", {}), ("year_comparison", {}),
+           ("skip_analysis", {}), ("completion_leaders", {"n": 8}), ("hidden_gems", {"n": 8}),
+           ("country_summary", {}), ("country_top_artists", {}), ("country_peak_hours", {}),
+           ("weather_listening", {}), ("rainy_vs_dry", {})]
 
 
 def _sources(spark, args):
@@ -71,11 +73,12 @@ def main(argv: list[str] | None = None) -> int:
         _emit(for_tables()[args.key](spark, args.sf_dir), args)
     else:
         wh = load_warehouse(spark, _sources(spark, args), args.warehouse)
-        keys = [args.key] if args.cmd == "query" else PREVIEW
-        for key in keys:
-            if args.cmd == "preview":
-                print(f"\n-- {key}")
-            _emit(QUERIES[key](wh), args)
+        if args.cmd == "query":
+            _emit(QUERIES[args.key](wh), args)
+        else:
+            for key, params in PREVIEW:
+                print(f"\n-- {key} {params or ''}")
+                _emit(QUERIES[key](wh, **params), args)
     return 0
 
 
