@@ -32,7 +32,7 @@ def main() -> None:
     from encore.sources.warehouse import build_warehouse, sources_from_tables
 
     spark = build_session(f"local[{cpus}]", app_name="encore-bench",
-                          shuffle_partitions=max(8, cpus * 2),
+                          shuffle_partitions=cpus,
                           extra={"spark.driver.memory": "16g"})
     times: dict[str, float] = {}
 
