@@ -31,8 +31,8 @@ from encore.llm.common import byte_buffer, written
 from encore.llm.encoding import Encoder
 
 SEQUENCE = 2048
-OPEN_BINS = 2048
-GROUP_ROWS = 20_000
+OPEN_BINS = 8192
+GROUP_ROWS = 16_000
 
 
 def cut(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", *,
