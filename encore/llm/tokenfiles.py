@@ -13,7 +13,7 @@ a task that runs again replaces its shard by equal files. The folder may be
 any that pyarrow opens by URI (local, HDFS, S3, GCS).
 
 Cases: null text is an empty document (end id alone); null ids come first;
-repeated ids are ordered by text; other columns are not read; an empty table
+repeated ids are ordered by the text's hash, then the text; other columns are not read; an empty table
 gives no shard and an empty result.
 """
 
@@ -87,9 +87,10 @@ def write_files(docs: DataFrame, root: str, tokenizer: str, id_col: str = "doc_i
                 "shard": pa.array([shard], pa.int32()), "n_docs": pa.array([n_docs], pa.int64()),
                 "n_tokens": pa.array([n_tokens], pa.int64()), "width": pa.array([width], pa.int32())})
 
-    made = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-            .repartitionByRange(shards, "id", "text").sortWithinPartitions("id", "text")
-            .mapInArrow(shard_of, "shard int, n_docs long, n_tokens long, width int"))
+    # ranges are sampled on narrow keys: the text only orders rows of equal id and hash
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    made = (rows.withColumn("tie", F.xxhash64("text")).repartitionByRange(shards, "id", "tie")
+            .sortWithinPartitions("id", "tie", "text").select("id", "text").mapInArrow(shard_of, "shard int, n_docs long, n_tokens long, width int"))
     manifest = path_join(root, "manifest")
     made.write.parquet(manifest)
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
