@@ -88,8 +88,11 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     # candidates are few: joined by their key with the texts, then with the items
     pairs = (keyed.join(candidates, "__key")
              .join(items.select("__ikey", "__item", "__shingles", "__size"), "__ikey"))
+    # the words are made once per row: a generator keeps the optimizer from copying
+    # the split into each use of them
+    pairs = pairs.select("__id", "__item", "__shingles", "__size", F.explode(F.array(words(F.col("__text")))).alias("__words"))
     verified = pairs.withColumn("matched", F.size(F.array_intersect(
-        F.col("__shingles"), _shingle_texts(words(F.col("__text")), shingle))))
+        F.col("__shingles"), _shingle_texts(F.col("__words"), shingle))))
     # n * threshold is compared in whole numbers of shingles
     need = F.ceil(F.col("__size") * F.lit(threshold) - F.lit(1e-9))
     return verified.where(F.col("matched") >= need).select(
