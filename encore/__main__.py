@@ -62,12 +62,12 @@ def main(argv: list[str] | None = None) -> int:
     args = p.parse_args(argv)
 
     from encore.plans.catalog import QUERIES, for_tables
-    from encore.sources.warehouse import build_warehouse, load_warehouse, mark_complete
+    from encore.sources.warehouse import build_warehouse, clear_marker, complete, load_warehouse
 
     spark = build_session(args.master)
     if args.cmd == "build":
-        build_warehouse(spark, _sources(spark, args), args.out)
-        mark_complete(spark, args.out)
+        clear_marker(spark, args.out)
+        complete(build_warehouse(spark, _sources(spark, args), args.out))
         print(f"warehouse written to {args.out}")
     elif args.cmd == "tables":
         _emit(for_tables()[args.key](spark, args.sf_dir), args)

@@ -20,10 +20,22 @@ def utc_wall_clock(col: Column, dtype) -> Column:
     if isinstance(dtype, TimestampNTZType):
         return col
     if isinstance(dtype, TimestampType):
-        return F.convert_timezone(None, F.lit("UTC"), col)
-    if isinstance(dtype, StringType):
-        return F.convert_timezone(None, F.lit("UTC"), F.to_timestamp(col))
-    return F.convert_timezone(None, F.lit("UTC"), F.to_timestamp(col.cast("string")))
+        return _instant_in_utc(col)
+    text = F.trim(col if isinstance(dtype, StringType) else col.cast("string"))
+    # text without a zone is UTC; with one it names an instant whatever the session's zone
+    zoned = text.rlike(r"(?i)([0-9:.]\s*(Z|UTC|GMT)|[Tt ][0-9:.]+\s*[+-][0-9]{1,2}(:?[0-9]{2})?)$")
+    parsed = F.try_to_timestamp(F.when(zoned, text).when(text.contains(":"), F.concat(text, F.lit("Z")))
+                                .otherwise(F.concat(text, F.lit(" 00:00:00Z"))))
+    unread = F.raise_error(F.concat(F.lit("not a timestamp: "), text)).cast("timestamp")
+    return _instant_in_utc(F.coalesce(parsed, F.when(text.isNotNull(), unread)))
+
+
+def _instant_in_utc(ts: Column) -> Column:
+    """The UTC wall clock of an instant, by its microseconds: a way through local
+    time would merge instants where clocks are set back."""
+    seconds = (F.unix_micros(ts).cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    zero = F.lit(0)
+    return F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")) + F.make_dt_interval(zero, zero, zero, seconds)
 
 
 def calendar_columns(ts: Column) -> dict[str, Column]:

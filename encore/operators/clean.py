@@ -63,6 +63,8 @@ def coerce_ms(col: Column, dtype_name: str) -> Column:
     """Numeric text/number -> whole milliseconds; unparsable, NaN or infinite -> 0."""
     if dtype_name in ("bigint", "int", "smallint", "tinyint"):
         return F.coalesce(col.cast("long"), F.lit(0).cast("long"))
+    if dtype_name == "string":  # Java's own suffixes (60000d, 60000f) are no numbers
+        col = F.when(col.rlike(r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"), col)
     d = col.try_cast("double")
     bad = d.isNull() | F.isnan(d) | (F.abs(d) == F.lit(float("inf")))
     return F.when(bad, F.lit(0).cast("long")).otherwise(d.try_cast("long"))

@@ -1,13 +1,8 @@
 """Track metadata (landed service rows) and behavioural features per track.
 
-Features join each play to its track's duration and aggregate twice, by
-(track, day) then by track, so the distinct-day count needs no Expand.
-The duration table is broadcast when the track count is under
-``encore.broadcast.maxRows``. Above that, the fact is first pre-aggregated at
-(track_id, date, ms_played) grain: map-side partial aggregation collapses a
-hot track before the shuffled join. The completion ratio depends on a play
-only through (ms_played, duration), so it is evaluated per distinct ms value
-and weighted by its play count.
+Features group the fact by (track, day, played ms), join each track's duration,
+and aggregate by (track, day) and then by track, so the distinct-day count
+needs no Expand.
 """
 
 from __future__ import annotations
@@ -17,10 +12,7 @@ from pyspark.sql import functions as F
 
 from encore.functions.labels import release_year
 from encore.functions.numeric import sql_round
-from encore.session import conf_int
-
-BROADCAST_ROWS_KEY = "encore.broadcast.maxRows"
-BROADCAST_ROWS_DEFAULT = 2_000_000
+from encore.functions.text import last_uri_segment
 
 API_COLUMNS = ["track_id", "popularity", "duration_ms", "explicit", "release_date",
                "release_year", "api_available"]
@@ -35,8 +27,14 @@ def track_api(tracks: DataFrame, landed: DataFrame) -> DataFrame:
     landed = landed.drop("release_year")
     if "track_uri" in landed.columns:  # rows keyed by URI
         j = tracks.select("track_id", "track_uri").join(landed.drop("track_id"), "track_uri", "left")
-    else:  # rows keyed by the warehouse id sent in the request
-        j = tracks.select("track_id").join(landed, "track_id", "left")
+    else:  # by the service's id; rows without one by the warehouse id sent in the request
+        named = landed.where("source_id is not null").drop("track_id")
+        unnamed = landed.where("source_id is null").drop("source_id")
+        fields = [c for c in unnamed.columns if c != "track_id"]
+        j = (tracks.select("track_id", last_uri_segment(F.col("track_uri")).alias("source_id"))
+             .join(named.select("source_id", F.struct(*fields).alias("_named")), "source_id", "left")
+             .join(unnamed.select("track_id", F.struct(*fields).alias("_unnamed")), "track_id", "left")
+             .select("track_id", F.coalesce("_named", "_unnamed").alias("_row")).select("track_id", "_row.*"))
     ok = F.coalesce(F.col("api_available"), F.lit(False))
     keep = lambda c: F.when(ok, F.col(c))
     return j.select(
@@ -51,57 +49,37 @@ def track_api(tracks: DataFrame, landed: DataFrame) -> DataFrame:
 
 
 def completion_ratio(ms_played, duration_ms):
-    """``ms_played::FLOAT / NULLIF(duration_ms, 0)`` evaluated in float32.
-
-    Division of two float32 values done in double and rounded to float32 is
-    exactly the float32 quotient (double has more than 2*24+2 bits).
-    """
-    num = ms_played.cast("float").cast("double")
-    den = F.nullif(duration_ms, F.lit(0)).cast("float").cast("double")
-    return (num / den).cast("float").cast("double")
-
-
-def _weighted_plays(plays: DataFrame, preaggregate: bool) -> DataFrame:
-    """(track_id, date, ms_played) with play counts as weights.
-
-    Pre-aggregating collapses a hot track map-side before any shuffle; it is
-    used when the duration table is too large to broadcast (the join would
-    then shuffle on track_id, where one track may hold a large share of plays).
-    """
-    if preaggregate:
-        return (plays.groupBy("track_id", "date", "ms_played")
-                     .agg(F.count(F.lit(1)).alias("n"),
-                          F.sum(F.col("skipped").cast("int")).alias("n_skip"),
-                          F.sum(F.col("shuffle").cast("int")).alias("n_shuffle")))
-    return plays.select("track_id", "date", "ms_played", F.lit(1).cast("long").alias("n"),
-                        F.col("skipped").cast("int").alias("n_skip"),
-                        F.col("shuffle").cast("int").alias("n_shuffle"))
+    """``ms_played / NULLIF(duration_ms, 0)`` in double."""
+    return ms_played.cast("double") / F.nullif(duration_ms, F.lit(0)).cast("double")
 
 
-def track_features(plays: DataFrame, api: DataFrame, tracks_rows: int | None = None) -> DataFrame:
-    """E5 per track: plays, completion (float32 ratio, capped, NULL mean -> 1.0),
-    skip and shuffle rates, plays per active day.
+def track_features(plays: DataFrame, api: DataFrame) -> DataFrame:
+    """E5 per track: plays, completion (capped at 1, NULL mean -> 1.0), skip and
+    shuffle rates, plays per active day.
 
-    The completion ratio depends on a play only through (ms_played, duration),
-    so sums of ratio x weight over any pre-aggregate equal the per-play sums.
+    The fact is first grouped by (track, date, ms), which collapses a hot track
+    map-side before the join with its duration. The ratio depends on a play only
+    through (ms_played, duration), so ratio x count over these groups equals the
+    per-play sum; it is added up as a decimal, so neither the partitioning nor
+    the join that Spark picks changes the result.
     """
-    limit = conf_int(plays.sparkSession, BROADCAST_ROWS_KEY, BROADCAST_ROWS_DEFAULT)
-    small = tracks_rows is not None and tracks_rows <= limit
-    durations = api.select("track_id", "duration_ms")
-    weighted = _weighted_plays(plays, preaggregate=not small)
-    j = weighted.join(F.broadcast(durations) if small else durations, "track_id", "left")
-    q = completion_ratio(F.col("ms_played"), F.col("duration_ms"))
+    grouped = (plays.groupBy("track_id", "date", "ms_played")
+                    .agg(F.count(F.lit(1)).alias("n"),
+                         F.sum(F.col("skipped").cast("int")).alias("n_skip"),
+                         F.sum(F.col("shuffle").cast("int")).alias("n_shuffle")))
+    j = grouped.join(api.select("track_id", "duration_ms"), "track_id", "left")
+    q = completion_ratio(F.col("ms_played"), F.col("duration_ms")).cast("decimal(24,14)")
     by_day = (j.withColumn("q", q)
                .groupBy("track_id", "date")
                .agg(F.sum("n").alias("n"), F.sum("n_skip").alias("n_skip"),
                     F.sum("n_shuffle").alias("n_shuffle"),
-                    F.sum(F.col("q") * F.col("n")).alias("q_sum"),
+                    F.sum((F.col("q") * F.col("n").cast("decimal(12,0)")).cast("decimal(28,14)")).alias("q_sum"),
                     F.sum(F.when(F.col("q").isNotNull(), F.col("n"))).alias("q_n")))
     per_track = by_day.groupBy("track_id").agg(
         F.sum("n").alias("total_plays"), F.sum("n_skip").alias("n_skip"),
         F.sum("n_shuffle").alias("n_shuffle"), F.sum("q_sum").alias("q_sum"),
         F.sum("q_n").alias("q_n"), F.count(F.lit(1)).alias("days"))
-    mean_q = F.col("q_sum") / F.col("q_n").cast("double")
+    mean_q = F.col("q_sum").cast("double") / F.col("q_n").cast("double")
     plays_d = F.col("total_plays").cast("double")
     return per_track.select(
         "track_id",

@@ -30,7 +30,9 @@ PART, SEQ = "_part", "_seq"
 # the data instead of staying at the shuffle-partition setting.
 RANGE_BYTES_KEY = "encore.range.inputBytesPerPartition"
 RANGE_BYTES_DEFAULT = 128 * 1024 * 1024
-MAX_RANGE_PARTITIONS = 1 << 20
+# Spark's size of a leaf without an estimate, and what a row of one counts as
+UNKNOWN_BYTES = 2 ** 63 - 1
+ROW_BYTES = 256
 
 
 def input_bytes(df: DataFrame) -> int:
@@ -39,11 +41,11 @@ def input_bytes(df: DataFrame) -> int:
     Join-size estimates without statistics are products of the inputs, so the
     leaves are the meaningful measure of how much data the table comes from.
     """
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    except Exception:  # noqa: BLE001 - no estimate available
-        return 0
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    if max(sizes, default=0) >= UNKNOWN_BYTES:  # data that Spark can't estimate is counted
+        return df.count() * ROW_BYTES
+    return sum(sizes)
 
 
 def cores(spark) -> int:
@@ -55,7 +57,7 @@ def range_partitions(df: DataFrame) -> int:
     spark = df.sparkSession
     target = max(conf_int(spark, RANGE_BYTES_KEY, RANGE_BYTES_DEFAULT), 1)
     by_size = -(-input_bytes(df) // target)
-    return int(min(max(cores(spark), by_size), MAX_RANGE_PARTITIONS))
+    return int(max(cores(spark), by_size))
 
 
 def _order_exprs(order: list) -> list[Column]:

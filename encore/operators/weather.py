@@ -38,8 +38,16 @@ def labelled(rows: DataFrame) -> DataFrame:
     )
 
 
+def one_per_day(rows: DataFrame) -> DataFrame:
+    """One row per (country, date): of a day that landed more than once, the
+    greatest by its measures (NULL the smallest)."""
+    others = [c for c in rows.columns if c not in ("country", "date")]
+    return (rows.groupBy("country", "date").agg(F.max(F.struct(*others)).alias("_day"))
+                .select("country", "date", "_day.*"))
+
+
 def dim_weather(rows: DataFrame, plays: DataFrame) -> DataFrame:
-    return labelled(rows).join(F.broadcast(listening_days(plays)), ["country", "date"], "left_semi")
+    return labelled(one_per_day(rows)).join(F.broadcast(listening_days(plays)), ["country", "date"], "left_semi")
 
 
 def request_ranges(plays: DataFrame, coords: DataFrame) -> DataFrame:

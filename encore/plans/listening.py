@@ -239,11 +239,11 @@ def listening_by_country(wh: Warehouse) -> dict[str, DataFrame]:
 # Q11, Q12 -------------------------------------------------------------------
 def weather_days(wh: Warehouse) -> DataFrame:
     """Weather days with that day's plays in that country (play counts as weights)."""
-    day = wh.plays.groupBy("country", "date").agg(
+    day = focus(wh.plays).groupBy("country", "date").agg(
         n_rows().alias("n"), F.sum(F.col("skipped").cast("int")).alias("n_skip"),
         exact_sum("minutes_played").alias("minutes"))
-    # dim_weather holds at most countries x calendar days rows
-    return F.broadcast(wh.weather).join(day, ["country", "date"])
+    # both sides hold at most a row per focus country and day
+    return wh.weather.join(day, ["country", "date"])
 
 
 def _weighted(col: str):

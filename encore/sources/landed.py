@@ -47,7 +47,7 @@ METADATA_SCHEMA = T.StructType([
 
 
 def read_weather_json(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(WEATHER_SCHEMA).option("multiLine", True).json(path)
+    return spark.read.schema(WEATHER_SCHEMA).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
 def weather_rows(payloads: DataFrame) -> DataFrame:
@@ -80,22 +80,34 @@ def sunshine_hours(seconds: Column) -> Column:
 
 
 def read_metadata_json(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(METADATA_SCHEMA).option("multiLine", True).json(path)
+    return spark.read.schema(METADATA_SCHEMA).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
 def metadata_rows(payloads: DataFrame) -> DataFrame:
-    """Landed metadata batches -> one row per requested track id."""
-    pairs = F.arrays_zip(F.col("track_ids").alias("track_id"), F.col("tracks").alias("track"))
-    rows = payloads.select(F.inline(pairs))
+    """Landed metadata batches -> one row per requested track.
+
+    A track is known by the service's own id (``source_id``), which stays the
+    same over rebuilds; batches landed without source ids go by the warehouse id
+    of their build. Answers that landed twice for one track count once: an
+    available one before a missing one, then the greatest by its fields.
+    """
+    pairs = F.arrays_zip(F.col("track_ids").alias("track_id"), F.col("source_ids").alias("source_id"),
+                         F.col("tracks").alias("track"))
+    filled = payloads.withColumn("source_ids", F.coalesce("source_ids", F.array().cast("array<string>")))
+    answers = filled.select(F.inline(pairs)).where(F.col("track_id").isNotNull() | F.col("source_id").isNotNull())
+    unnamed = F.when(F.col("source_id").isNull(), F.col("track_id"))
+    rows = (answers.groupBy("source_id", unnamed.alias("_unnamed"))
+            .agg(F.max(F.struct(F.col("track").isNotNull().alias("ok"), "track", "track_id")).alias("best"))
+            .select("source_id", "best.track_id", "best.track"))
     t = F.col("track")
     available = t.isNotNull()
     date = t["album"]["release_date"]
     return rows.select(
-        "track_id",
+        "track_id", "source_id",
         t["popularity"].alias("popularity"),
         t["duration_ms"].alias("duration_ms"),
         t["explicit"].alias("explicit"),
         date.alias("release_date"),
         F.when(F.length(date) > 0, release_year(date)).alias("release_year"),
         available.alias("api_available"),
-    ).where(F.col("track_id").isNotNull())
+    )

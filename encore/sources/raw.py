@@ -65,9 +65,10 @@ RAW_SCHEMA = T.StructType([
 def read_export(spark: SparkSession, directory: str, pattern: str = EXPORT_GLOB) -> DataFrame:
     """All export files in ``directory`` as one DataFrame (one task per file).
 
-    A glob that matches nothing raises, as a missing export should.
+    A glob that matches nothing raises, as a missing export should, and so does
+    a file that isn't whole JSON: its plays must not go missing in silence.
     Files are JSON arrays, so they are read whole (multiLine); write the clean
     table straight after to get splittable parquet.
     """
     path = directory.rstrip("/") + "/" + pattern
-    return spark.read.schema(RAW_SCHEMA).option("multiLine", True).json(path)
+    return spark.read.schema(RAW_SCHEMA).option("multiLine", True).option("mode", "FAILFAST").json(path)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore.operators import clean as clean_op
-from encore.operators import features, keys, star
+from encore.operators import checks, features, keys, star
 from encore.operators import weather as weather_op
 from encore.session import path_join, shared_dir
 from encore.sources import adapters
@@ -44,8 +44,8 @@ def sources_from_landed(spark: SparkSession, export_dir: str, metadata_path: str
                         weather_path: str | None) -> Sources:
     """Real inputs: export files, landed metadata batches and weather payloads.
 
-    Metadata batches carry the warehouse track ids they were requested for
-    (S13 manifests); a missing folder means no service data yet (every track
+    Metadata batches carry the service ids they were requested for (S13
+    manifests); a missing folder means no service data yet (every track
     ``api_available = false``, no weather rows).
     """
     from encore.sources import landed, raw
@@ -77,6 +77,15 @@ class Warehouse:
     def fact_streams(self) -> DataFrame:
         return self.plays.select(*star.FACT_COLUMNS)
 
+    def register_views(self, prefix: str = "") -> list[str]:
+        """The warehouse's tables as temporary views for SQL; returns their names."""
+        tables = {"streaming_clean": self.clean.select(*clean_op.CLEAN_COLUMNS), "dim_artists": self.dim_artists,
+                  "dim_tracks": self.dim_tracks, "dim_date": self.dim_date(), "fact_streams": self.fact_streams(),
+                  "dim_track_metadata": self.track_metadata, "dim_weather": self.weather}
+        for name, table in tables.items():
+            table.createOrReplaceTempView(prefix + name)
+        return [prefix + name for name in tables]
+
     def dim_date(self) -> DataFrame:
         """One row per clean play (not only those that reached the fact)."""
         return self.staged.select(F.col("row_id").alias("date_id"), *star.DATE_COLUMNS)
@@ -112,7 +121,7 @@ def build_warehouse(spark: SparkSession, sources: Sources, root: str) -> Warehou
                    .sortWithinPartitions("played_at"), p("plays"))
 
     api = features.track_api(tracks, sources.metadata)
-    meta = _write(features.track_metadata(api, features.track_features(plays, api, n_tracks)),
+    meta = _write(features.track_metadata(api, features.track_features(plays, api)),
                   p("track_metadata"))
     weather = _write(weather_op.dim_weather(sources.weather, plays), p("dim_weather"))
 
@@ -179,6 +188,22 @@ def completed_build(spark: SparkSession, base: str) -> str | None:
     return None
 
 
+def clear_marker(spark: SparkSession, root: str) -> None:
+    """A folder that is built anew is no complete warehouse until it is checked."""
+    fs, path = _fs(spark, path_join(root, COMPLETE_MARKER))
+    if fs.exists(path):
+        fs.delete(path, False)
+
+
+def complete(wh: Warehouse) -> None:
+    """Gate of a build: V1-V5 must hold before it is marked complete."""
+    found = checks.integrity_checks(wh.clean, wh.plays, wh.dim_tracks, wh.dim_artists)
+    broken = [f"{r.check}: {r.violations}" for r in found.where("violations > 0").collect()]
+    if broken:
+        raise ValueError(f"the build of {wh.root} isn't sound ({', '.join(broken)})")
+    mark_complete(wh.spark, wh.root)
+
+
 def mark_complete(spark: SparkSession, root: str) -> None:
     fs, path = _fs(spark, path_join(root, COMPLETE_MARKER))
     fs.create(path, True).close()
@@ -205,15 +230,10 @@ def warehouse_for(spark: SparkSession, sf_dir: str) -> Warehouse:
             else:
                 root = path_join(base, uuid.uuid4().hex[:12])
                 wh = build_warehouse(spark, sources, root)
-                mark_complete(spark, root)
+                complete(wh)
             _BUILT[key] = wh
         return wh
 
 
-def clear_memo() -> None:
-    with _LOCK:
-        _BUILT.clear()
-
-
 def focus(df: DataFrame) -> DataFrame:
     return df.where(F.col("country").isin(*weather_op.FOCUS_COUNTRIES))

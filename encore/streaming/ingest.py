@@ -1,72 +1,80 @@
 """Incremental ingest (optional extension X1): newly landed export files are
 cleaned as they arrive, with the batch clean's column rules.
 
-* source: ``readStream`` JSON over the landing folder (schema'd, multiLine)
-* exact duplicates: ``dropDuplicatesWithinWatermark`` on the normalised base
-  columns; copies that arrive more than ``delay`` apart in event time are not
-  matched (the batch build is the exact path)
-* sinks: the clean rows appended to parquet, and daily plays / skip rate per
-  country as a watermarked tumbling-window aggregate (append mode: a day is
-  emitted once the watermark passes it)
-
-Both queries keep their progress in checkpoint folders, so a restarted job
-resumes from the last committed files.
+* source: ``readStream`` JSON over the landing folder (schema'd, multiLine; a
+  broken file fails the stream)
+* exact duplicates: each micro-batch is deduplicated and anti-joined with the
+  plays already written for its days. No watermark is involved, so an old
+  export file that lands late is taken whole
+* sinks: the clean rows of batch N in ``streaming_clean/batch=N``, and daily
+  plays and skips per country, rewritten for the days a batch touched
+
+Both writes are repeatable: a micro-batch that runs again replaces its own
+folder and its days. Progress lies in the checkpoint folder.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from encore.operators.clean import BASE_COLUMNS, MIN_MS_PLAYED, typed_rows, with_derived
+from encore.session import path_join
 from encore.sources.raw import EXPORT_GLOB, RAW_SCHEMA
 
-EVENT_TIME = "_event_time"
-
 
 def landed_plays(spark: SparkSession, landing_dir: str, pattern: str = EXPORT_GLOB,
                  max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = (spark.readStream.schema(RAW_SCHEMA).option("multiLine", True)
+    reader = (spark.readStream.schema(RAW_SCHEMA).option("multiLine", True).option("mode", "FAILFAST")
               .option("pathGlobFilter", pattern))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.json(landing_dir)
 
 
-def clean_stream(raw: DataFrame, delay: str = "2 days") -> DataFrame:
-    typed = typed_rows(raw).where(F.col("ms_played") >= MIN_MS_PLAYED)
-    # watermarks need a TIMESTAMP column; the event time is the play's wall clock
-    timed = typed.withColumn(EVENT_TIME, F.col("played_at").cast("timestamp"))
-    deduped = (timed.withWatermark(EVENT_TIME, delay)
-                    .dropDuplicatesWithinWatermark(BASE_COLUMNS))
-    return with_derived(deduped, keep=[EVENT_TIME])
-
-
 def daily_activity(clean: DataFrame) -> DataFrame:
-    """Per (UTC day, country) activity; ``clean`` carries the watermarked event time."""
-    return (clean.groupBy(F.window(EVENT_TIME, "1 day").alias("day"), "country")
+    """Per (UTC day, country) activity."""
+    return (clean.groupBy("date", "country")
                  .agg(F.count(F.lit(1)).alias("plays"),
                       F.sum(F.col("skipped").cast("int")).alias("skipped"),
-                      F.sum(F.col("minutes_played").cast("decimal(18,2)")).alias("minutes"))
-                 .select(F.to_date(F.col("day.start")).alias("date"), "country", "plays", "skipped",
-                         F.col("minutes").cast("double").alias("minutes")))
+                      F.sum(F.col("minutes_played").cast("decimal(18,2)")).cast("double").alias("minutes")))
+
+
+def write_batch(out_dir: str) -> Callable[[DataFrame, int], None]:
+    """What each micro-batch does with its raw plays."""
+    clean_dir, daily_dir = path_join(out_dir, "streaming_clean"), path_join(out_dir, "daily_activity")
+
+    def write(raw: DataFrame, batch: int) -> None:
+        spark = raw.sparkSession
+        typed = typed_rows(raw).where(F.col("ms_played") >= MIN_MS_PLAYED).dropDuplicates(BASE_COLUMNS)
+        fresh = with_derived(typed)
+        own = path_join(clean_dir, f"batch={batch}")
+        # an empty folder of this batch first, so that the table can be read from the start
+        fresh.limit(0).write.mode("overwrite").parquet(own)
+        schema = fresh.schema.add("batch", "long")
+
+        def written() -> DataFrame:
+            return spark.read.schema(schema).parquet(clean_dir)
+
+        days = fresh.select("date").distinct()
+        before = written().where(F.col("batch") != batch).join(days, "date", "left_semi").select(*BASE_COLUMNS)
+        same = reduce(lambda a, b: a & b, [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in BASE_COLUMNS])
+        fresh.alias("n").join(before.alias("o"), same, "left_anti").write.mode("overwrite").parquet(own)
+        touched = written().where(F.col("batch") == batch).select("date").distinct()
+        (daily_activity(written().join(touched, "date", "left_semi"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(daily_dir))
+
+    return write
 
 
 def start(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint_dir: str,
-          delay: str = "2 days", available_now: bool = True) -> tuple[StreamingQuery, StreamingQuery]:
-    """Start the clean-table and daily-activity streams; returns both queries."""
-    clean = clean_stream(landed_plays(spark, landing_dir), delay)
-
-    def trig(w):
-        return w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-
-    q1 = trig(clean.drop(EVENT_TIME).writeStream.format("parquet")
-              .option("path", f"{out_dir}/streaming_clean")
-              .option("checkpointLocation", f"{checkpoint_dir}/clean")
-              .outputMode("append")).start()
-    q2 = trig(daily_activity(clean).writeStream.format("parquet")
-              .option("path", f"{out_dir}/daily_activity")
-              .option("checkpointLocation", f"{checkpoint_dir}/daily")
-              .outputMode("append")).start()
-    return q1, q2
+          available_now: bool = True) -> tuple[StreamingQuery, ...]:
+    """Start the ingest stream; returns its queries."""
+    stream = landed_plays(spark, landing_dir).writeStream.foreachBatch(write_batch(out_dir)).option(
+        "checkpointLocation", path_join(checkpoint_dir, "clean"))
+    stream = stream.trigger(availableNow=True) if available_now else stream.trigger(processingTime="1 minute")
+    return (stream.start(),)

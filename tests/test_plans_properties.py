@@ -88,15 +88,17 @@ def test_flagship_query_stable(wh_small, wh_other_partitions):
     assert a == b
 
 
-def test_feature_paths_agree(wh_small):
-    """Broadcast path (small track table) == pre-aggregated shuffle path."""
+def test_features_equal_on_any_partitioning_and_join(spark, wh_small):
     from encore.operators import features
     api = features.track_api(wh_small.dim_tracks, wh_small.sources.metadata)
-    direct = features.track_features(wh_small.plays, api, tracks_rows=1)
-    shuffled = features.track_features(wh_small.plays, api, tracks_rows=10 ** 12)
-    assert "BroadcastExchange" in plan(direct)
-    assert direct.count() == shuffled.count()
-    assert direct.exceptAll(shuffled).count() == 0
+    want = sorted(map(tuple, features.track_features(wh_small.plays, api).collect()))
+    for parts, threshold in ((1, "-1"), (7, "10m"), (64, "-1")):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            again = features.track_features(wh_small.plays.repartition(parts), api)
+            assert sorted(map(tuple, again.collect())) == want
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_fact_join_without_broadcast_hint(spark, wh_small):
@@ -144,6 +146,4 @@ def test_hot_key_operators_aggregate_map_side(spark, wh_small):
     firsts = keys.first_per_key(wh_small.clean, "track_uri", ["track_name"], ["album_name", "artist_name"])
     assert _partial_before_exchange(plan(firsts))
     api = features.track_api(wh_small.dim_tracks, wh_small.sources.metadata)
-    pre = features._weighted_plays(wh_small.plays, preaggregate=True)
-    assert "partial_count" in plan(pre)
-    assert features.track_features(wh_small.plays, api, 10 ** 12) is not None
+    assert "partial_count" in plan(features.track_features(wh_small.plays, api))
