@@ -1,12 +1,13 @@
 """Command line: build a warehouse from landed files, run or preview queries.
 
   python -m encore build   --export DIR [--metadata DIR] [--weather DIR] --out ROOT
-  python -m encore query   KEY --warehouse ROOT --export DIR [--metadata DIR] [--weather DIR] [--rows N]
-  python -m encore preview --warehouse ROOT --export DIR [--metadata DIR] [--weather DIR]
+  python -m encore query   KEY [KEY ...] --warehouse ROOT [--rows N | --save PATH]
+  python -m encore sql     TEXT --warehouse ROOT [--rows N | --save PATH]
   python -m encore tables  KEY --sf-dir DIR [--rows N]      (driver test tables via the adapters)
 
-Query output is printed with ``show`` (results are small reports); ``--save
-PATH`` writes a query's full result as parquet instead.
+Every build is a new version under ROOT; queries read the newest complete one,
+``sql`` through its views. Output is printed with ``show`` (results are small
+reports); ``--save PATH`` writes the full result as parquet instead.
 """
 
 from __future__ import annotations
@@ -14,45 +15,29 @@ from __future__ import annotations
 import argparse
 import sys
 
-from encore.session import build_session
+from encore.session import build_session, path_join
 
-# The queries printed by ``preview``, in the original preview
-# order, with the row counts the original preview asks for.
-PREVIEW = [("summary_stats", {}), ("top_artists", {"n": 10}), ("top_tracks", {"n": 10}),
-           ("heatmap_monday", {}), ("recent_months", {}), ("year_comparison", {}),
-           ("skip_analysis", {}), ("completion_leaders", {"n": 8}), ("hidden_gems", {"n": 8}),
-           ("country_summary", {}), ("country_top_artists", {}), ("country_peak_hours", {}),
-           ("weather_listening", {}), ("rainy_vs_dry", {})]
-
-
-def _sources(spark, args):
-    from encore.sources.warehouse import sources_from_landed
-    return sources_from_landed(spark, args.export, args.metadata, args.weather)
-
-
-def _emit(df, args) -> None:
-    if getattr(args, "save", None):
-        df.write.mode("overwrite").parquet(args.save)
+def _emit(df, save: str | None, rows: int) -> None:
+    if save:
+        df.write.mode("overwrite").parquet(save)
     else:
-        df.show(args.rows, truncate=False)
+        df.show(rows, truncate=False)
 
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="encore")
     sub = p.add_subparsers(dest="cmd", required=True)
-    for name in ("build", "query", "preview"):
+    build = sub.add_parser("build")
+    build.add_argument("--export", required=True)
+    build.add_argument("--metadata")
+    build.add_argument("--weather")
+    build.add_argument("--out", required=True)
+    for name, what in (("query", "keys"), ("sql", "text")):
         s = sub.add_parser(name)
-        s.add_argument("--export", required=True)
-        s.add_argument("--metadata")
-        s.add_argument("--weather")
-        if name == "build":
-            s.add_argument("--out", required=True)
-        else:
-            s.add_argument("--warehouse", required=True)
-            s.add_argument("--rows", type=int, default=50)
-        if name == "query":
-            s.add_argument("key")
-            s.add_argument("--save")
+        s.add_argument(what, nargs="+" if name == "query" else None)
+        s.add_argument("--warehouse", required=True)
+        s.add_argument("--rows", type=int, default=50)
+        s.add_argument("--save")
     t = sub.add_parser("tables")
     t.add_argument("key")
     t.add_argument("--sf-dir", required=True)
@@ -62,23 +47,24 @@ def main(argv: list[str] | None = None) -> int:
     args = p.parse_args(argv)
 
     from encore.plans.catalog import QUERIES, for_tables
-    from encore.sources.warehouse import build_warehouse, clear_marker, complete, load_warehouse
+    from encore.sources.warehouse import open_latest, rebuild, sources_from_landed
 
     spark = build_session(args.master)
     if args.cmd == "build":
-        clear_marker(spark, args.out)
-        complete(build_warehouse(spark, _sources(spark, args), args.out))
-        print(f"warehouse written to {args.out}")
+        wh = rebuild(spark, sources_from_landed(spark, args.export, args.metadata, args.weather), args.out)
+        print(f"warehouse written to {wh.root}")
     elif args.cmd == "tables":
-        _emit(for_tables()[args.key](spark, args.sf_dir), args)
+        _emit(for_tables()[args.key](spark, args.sf_dir), args.save, args.rows)
+    elif args.cmd == "sql":
+        open_latest(spark, args.warehouse)
+        _emit(spark.sql(args.text), args.save, args.rows)
     else:
-        wh = load_warehouse(spark, _sources(spark, args), args.warehouse)
-        if args.cmd == "query":
-            _emit(QUERIES[args.key](wh), args)
-        else:
-            for key, params in PREVIEW:
-                print(f"\n-- {key} {params or ''}")
-                _emit(QUERIES[key](wh, **params), args)
+        wh = open_latest(spark, args.warehouse)
+        for key in args.keys:
+            several = len(args.keys) > 1
+            if several:
+                print(f"\n-- {key}")
+            _emit(QUERIES[key](wh), path_join(args.save, key) if args.save and several else args.save, args.rows)
     return 0
 
 

@@ -1,39 +1,42 @@
 """Integrity and quality checks as DataFrames (no asserts, no driver loops).
 
-Each check is a one-row aggregate; the union is a handful of rows.
+Each result is a handful of rows.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from encore.functions.numeric import half_even
 
 
-def _one(df: DataFrame, name: str, violations) -> DataFrame:
-    return df.agg(violations.cast("long").alias("violations")).select(
-        F.lit(name).alias("check"), "violations")
-
-
 def integrity_checks(clean: DataFrame, plays: DataFrame, tracks: DataFrame,
                      artists: DataFrame) -> DataFrame:
     """V1-V5: fact rows = clean rows; no orphan track/artist ids; no NULL
-    stream ids; no URI twice in the track dimension."""
-    n = lambda df: df.agg(F.count(F.lit(1))).scalar()
-    v1 = plays.agg(F.count(F.lit(1)).alias("f")).select(
-        F.lit("fact_rows_equal_clean_rows").alias("check"),
-        F.abs(n(clean) - F.col("f")).cast("long").alias("violations"))
-    v2 = _one(plays.join(tracks.select("track_id"), "track_id", "left_anti"),
-              "orphan_track_ids", F.count(F.lit(1)))
-    v3 = _one(plays.join(artists.select("artist_id"), "artist_id", "left_anti"),
-              "orphan_artist_ids", F.count(F.lit(1)))
-    v4 = _one(plays, "null_stream_ids", F.count_if(F.col("stream_id").isNull()))
-    dup = tracks.groupBy("track_uri").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    v5 = _one(dup, "duplicate_track_uris", F.count(F.lit(1)))
-    return reduce(DataFrame.unionByName, [v1, v2, v3, v4, v5])
+    stream ids; no URI twice in the track dimension.
+
+    One pass over the fact, grouped by its two ids map-side; the dimensions are
+    joined with the groups and the groups' plays are added up."""
+    n = F.count(F.lit(1))
+    known = lambda dim, key, flag: dim.select(key).distinct().withColumn(flag, F.lit(True))
+    groups = (plays.groupBy("track_id", "artist_id")
+                   .agg(n.alias("n"), F.count_if(F.col("stream_id").isNull()).alias("no_id"))
+                   .join(known(tracks, "track_id", "has_track"), "track_id", "left")
+                   .join(known(artists, "artist_id", "has_artist"), "artist_id", "left"))
+    orphans = lambda flag: F.sum(F.when(F.col(flag).isNull(), F.col("n")))
+    none = F.lit(0).cast("long")
+    clean_rows = clean.agg(n).scalar()
+    twice = tracks.groupBy("track_uri").agg(n.alias("n")).where(F.col("n") > 1).agg(n).scalar()
+    figures = groups.agg(F.coalesce(F.sum("n"), none).alias("rows"),
+                         F.coalesce(orphans("has_track"), none).alias("no_track"),
+                         F.coalesce(orphans("has_artist"), none).alias("no_artist"),
+                         F.coalesce(F.sum("no_id"), none).alias("no_id"))
+    named = [("fact_rows_equal_clean_rows", F.abs(clean_rows - F.col("rows"))),
+             ("orphan_track_ids", F.col("no_track")), ("orphan_artist_ids", F.col("no_artist")),
+             ("null_stream_ids", F.col("no_id")), ("duplicate_track_uris", twice)]
+    return figures.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("check"), value.cast("long").alias("violations")) for name, value in named])))
 
 
 def metadata_coverage(tracks: DataFrame, metadata: DataFrame) -> DataFrame:

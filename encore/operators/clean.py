@@ -103,17 +103,20 @@ def clean_plays(raw: DataFrame) -> DataFrame:
     return with_derived(base)
 
 
-def removed_rows(raw: DataFrame, clean: DataFrame) -> DataFrame:
+def raw_counts(raw: DataFrame) -> DataFrame:
+    """One row: the raw rows and the music rows among them."""
+    is_music = F.col("track_name").isNotNull() & F.col("artist_name").isNotNull()
+    return renamed(raw).agg(F.count(F.lit(1)).alias("raw_rows"), F.count_if(is_music).alias("music_rows"))
+
+
+def removed_rows(counts: DataFrame, clean: DataFrame) -> DataFrame:
     """E2: rows removed by the junk filters, counted after the music filter.
 
     ``removed_from_raw`` also counts the non-music rows (raw minus clean).
-    One pass over the raw rows, and the clean count as a scalar subquery.
+    ``counts`` is the row that the build stored (``raw_counts``).
     """
-    r = renamed(raw)
-    is_music = F.col("track_name").isNotNull() & F.col("artist_name").isNotNull()
     clean_rows = clean.agg(F.count(F.lit(1))).scalar()
-    out = r.agg(F.count(F.lit(1)).alias("raw_rows"), F.count_if(is_music).alias("music_rows"))
-    return out.select(
+    return counts.select(
         "raw_rows", "music_rows", clean_rows.alias("clean_rows"),
         (F.col("music_rows") - clean_rows).alias("removed_rows"),
         (F.col("raw_rows") - clean_rows).alias("removed_from_raw"),

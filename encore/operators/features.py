@@ -1,8 +1,7 @@
 """Track metadata (landed service rows) and behavioural features per track.
 
-Features group the fact by (track, day, played ms), join each track's duration,
-and aggregate by (track, day) and then by track, so the distinct-day count
-needs no Expand.
+Features aggregate the fact by (track, day) and then by track, so the
+distinct-day count needs no Expand; durations join at track grain.
 """
 
 from __future__ import annotations
@@ -11,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from encore.functions.labels import release_year
-from encore.functions.numeric import sql_round
+from encore.functions.numeric import MINUTES_DECIMAL, exact_sum, sql_round
 from encore.functions.text import last_uri_segment
 
 API_COLUMNS = ["track_id", "popularity", "duration_ms", "explicit", "release_date",
@@ -48,49 +47,43 @@ def track_api(tracks: DataFrame, landed: DataFrame) -> DataFrame:
     )
 
 
-def completion_ratio(ms_played, duration_ms):
-    """``ms_played / NULLIF(duration_ms, 0)`` in double."""
-    return ms_played.cast("double") / F.nullif(duration_ms, F.lit(0)).cast("double")
+def completion(total_ms, plays, duration_ms):
+    """Mean of ``ms_played / NULLIF(duration_ms, 0)`` over a track's plays.
+
+    A track has one duration, so the mean is one quotient of whole numbers: no
+    order of summation, partitioning or join can change it."""
+    whole = plays.cast("double") * F.nullif(duration_ms, F.lit(0)).cast("double")
+    return total_ms.cast("double") / whole
 
 
 def track_features(plays: DataFrame, api: DataFrame) -> DataFrame:
     """E5 per track: plays, completion (capped at 1, NULL mean -> 1.0), skip and
-    shuffle rates, plays per active day.
+    shuffle rates, plays per active day; and the minutes played.
 
-    The fact is first grouped by (track, date, ms), which collapses a hot track
-    map-side before the join with its duration. The ratio depends on a play only
-    through (ms_played, duration), so ratio x count over these groups equals the
-    per-play sum; it is added up as a decimal, so neither the partitioning nor
-    the join that Spark picks changes the result.
-    """
-    grouped = (plays.groupBy("track_id", "date", "ms_played")
-                    .agg(F.count(F.lit(1)).alias("n"),
-                         F.sum(F.col("skipped").cast("int")).alias("n_skip"),
-                         F.sum(F.col("shuffle").cast("int")).alias("n_shuffle")))
-    j = grouped.join(api.select("track_id", "duration_ms"), "track_id", "left")
-    q = completion_ratio(F.col("ms_played"), F.col("duration_ms")).cast("decimal(24,14)")
-    by_day = (j.withColumn("q", q)
-               .groupBy("track_id", "date")
-               .agg(F.sum("n").alias("n"), F.sum("n_skip").alias("n_skip"),
-                    F.sum("n_shuffle").alias("n_shuffle"),
-                    F.sum((F.col("q") * F.col("n").cast("decimal(12,0)")).cast("decimal(28,14)")).alias("q_sum"),
-                    F.sum(F.when(F.col("q").isNotNull(), F.col("n"))).alias("q_n")))
+    The fact is aggregated to (track, date) and then to the track, so a hot track
+    collapses map-side and the active days need no distinct count; the durations
+    join the finished tracks."""
+    flags = ["skipped", "shuffle"]
+    by_day = plays.groupBy("track_id", "date").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("ms_played").alias("ms"), exact_sum("minutes_played").alias("minutes"),
+        *[F.sum(F.col(c).cast("int")).alias(c) for c in flags])
     per_track = by_day.groupBy("track_id").agg(
-        F.sum("n").alias("total_plays"), F.sum("n_skip").alias("n_skip"),
-        F.sum("n_shuffle").alias("n_shuffle"), F.sum("q_sum").alias("q_sum"),
-        F.sum("q_n").alias("q_n"), F.count(F.lit(1)).alias("days"))
-    mean_q = F.col("q_sum").cast("double") / F.col("q_n").cast("double")
-    plays_d = F.col("total_plays").cast("double")
-    return per_track.select(
+        *[F.sum(c).alias(c) for c in ["n", "ms", "minutes", *flags]],
+        F.count("date").alias("days"))
+    mean = completion(F.col("ms"), F.col("n"), F.col("duration_ms"))
+    capped = F.least(F.col("mean"), F.lit(1.0))
+    n = F.col("n").cast("double")
+    return per_track.join(api.select("track_id", "duration_ms"), "track_id", "left").withColumn("mean", mean).select(
         "track_id",
-        F.col("total_plays").cast("long").alias("total_plays"),
-        sql_round(F.least(mean_q, F.lit(1.0)), 3).alias("completion_rate"),
-        sql_round(F.when(mean_q.isNotNull(), F.least(mean_q, F.lit(1.0))), 3).alias("completion_rate_strict"),
-        sql_round(F.col("n_skip") / plays_d, 3).alias("skip_rate"),
-        sql_round(F.col("n_shuffle") / plays_d, 3).alias("shuffle_rate"),
-        sql_round(plays_d / F.col("days").cast("double"), 2).alias("avg_plays_per_active_day"),
+        F.col("n").alias("total_plays"),
+        sql_round(capped, 3).alias("completion_rate"),
+        sql_round(F.when(F.col("mean").isNotNull(), capped), 3).alias("completion_rate_strict"),
+        sql_round(F.col("skipped") / n, 3).alias("skip_rate"),
+        sql_round(F.col("shuffle") / n, 3).alias("shuffle_rate"),
+        sql_round(n / F.nullif(F.col("days"), F.lit(0)).cast("double"), 2).alias("avg_plays_per_active_day"),
+        F.col("minutes").cast(MINUTES_DECIMAL).alias("total_minutes"),
     )
 
 
 def track_metadata(api: DataFrame, features: DataFrame) -> DataFrame:
-    return api.join(features, "track_id", "left").select(*METADATA_COLUMNS, "completion_rate_strict")
+    return api.join(features, "track_id", "left").select(*METADATA_COLUMNS, "completion_rate_strict", "total_minutes")

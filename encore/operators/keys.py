@@ -18,6 +18,8 @@ column is still split across partitions as long as the full order is total.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,6 +62,19 @@ def range_partitions(df: DataFrame) -> int:
     return int(max(cores(spark), by_size))
 
 
+@contextmanager
+def sized_shuffles(spark, partitions: int):
+    """Shuffles inside take at least ``partitions`` (AQE merges small ones, but
+    never adds any); the session's own setting is put back after."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(max(int(before), partitions)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _order_exprs(order: list) -> list[Column]:
     return [o if isinstance(o, Column) else F.col(o).asc_nulls_last() for o in order]
 
@@ -103,14 +118,13 @@ def dense_ids(df: DataFrame, order: list, id_col: str, path: str,
 def first_per_key(df: DataFrame, key: str, order: list[str], carry: list[str]) -> DataFrame:
     """One row per ``key``: the smallest by ``order`` (NULLs last), total by ``carry``.
 
-    A ``min`` over a struct is a plain aggregate with map-side partial
-    aggregation, so a key holding a large share of rows is reduced before the
-    shuffle instead of being sorted in one task.
+    The distinct rows come first (a hash aggregate that collapses a key's repeats
+    map-side); only those meet the ``min`` over a struct, which Spark sorts for.
     """
     fields = []
     for c in order + [c for c in carry if c not in order]:
         fields += [F.col(c).isNull().alias(f"_null_{c}"), F.col(c).alias(c)]
     best = F.min(F.struct(*fields)).alias("_best")
     keep = order + [c for c in carry if c not in order]
-    return (df.groupBy(key).agg(best)
+    return (df.select(key, *keep).distinct().groupBy(key).agg(best)
               .select(key, *[F.col(f"_best.{c}").alias(c) for c in keep]))

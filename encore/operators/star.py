@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from encore.operators.keys import dense_ids, first_per_key
-from encore.session import conf_int
 
 FACT_COLUMNS = [
     "stream_id", "date_id", "track_id", "artist_id", "played_at", "ms_played",
@@ -21,18 +20,9 @@ DATE_COLUMNS = ["played_at", "date", "year", "month", "month_name", "week",
                 "day_of_week", "hour", "is_weekend"]
 PLAY_COLUMNS = FACT_COLUMNS + [c for c in DATE_COLUMNS if c != "played_at"]
 
-# Dimensions with at most this many rows are broadcast when joined to the
-# fact; above it the join shuffles (AQE may still pick a broadcast at run time
-# from measured sizes, and splits skewed partitions).
-
-BROADCAST_ROWS_KEY = "encore.broadcast.maxRows"
-BROADCAST_ROWS_DEFAULT = 2_000_000
-
-
-def sized_join(big: DataFrame, dim: DataFrame, dim_rows: int, on, how: str = "inner") -> DataFrame:
-    limit = conf_int(big.sparkSession, BROADCAST_ROWS_KEY, BROADCAST_ROWS_DEFAULT)
-    side = F.broadcast(dim) if dim_rows <= limit else dim
-    return big.join(side, on, how)
+# A (URI, artist) pair with more than this share of all plays is hot. At most
+# 1 / share pairs can be, which bounds the only forced broadcast.
+HOT_SHARE = 0.001
 
 
 def dim_artists(clean: DataFrame, scratch: str) -> DataFrame:
@@ -40,28 +30,41 @@ def dim_artists(clean: DataFrame, scratch: str) -> DataFrame:
     return dense_ids(names, ["artist_name"], "artist_id", scratch).select("artist_id", "artist_name")
 
 
-def dim_tracks(clean: DataFrame, artists: DataFrame, artists_rows: int, scratch: str) -> DataFrame:
+def dim_tracks(clean: DataFrame, artists: DataFrame, scratch: str) -> DataFrame:
     """One row per URI (smallest track name, then album, then artist), its
     artist's id, and a dense id in (track_name, track_uri) order."""
     firsts = first_per_key(clean.where(F.col("track_uri").isNotNull()), "track_uri",
                            ["track_name"], ["album_name", "artist_name"])
-    with_artist = sized_join(firsts, artists, artists_rows, "artist_name")
+    with_artist = firsts.join(artists, "artist_name")
     ided = dense_ids(with_artist.select("track_uri", "track_name", "album_name", "artist_id"),
                      ["track_name", "track_uri"], "track_id", scratch)
     return ided.select("track_id", "track_uri", "track_name", "album_name", "artist_id")
 
 
-def plays(staged: DataFrame, tracks: DataFrame, tracks_rows: int,
-          artists: DataFrame, artists_rows: int) -> DataFrame:
+def play_ids(clean: DataFrame, tracks: DataFrame, artists: DataFrame) -> DataFrame:
+    """Ids and number of plays of each distinct (track_uri, artist_name): the
+    dimensions are joined with the pairs (counted map-side), not with the plays."""
+    pairs = clean.groupBy("track_uri", "artist_name").agg(F.count(F.lit(1)).alias("n"))
+    return (pairs.join(tracks.select("track_uri", "track_id"), "track_uri")
+                 .join(artists.select("artist_name", "artist_id"), "artist_name"))
+
+
+def plays(staged: DataFrame, ids: DataFrame) -> DataFrame:
     """The fact with its calendar columns. Inner joins: a play without a URI
     (or with an unknown one) has no track and is left out, which check V1
-    reports."""
-    t = tracks.select("track_uri", "track_id")
-    a = artists.select("artist_name", "artist_id")
-    j = sized_join(sized_join(staged.drop("track_id"), t, tracks_rows, "track_uri"), a, artists_rows,
-                   "artist_name")
-    return j.select(
+    reports.
+
+    Plays of hot pairs take their ids from a broadcast of at most 1,000 rows and
+    aren't shuffled; the others meet the pairs in one join, whose kind Spark
+    picks from the written table's size."""
+    names = ["track_uri", "artist_name"]
+    total = ids.agg(F.sum("n")).scalar()
+    is_hot = F.col("n") > total * F.lit(HOT_SHARE)
+    hot, rest = ids.where(is_hot).drop("n"), ids.where(~is_hot).drop("n")
+    rows = staged.drop("track_id")
+    marked = rows.join(F.broadcast(hot), names, "left")
+    found = marked.where(F.col("track_id").isNotNull())
+    other = marked.where(F.col("track_id").isNull()).drop("track_id", "artist_id").join(rest, names)
+    return found.unionByName(other).select(
         F.col("row_id").alias("stream_id"), F.col("row_id").alias("date_id"),
-        "track_id", "artist_id", *[c for c in FACT_COLUMNS[4:]],
-        *[c for c in DATE_COLUMNS if c != "played_at"],
-    )
+        *PLAY_COLUMNS[2:])

@@ -29,7 +29,7 @@ def _weather(wh: Warehouse, strict: bool) -> DataFrame:
 QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     # ingest
     "clean_plays": lambda wh: wh.clean.select(*clean_op.CLEAN_COLUMNS),
-    "removed_rows": lambda wh: clean_op.removed_rows(wh.sources.raw, wh.clean),
+    "removed_rows": lambda wh: clean_op.removed_rows(wh.raw_counts, wh.clean),
     "platform_counts": ingest_report.platform_counts,
     "country_counts": ingest_report.country_counts,
     "ingest_summary": ingest_report.ingest_summary,
@@ -70,7 +70,7 @@ QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     "most_skipped": previews.most_skipped,
     # weather
     "dim_weather": lambda wh: _weather(wh, strict=False),
-    "weather_request_ranges": lambda wh: weather_op.request_ranges(wh.plays, wh.sources.coords),
+    "weather_request_ranges": lambda wh: weather_op.request_ranges(wh.plays, wh.coords),
     "weather_nulls": lambda wh: checks.weather_nulls(wh.weather),
     "weather_by_season": previews.weather_by_season,
     "weather_hours": previews.weather_hours,

@@ -16,21 +16,31 @@ def n_rows():
     return F.count(F.lit(1))
 
 
+def _reduced(clean: DataFrame, *names: str) -> DataFrame:
+    """Plays per (year, ``names``), grouped map-side: distinct counts over these
+    rows copy a row per group, not per play."""
+    flag = lambda c: F.sum(F.col(c).cast("int")).alias(f"n_{c}")
+    return clean.groupBy("year", *names).agg(
+        n_rows().alias("n"), F.count("played_at").alias("timed"), exact_sum("minutes_played").alias("minutes"),
+        F.min("date").alias("first_date"), F.max("date").alias("last_date"),
+        flag("skipped"), flag("shuffle"), flag("offline"))
+
+
 def _mean_pct(col: str):
-    return half_even(F.avg(F.col(col).cast("int")) * F.lit(100.0), 1)
+    return half_even(F.sum(f"n_{col}").cast("double") / F.sum("n").cast("double") * F.lit(100.0), 1)
 
 
-def _hours(col: str = "minutes_played"):
-    return half_even(exact_sum(col).cast("double") / F.lit(60.0), 1)
+def _hours():
+    return half_even(F.sum("minutes").cast("double") / F.lit(60.0), 1)
 
 
 def ingest_summary(wh: Warehouse) -> DataFrame:
-    return wh.clean.agg(
-        F.min("date").alias("first_date"),
-        F.max("date").alias("last_date"),
+    return _reduced(wh.clean, "artist_name", "track_name", "album_name").agg(
+        F.min("first_date").alias("first_date"),
+        F.max("last_date").alias("last_date"),
         F.array_join(F.sort_array(F.collect_set(F.col("year").cast("string"))), ",").alias("years"),
         _hours().alias("total_hours"),
-        n_rows().alias("total_streams"),
+        F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("total_streams"),
         F.countDistinct("artist_name").alias("unique_artists"),
         F.countDistinct("track_name").alias("unique_tracks"),
         F.countDistinct("album_name").alias("unique_albums"),
@@ -41,8 +51,8 @@ def ingest_summary(wh: Warehouse) -> DataFrame:
 
 
 def ingest_by_year(wh: Warehouse) -> DataFrame:
-    return (wh.clean.groupBy("year").agg(
-                F.count("played_at").alias("streams"),
+    return (_reduced(wh.clean, "artist_name", "track_name").groupBy("year").agg(
+                F.sum("timed").alias("streams"),
                 _hours().alias("hours"),
                 F.countDistinct("artist_name").alias("unique_artists"),
                 F.countDistinct("track_name").alias("unique_tracks"),

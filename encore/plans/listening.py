@@ -35,14 +35,32 @@ def _skip_avg():
     return F.avg(F.col("skipped").cast("int"))
 
 
-def _shuffle_avg():
-    return F.avg(F.col("shuffle").cast("int"))
-
-
 def _ratio(num, den):
     return num.cast("double") / den.cast("double")
 
 
+def reduced(plays: DataFrame, *by: str) -> DataFrame:
+    """Plays per (``by``, artist, track), grouped map-side: distinct counts over
+    these rows copy a row per pair, not per play."""
+    return plays.groupBy(*by, "artist_id", "track_id").agg(
+        n_rows().alias("n"), exact_sum("minutes_played").alias("minutes"),
+        F.sum(F.col("skipped").cast("int")).alias("n_skip"),
+        F.sum(F.col("shuffle").cast("int")).alias("n_shuffle"))
+
+
+def _figures(skip_name: str = "skip_pct") -> list:
+    """Totals over ``reduced`` rows."""
+    n = F.sum("n")
+    return [
+        n.alias("total_streams"),
+        _hours(F.sum("minutes")).alias("total_hours"),
+        F.countDistinct("artist_id").alias("unique_artists"),
+        F.countDistinct("track_id").alias("unique_tracks"),
+        _pct(_ratio(F.sum("n_skip"), n)).alias(skip_name),
+        _pct(_ratio(F.sum("n_shuffle"), n)).alias("shuffle_pct"),
+    ]
+
+
 # Q1 -------------------------------------------------------------------------
 def summary_stats(wh: Warehouse) -> DataFrame:
     p = wh.plays
@@ -50,15 +68,9 @@ def summary_stats(wh: Warehouse) -> DataFrame:
     top = (p.groupBy("country").agg(n_rows().alias("n"))
             .agg(F.min(F.struct((-F.col("n")).alias("k"), F.col("country").alias("c"))).getField("c"))
             .scalar())
-    return p.agg(
-        n_rows().alias("total_streams"),
-        _hours(exact_sum("minutes_played")).alias("total_hours"),
-        F.countDistinct("artist_id").alias("unique_artists"),
-        F.countDistinct("track_id").alias("unique_tracks"),
-        _pct(_skip_avg()).alias("overall_skip_pct"),
-        _pct(_shuffle_avg()).alias("shuffle_pct"),
-        F.countDistinct("year").alias("years_covered"),
-    ).withColumn("top_country", top)
+    none = F.lit(0).cast("long")
+    return reduced(p, "year").agg(*_figures("overall_skip_pct"), F.countDistinct("year").alias("years_covered")).withColumns(
+        {"total_streams": F.coalesce("total_streams", none), "top_country": top})
 
 
 # Q2 -------------------------------------------------------------------------
@@ -130,14 +142,7 @@ def monthly_trend(wh: Warehouse) -> DataFrame:
 
 
 def year_comparison(wh: Warehouse) -> DataFrame:
-    return (wh.plays.groupBy("year").agg(
-                n_rows().alias("total_streams"),
-                _hours(exact_sum("minutes_played")).alias("total_hours"),
-                F.countDistinct("artist_id").alias("unique_artists"),
-                F.countDistinct("track_id").alias("unique_tracks"),
-                _pct(_skip_avg()).alias("skip_pct"),
-                _pct(_shuffle_avg()).alias("shuffle_pct"))
-            .orderBy("year"))
+    return reduced(wh.plays, "year").groupBy("year").agg(*_figures()).orderBy("year")
 
 
 def skip_analysis(wh: Warehouse) -> DataFrame:
@@ -159,12 +164,10 @@ def _named_tracks(wh: Warehouse, meta: DataFrame) -> DataFrame:
 def completion_leaders(wh: Warehouse, n: int = 15, strict: bool = False) -> DataFrame:
     rate = "completion_rate_strict" if strict else "completion_rate"
     m = (wh.track_metadata.where((F.col("total_plays") >= 5) & F.col(rate).isNotNull())
-         .select("track_id", F.col(rate).alias("completion_rate"), "total_plays"))
-    per_track = wh.plays.groupBy("track_id").agg(
-        exact_sum("minutes_played").alias("minutes"), n_rows().alias("n"))
-    j = _named_tracks(wh, m).join(per_track, "track_id")
-    g = j.groupBy("track_name", "artist_name", "completion_rate", "total_plays").agg(
-        F.sum("minutes").alias("minutes"), F.sum("n").alias("n"))
+         .select("track_id", F.col(rate).alias("completion_rate"), "total_plays", "total_minutes"))
+    # tracks of one name, artist and figures are one row; the build stored each track's minutes
+    g = _named_tracks(wh, m).groupBy("track_name", "artist_name", "completion_rate", "total_plays").agg(
+        F.sum("total_minutes").alias("minutes"), (F.count(F.lit(1)) * F.col("total_plays")).alias("n"))
     return (g.orderBy(F.desc("completion_rate"), F.desc("total_plays"),
                       F.asc("track_name"), F.asc("artist_name"))
              .limit(n)
@@ -198,13 +201,7 @@ def country_rows(wh: Warehouse) -> DataFrame:
              .groupBy("country")
              .agg(F.min(F.struct((-F.col("n")).alias("k"), F.col("hour").alias("h")))
                   .getField("h").alias("peak_hour")))
-    s = f.groupBy("country").agg(
-        n_rows().alias("total_streams"),
-        _hours(exact_sum("minutes_played")).alias("total_hours"),
-        F.countDistinct("artist_id").alias("unique_artists"),
-        F.countDistinct("track_id").alias("unique_tracks"),
-        _pct(_skip_avg()).alias("skip_pct"),
-        _pct(_shuffle_avg()).alias("shuffle_pct"))
+    s = reduced(f, "country").groupBy("country").agg(*_figures())
     return s.join(peak, "country")
 
 

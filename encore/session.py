@@ -63,10 +63,6 @@ def shared_dir(spark: SparkSession) -> str:
     return local
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def conf_int(spark: SparkSession, key: str, default: int) -> int:
     try:
         return int(spark.conf.get(key, str(default)))

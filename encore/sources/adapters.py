@@ -1,8 +1,9 @@
 """Adapters from the driver's TPC-style test tables to this workload's inputs.
 
-* ``raw_plays``          — plays in the export schema (lineitem-grain, some exact copies)
-* ``metadata_landed``    — one row per track URI as the metadata service returned it
-* ``weather_landed``     — daily weather rows per country as the weather service returned them
+* ``raw_plays``          — plays as export text (lineitem-grain, some exact copies, some
+  unreadable durations, times with several zones, fields that the clean step drops)
+* ``metadata_payloads``  — batches of the metadata service's answers, some landed twice
+* ``weather_payloads``   — daily arrays per country and year, some landed twice
 * ``city_coordinates``   — the fixed country -> city table
 
 Every adapter is a plain DataFrame plan over the given tables, so its work
@@ -32,6 +33,10 @@ WEATHER_CONSTANTS = [
 REGION_COUNTRY = {"EUROPE": "de", "ASIA": " PK", "AMERICA": "US"}
 LINE_PLATFORM = {0: "Android", 1: "ios ", 2: "web_player", 3: "desktop"}
 URI_PREFIX = "music:track:"
+# Texts that are no whole number of milliseconds; read as 0.
+UNREADABLE_MS = ["n/a", "60000d", ""]
+# Answers per metadata batch.
+BATCH = 50
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,9 +70,20 @@ def raw_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     hours = ((ln * 3 + sk) % 24).cast("int")
     live = (ln == 7) & (pk % 50 == 0)
     feat = (ln == 7) & (pk % 40 == 0)
+    # one instant as text: with Z, with an offset, without a zone
+    clock = lambda h: (F.col("o_orderdate") + F.make_dt_interval(hours=h)).cast("string")
+    ts = (F.when(ln % 3 == 0, F.concat(F.replace(clock(hours), F.lit(" "), F.lit("T")), F.lit("Z")))
+           .when(ln % 3 == 1, F.concat(F.replace(clock(hours + 2), F.lit(" "), F.lit("T")), F.lit("+02:00")))
+           .otherwise(clock(hours)))
+    ms = ((F.col("l_quantity") - 1) * 6000 + (pk % 21) * 300).cast("long").cast("string")
+    unreadable = F.element_at(F.array(*[F.lit(t) for t in UNREADABLE_MS]), (sk % len(UNREADABLE_MS) + 1).cast("int"))
     plays = j.select(
-        (F.col("o_orderdate") + F.make_dt_interval(hours=hours)).alias("ts"),
-        ((F.col("l_quantity") - 1) * 6000 + (pk % 21) * 300).cast("long").alias("ms_played"),
+        ts.alias("ts"),
+        F.when((pk % 89 == 0) & (ln == 6), unreadable).when(pk % 89 == 1, F.concat(ms, F.lit(".0"))).otherwise(ms)
+         .alias("ms_played"),
+        F.concat(F.lit("10.0.0."), (sk % 250).cast("string")).alias("ip_addr"),
+        F.lit(None).cast("string").alias("episode_name"),
+        F.unix_timestamp(F.lit("2024-01-01 00:00:00")).alias("offline_timestamp"),
         F.col("conn_country"),
         _case(ln % 5, LINE_PLATFORM).alias("platform"),
         F.when(sk % 29 == 0, F.lit(None).cast("string"))
@@ -87,19 +103,24 @@ def raw_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plays.drop("_copy")
 
 
-def metadata_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per URI (three URIs per part) as the metadata service returned it."""
+def metadata_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The service's answers for three ids per part, in batches of 50; an
+    unavailable track is null, and every seventh batch landed twice."""
     p = _table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
-    ok = F.col("p_partkey") % 83 != 0
-    return (p.select("*", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("k"))
-             .select(
-                 F.concat(F.lit(URI_PREFIX), (F.col("p_partkey") * 3 + F.col("k")).cast("string")).alias("track_uri"),
-                 F.when(ok, F.col("p_size") * 2).alias("popularity"),
-                 F.when(ok, (F.lit(120000) + F.col("p_size") * 3000).cast("long")).alias("duration_ms"),
-                 F.when(ok, F.col("p_type") == "PROMO").alias("explicit"),
-                 F.when(ok, F.concat((F.lit(1950) + F.col("p_size")).cast("string"), F.lit("-01-01"))).alias("release_date"),
-                 ok.alias("api_available"),
-             ))
+    answer = F.struct(
+        (F.col("p_size") * 2).cast("int").alias("popularity"),
+        (F.lit(120000) + F.col("p_size") * 3000).cast("long").alias("duration_ms"),
+        (F.col("p_type") == "PROMO").alias("explicit"),
+        F.struct(F.concat((F.lit(1950) + F.col("p_size")).cast("string"), F.lit("-01-01")).alias("release_date")).alias("album"))
+    number = F.col("p_partkey") * 3 + F.col("k")
+    asked = (p.select("*", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("k"))
+              .select(F.floor(number / BATCH).alias("batch"), number.cast("string").alias("id"),
+                      F.when(F.col("p_partkey") % 83 != 0, answer).alias("track")))
+    batches = asked.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("id", "track"))).alias("answers"))
+    landings = F.sequence(F.lit(1), F.when(F.col("batch") % 7 == 0, 2).otherwise(1))
+    return (batches.select("answers", F.explode(landings).alias("_landing"))
+                   .select(F.lit(None).cast("array<bigint>").alias("track_ids"),
+                           F.col("answers.id").alias("source_ids"), F.col("answers.track").alias("tracks")))
 
 
 def constant_table(spark: SparkSession, names: list[str], rows: list[tuple]) -> DataFrame:
@@ -112,14 +133,15 @@ def city_coordinates(spark: SparkSession) -> DataFrame:
     return constant_table(spark, ["country", "city", "lat", "lon"], CITY_COORDS)
 
 
-def weather_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily weather per (country, day) over every order date, as delivered.
+def weather_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The service's daily arrays per country and year over every order date; even
+    years landed twice.
 
     Distinct order dates are bounded by the calendar, so the per-country
-    expansion stays small whatever the order volume.
+    expansion and an array of one year's days stay small whatever the order volume.
     """
     days = (_table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("date"))
-            .distinct())
+            .where(F.col("date").isNotNull()).distinct())
     consts = F.array(*[
         F.struct(F.lit(c).alias("country"), F.lit(b).alias("base"), F.lit(s).alias("slope"),
                  F.lit(pm).alias("peak"), F.lit(o).alias("offset"))
@@ -133,14 +155,17 @@ def weather_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     temp = F.when(n % 101 != 0,
                   (F.col("base") - F.col("slope") * F.abs(F.col("peak") - F.col("m"))).cast("double")
                   + (n * 7 % 100).cast("double") / 10)
-    return x.select(
-        "date",
-        (temp + 4).alias("temp_max"),
-        (temp - 4).alias("temp_min"),
-        temp.alias("temp_mean"),
-        F.when(n % 97 != 0, ((n * 13 + F.col("offset")) % 40).cast("double") / 10).alias("precipitation"),
-        F.when(n % 89 != 0, (n * 11 % 50).cast("double") * 1000).alias("sunshine_duration"),
-        (n % 30).cast("double").alias("wind_speed_max"),
-        "country",
-        cities.alias("city"),
-    )
+    measures = {
+        "time": F.date_format("date", "yyyy-MM-dd"),
+        "temperature_2m_max": temp + 4, "temperature_2m_min": temp - 4, "temperature_2m_mean": temp,
+        "precipitation_sum": F.when(n % 97 != 0, ((n * 13 + F.col("offset")) % 40).cast("double") / 10),
+        # odd days end 18 s after the whole: half a hundredth of an hour when 9 divides the thousands
+        "sunshine_duration": F.when(n % 89 != 0, ((n * 11 % 50) * 1000 + n % 2 * 18).cast("double")),
+        "wind_speed_10m_max": (n % 30).cast("double"),
+    }
+    day = F.struct(*[v.alias(k) for k, v in measures.items()])
+    spans = (x.groupBy("country", cities.alias("city"), F.year("date").alias("year"))
+              .agg(F.array_sort(F.collect_list(day)).alias("days")))
+    landings = F.sequence(F.lit(1), F.when(F.col("year") % 2 == 0, 2).otherwise(1))
+    return (spans.select("country", "city", "days", F.explode(landings).alias("_landing"))
+                 .select("country", "city", F.struct(*[F.col(f"days.{k}").alias(k) for k in measures]).alias("daily")))

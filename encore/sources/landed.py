@@ -75,8 +75,8 @@ def weather_rows(payloads: DataFrame) -> DataFrame:
 
 
 def sunshine_hours(seconds: Column) -> Column:
-    """Seconds -> hours, 2 decimals, half-even on the binary value (NULL-safe)."""
-    return numeric.half_even(seconds / F.lit(3600.0), 2)
+    """Seconds -> hours, 2 decimals by the exact binary value (NULL stays NULL)."""
+    return numeric.decimal_round(seconds / F.lit(3600.0), 2)
 
 
 def read_metadata_json(spark: SparkSession, path: str) -> DataFrame:
@@ -93,7 +93,8 @@ def metadata_rows(payloads: DataFrame) -> DataFrame:
     """
     pairs = F.arrays_zip(F.col("track_ids").alias("track_id"), F.col("source_ids").alias("source_id"),
                          F.col("tracks").alias("track"))
-    filled = payloads.withColumn("source_ids", F.coalesce("source_ids", F.array().cast("array<string>")))
+    filled = payloads.withColumns({"source_ids": F.coalesce("source_ids", F.array().cast("array<string>")),
+                                   "track_ids": F.coalesce("track_ids", F.array().cast("array<bigint>"))})
     answers = filled.select(F.inline(pairs)).where(F.col("track_id").isNotNull() | F.col("source_id").isNotNull())
     unnamed = F.when(F.col("source_id").isNull(), F.col("track_id"))
     rows = (answers.groupBy("source_id", unnamed.alias("_unnamed"))

@@ -11,32 +11,32 @@ from __future__ import annotations
 import hashlib
 import os
 import threading
+import time
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from encore.operators import clean as clean_op
 from encore.operators import checks, features, keys, star
 from encore.operators import weather as weather_op
 from encore.session import path_join, shared_dir
-from encore.sources import adapters
+from encore.sources import adapters, landed, raw
 
 @dataclass
 class Sources:
     raw: DataFrame              # export-schema plays
     metadata: DataFrame         # landed metadata rows (keyed by track_uri or track_id)
     weather: DataFrame          # landed daily weather rows (delivered units)
-    coords: DataFrame           # country -> city, lat, lon
 
 
 def sources_from_tables(spark: SparkSession, sf_dir: str) -> Sources:
     return Sources(
         raw=adapters.raw_plays(spark, sf_dir),
-        metadata=adapters.metadata_landed(spark, sf_dir),
-        weather=adapters.weather_landed(spark, sf_dir),
-        coords=adapters.city_coordinates(spark),
+        metadata=landed.metadata_rows(adapters.metadata_payloads(spark, sf_dir)),
+        weather=landed.weather_rows(adapters.weather_payloads(spark, sf_dir)),
     )
 
 
@@ -48,7 +48,6 @@ def sources_from_landed(spark: SparkSession, export_dir: str, metadata_path: str
     manifests); a missing folder means no service data yet (every track
     ``api_available = false``, no weather rows).
     """
-    from encore.sources import landed, raw
     meta_payloads = (landed.read_metadata_json(spark, metadata_path) if metadata_path
                      else spark.createDataFrame([], landed.METADATA_SCHEMA))
     meta = landed.metadata_rows(meta_payloads)
@@ -56,15 +55,13 @@ def sources_from_landed(spark: SparkSession, export_dir: str, metadata_path: str
         weather = landed.weather_rows(landed.read_weather_json(spark, weather_path))
     else:
         weather = landed.weather_rows(spark.createDataFrame([], landed.WEATHER_SCHEMA))
-    return Sources(raw=raw.read_export(spark, export_dir), metadata=meta, weather=weather,
-                   coords=adapters.city_coordinates(spark))
+    return Sources(raw=raw.read_export(spark, export_dir), metadata=meta, weather=weather)
 
 
 @dataclass
 class Warehouse:
     spark: SparkSession
     root: str
-    sources: Sources
     clean: DataFrame
     plays: DataFrame
     dim_artists: DataFrame
@@ -72,7 +69,8 @@ class Warehouse:
     track_metadata: DataFrame
     weather: DataFrame
     staged: DataFrame           # clean plays with their row id (every clean play)
-    rows: dict = field(default_factory=dict)
+    raw_counts: DataFrame       # one row: raw and music rows of the build
+    coords: DataFrame           # country -> city, lat, lon
 
     def fact_streams(self) -> DataFrame:
         return self.plays.select(*star.FACT_COLUMNS)
@@ -91,13 +89,9 @@ class Warehouse:
         return self.staged.select(F.col("row_id").alias("date_id"), *star.DATE_COLUMNS)
 
 
-def _write(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def _count(df: DataFrame) -> int:
-    return df.count()  # parquet: footers only, no column is read
+def _write(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
+    df.write.mode("overwrite").parquet(path, partitionBy=partition_by)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def build_warehouse(spark: SparkSession, sources: Sources, root: str) -> Warehouse:
@@ -106,39 +100,65 @@ def build_warehouse(spark: SparkSession, sources: Sources, root: str) -> Warehou
     # Clean plays, written once in chronological (total) order with position
     # tags; stream ids are offsets over those tags.
     clean_lazy = clean_op.clean_plays(sources.raw)
-    ranged = keys.write_ranged(clean_lazy, clean_op.PLAY_ORDER, p("streaming_clean"),
-                               num_partitions=keys.range_partitions(clean_lazy))
-    offsets = _write(keys.partition_offsets(ranged), p("streaming_clean_offsets"))
-    staged = keys.attach_ids(ranged, "row_id", offsets)
-    clean = ranged.drop(keys.PART, keys.SEQ)
-
-    artists = _write(star.dim_artists(clean, p("_scratch", "artists")), p("dim_artists"))
-    n_artists = _count(artists)
-    tracks = _write(star.dim_tracks(clean, artists, n_artists, p("_scratch", "tracks")), p("dim_tracks"))
-    n_tracks = _count(tracks)
-
-    plays = _write(star.plays(staged, tracks, n_tracks, artists, n_artists)
-                   .sortWithinPartitions("played_at"), p("plays"))
-
-    api = features.track_api(tracks, sources.metadata)
-    meta = _write(features.track_metadata(api, features.track_features(plays, api)),
-                  p("track_metadata"))
-    weather = _write(weather_op.dim_weather(sources.weather, plays), p("dim_weather"))
-
-    return Warehouse(spark, root, sources, clean, plays, artists, tracks, meta, weather, staged,
-                     rows={"dim_artists": n_artists, "dim_tracks": n_tracks})
-
-
-def load_warehouse(spark: SparkSession, sources: Sources, root: str) -> Warehouse:
-    """Open a warehouse written earlier by ``build_warehouse``."""
+    parts = keys.range_partitions(clean_lazy)
+    with keys.sized_shuffles(spark, parts):
+        counts = _write(clean_op.raw_counts(sources.raw), p("raw_counts"))
+        ranged = keys.write_ranged(clean_lazy, clean_op.PLAY_ORDER, p("streaming_clean"), num_partitions=parts)
+        offsets = _write(keys.partition_offsets(ranged), p("streaming_clean_offsets"))
+        staged = keys.attach_ids(ranged, "row_id", offsets)
+        clean = ranged.drop(keys.PART, keys.SEQ)
+
+        artists = _write(star.dim_artists(clean, p("_scratch", "artists")), p("dim_artists"))
+        tracks = _write(star.dim_tracks(clean, artists, p("_scratch", "tracks")), p("dim_tracks"))
+
+        # in time order over all files, and by year, whichever joins Spark picks
+        ids = _write(star.play_ids(clean, tracks, artists), p("_scratch", "play_ids"))
+        fact = star.plays(staged, ids)
+        plays = _write(fact.repartitionByRange(parts, "played_at", "stream_id").sortWithinPartitions("year", "played_at", "stream_id"),
+                       p("plays"), ["year"])
+
+        api = features.track_api(tracks, sources.metadata)
+        meta = _write(features.track_metadata(api, features.track_features(plays, api)),
+                      p("track_metadata"))
+        weather = _write(weather_op.dim_weather(sources.weather, plays), p("dim_weather"))
+
+    return Warehouse(spark, root, clean, plays, artists, tracks, meta, weather, staged, counts,
+                     adapters.city_coordinates(spark))
+
+
+def load_warehouse(spark: SparkSession, root: str) -> Warehouse:
+    """Open a warehouse written by ``build_warehouse``; its inputs aren't needed."""
     r = lambda name: spark.read.parquet(path_join(root, name))
     ranged = r("streaming_clean")
     staged = keys.attach_ids(ranged, "row_id", r("streaming_clean_offsets"))
     clean = ranged.drop(keys.PART, keys.SEQ)
-    artists, tracks = r("dim_artists"), r("dim_tracks")
-    return Warehouse(spark, root, sources, clean, r("plays"), artists, tracks,
-                     r("track_metadata"), r("dim_weather"), staged,
-                     rows={"dim_artists": _count(artists), "dim_tracks": _count(tracks)})
+    # the schema is given: the fact of an empty export has no year folder to read it from
+    of_clean = {f.name: f for f in clean.schema.fields}
+    ids = {c: T.StructField(c, T.LongType()) for c in star.FACT_COLUMNS[:4]}
+    schema = T.StructType([{**of_clean, **ids}[c] for c in star.PLAY_COLUMNS])
+    plays = spark.read.schema(schema).parquet(path_join(root, "plays")).select(*star.PLAY_COLUMNS)
+    return Warehouse(spark, root, clean, plays, r("dim_artists"), r("dim_tracks"),
+                     r("track_metadata"), r("dim_weather"), staged, r("raw_counts"),
+                     adapters.city_coordinates(spark))
+
+
+def rebuild(spark: SparkSession, sources: Sources, base: str) -> Warehouse:
+    """A new version of the warehouse in its own folder under ``base``, checked
+    and marked last: until then, and if it fails, readers keep the one before."""
+    version = f"{time.time_ns() // 1_000_000:015d}-{uuid.uuid4().hex[:8]}"
+    wh = build_warehouse(spark, sources, path_join(base, version))
+    complete(wh)
+    return wh
+
+
+def open_latest(spark: SparkSession, base: str) -> Warehouse:
+    """The newest complete version under ``base``."""
+    found = completed_build(spark, base)
+    if found is None:
+        raise FileNotFoundError(f"no complete warehouse under {base}")
+    wh = load_warehouse(spark, found)
+    wh.register_views()
+    return wh
 
 
 _LOCK = threading.Lock()
@@ -178,35 +198,25 @@ def input_fingerprint(spark: SparkSession, sf_dir: str, tables: list[str] = ADAP
 
 
 def completed_build(spark: SparkSession, base: str) -> str | None:
-    """A finished warehouse under ``base`` (marker written after the last table)."""
+    """The newest finished warehouse under ``base`` (marker written after the last table)."""
     fs, path = _fs(spark, base)
     if not fs.exists(path):
         return None
-    for st in sorted(fs.listStatus(path), key=lambda x: x.getPath().getName()):
+    for st in sorted(fs.listStatus(path), key=lambda x: x.getPath().getName(), reverse=True):
         if st.isDirectory() and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(st.getPath(), COMPLETE_MARKER)):
             return st.getPath().toString()
     return None
 
 
-def clear_marker(spark: SparkSession, root: str) -> None:
-    """A folder that is built anew is no complete warehouse until it is checked."""
-    fs, path = _fs(spark, path_join(root, COMPLETE_MARKER))
-    if fs.exists(path):
-        fs.delete(path, False)
-
-
 def complete(wh: Warehouse) -> None:
     """Gate of a build: V1-V5 must hold before it is marked complete."""
     found = checks.integrity_checks(wh.clean, wh.plays, wh.dim_tracks, wh.dim_artists)
     broken = [f"{r.check}: {r.violations}" for r in found.where("violations > 0").collect()]
     if broken:
         raise ValueError(f"the build of {wh.root} isn't sound ({', '.join(broken)})")
-    mark_complete(wh.spark, wh.root)
-
-
-def mark_complete(spark: SparkSession, root: str) -> None:
-    fs, path = _fs(spark, path_join(root, COMPLETE_MARKER))
-    fs.create(path, True).close()
+    fs, scratch = _fs(wh.spark, path_join(wh.root, "_scratch"))
+    fs.delete(scratch, True)  # read by the tables above only while they were written
+    fs.create(_fs(wh.spark, path_join(wh.root, COMPLETE_MARKER))[1], True).close()
 
 
 def warehouse_for(spark: SparkSession, sf_dir: str) -> Warehouse:
@@ -221,16 +231,13 @@ def warehouse_for(spark: SparkSession, sf_dir: str) -> Warehouse:
     with _LOCK:
         wh = _BUILT.get(key)
         if wh is None:
-            sources = sources_from_tables(spark, sf_dir)
             tag = hashlib.sha1(key[1].encode()).hexdigest()[:10]
             base = path_join(shared_dir(spark), "encore-warehouse", f"{tag}-{input_fingerprint(spark, sf_dir)}")
             done = completed_build(spark, base)
             if done:
-                wh = load_warehouse(spark, sources, done)
+                wh = load_warehouse(spark, done)
             else:
-                root = path_join(base, uuid.uuid4().hex[:12])
-                wh = build_warehouse(spark, sources, root)
-                complete(wh)
+                wh = rebuild(spark, sources_from_tables(spark, sf_dir), base)
             _BUILT[key] = wh
         return wh
 

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from encore.operators.clean import CLEAN_COLUMNS, clean_plays, removed_rows
+from encore.operators.clean import CLEAN_COLUMNS, clean_plays, raw_counts, removed_rows
 from tests.rows import play, raw_df
 
 TS = "2024-03-05T10:00:00Z"
@@ -26,7 +26,7 @@ def test_music_filter_and_threshold(spark):
     out = _clean(spark, rows).collect()
     assert [r.ms_played for r in out] == [5000]
     raw = raw_df(spark, rows)
-    r = removed_rows(raw, clean_plays(raw)).first()
+    r = removed_rows(raw_counts(raw), clean_plays(raw)).first()
     assert (r.raw_rows, r.music_rows, r.clean_rows, r.removed_rows, r.removed_from_raw) == (6, 4, 1, 3, 5)
 
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from encore.functions import labels
+from encore.functions import labels, numeric
 from encore.functions.numeric import half_even, mean_half_even, sql_round
 from encore.operators.keys import dense_ids, first_per_key
 from encore.sources.landed import metadata_rows, read_metadata_json, read_weather_json, weather_rows
@@ -102,3 +102,24 @@ def test_metadata_payload_rows(spark, tmp_path):
     assert rows[1].release_year == 1999 and rows[1].api_available is True
     assert rows[2].api_available is False and rows[2].popularity is None
     assert rows[3].release_year == 2001
+
+
+def test_decimal_round_is_pythons_round(spark):
+    import random
+    rnd = random.Random(7)
+    values = ([s / 3600 for s in range(0, 86401)] + [k / 8 for k in range(-200, 200)]
+              + [rnd.uniform(-1000, 1000) for _ in range(20000)] + [round(rnd.uniform(0, 90), 3) for _ in range(20000)])
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double")
+    got = df.select("v", numeric.decimal_round(F.col("v"), 2).alias("r")).collect()
+    assert [r.v for r in got if r.v is not None and r.r != round(r.v, 2)] == []
+    assert [r.r for r in got if r.v is None] == [None]
+
+
+def test_completion_is_rounded_in_double(spark):
+    from encore.operators.features import track_features
+    plays = spark.createDataFrame([(1, "2024-01-01", 61750, 1.03, False, False), (2, "2024-01-01", 5000, 0.08, False, False)],
+                                  "track_id long, date string, ms_played long, minutes_played double, skipped boolean, shuffle boolean")
+    api = spark.createDataFrame([(1, 500000), (2, 0)], "track_id long, duration_ms long")
+    rows = {r.track_id: r for r in track_features(plays, api).collect()}
+    assert rows[1].completion_rate == 0.124 and rows[1].completion_rate_strict == 0.124
+    assert rows[2].completion_rate == 1.0 and rows[2].completion_rate_strict is None

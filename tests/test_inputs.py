@@ -11,7 +11,8 @@ from encore.operators import clean as clean_op
 from encore.operators import weather as weather_op
 from encore.session import path_join, shared_dir
 from encore.sources import landed, raw
-from encore.sources.warehouse import build_warehouse, clear_marker, complete, completed_build, sources_from_landed
+from encore.plans.catalog import QUERIES
+from encore.sources.warehouse import build_warehouse, complete, completed_build, open_latest, rebuild, sources_from_landed
 from encore.streaming import ingest
 from tests.rows import FIELDS, play, raw_df
 
@@ -107,13 +108,31 @@ def test_a_weather_day_landed_twice_is_one_day(spark):
     assert [(r.country, r.date, r.temp_mean) for r in rows] == [("DE", dt.date(2024, 1, 1), 3.0)]
 
 
-def test_a_build_that_loses_plays_is_not_complete(spark, tmp_path):
+def test_a_failed_rebuild_leaves_the_warehouse_before(spark, tmp_path):
     export = os.path.join(tmp_path, "export")
-    _land(export, "Streaming_History_Audio_0.json", _plays(2) + [play("2024-02-01T10:00:00Z", 60000, "T", "A", None)])
+    _land(export, "Streaming_History_Audio_0.json", _plays(2))
     base = path_join(shared_dir(spark), "gate-" + uuid.uuid4().hex[:8])
-    root = path_join(base, "one")
-    wh = build_warehouse(spark, sources_from_landed(spark, export, None, None), root)
-    clear_marker(spark, root)
+    first = rebuild(spark, sources_from_landed(spark, export, None, None), base)
+    assert completed_build(spark, base).endswith(os.path.basename(first.root))
+    assert not os.path.exists(path_join(first.root, "_scratch"))
+    # a play without a URI never reaches the fact: the build must not be published
+    _land(export, "Streaming_History_Audio_1.json", [play("2024-02-01T10:00:00Z", 60000, "T", "A", None)])
     with pytest.raises(ValueError, match="fact_rows_equal_clean_rows: 1"):
-        complete(wh)
-    assert completed_build(spark, base) is None
+        rebuild(spark, sources_from_landed(spark, export, None, None), base)
+    assert len([d for d in os.listdir(base) if not d.startswith("_")]) == 2
+    wh = open_latest(spark, base)  # needs no inputs, and names its tables
+    assert os.path.basename(wh.root) == os.path.basename(first.root)
+    by_sql = spark.sql("""SELECT artist_name, count(*) AS n FROM fact_streams JOIN dim_artists USING (artist_id)
+                          GROUP BY artist_name""").collect()
+    assert {r.artist_name: r.n for r in by_sql} == {r.artist_name: r.total_streams for r in QUERIES["top_artists"](wh).collect()}
+
+
+def test_an_export_without_plays_builds_and_opens(spark, tmp_path):
+    export = os.path.join(tmp_path, "export")
+    _land(export, "Streaming_History_Audio_0.json", [])
+    base = path_join(shared_dir(spark), "none-" + uuid.uuid4().hex[:8])
+    rebuild(spark, sources_from_landed(spark, export, None, None), base)
+    wh = open_latest(spark, base)
+    assert wh.plays.count() == 0 and QUERIES["summary_stats"](wh).first().total_streams == 0
+    for fn in QUERIES.values():
+        fn(wh).collect()

@@ -67,7 +67,8 @@ def test_command_line_build_and_query(spark, tmp_path, capsys):
     _json(os.path.join(export, "Streaming_History_Audio_2024.json"), [dict(zip(FIELDS, r)) for r in rows])
     out = path_join(shared_dir(spark), "cli-" + uuid.uuid4().hex[:8])
     assert main(["build", "--export", export, "--out", out]) == 0
-    assert main(["query", "top_artists", "--warehouse", out, "--export", export]) == 0
+    assert main(["query", "top_artists", "year_comparison", "--warehouse", out]) == 0
     printed = capsys.readouterr().out
-    assert "artist_name" in printed and "|B " in printed
-    assert main(["preview", "--warehouse", out, "--export", export, "--rows", "3"]) == 0
+    assert "artist_name" in printed and "|B " in printed and "-- year_comparison" in printed
+    assert main(["sql", "SELECT count(*) AS n FROM fact_streams", "--warehouse", out]) == 0
+    assert "|5 " in capsys.readouterr().out

@@ -90,7 +90,7 @@ def test_flagship_query_stable(wh_small, wh_other_partitions):
 
 def test_features_equal_on_any_partitioning_and_join(spark, wh_small):
     from encore.operators import features
-    api = features.track_api(wh_small.dim_tracks, wh_small.sources.metadata)
+    api = wh_small.track_metadata.select("track_id", "duration_ms")
     want = sorted(map(tuple, features.track_features(wh_small.plays, api).collect()))
     for parts, threshold in ((1, "-1"), (7, "10m"), (64, "-1")):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
@@ -101,28 +101,67 @@ def test_features_equal_on_any_partitioning_and_join(spark, wh_small):
             spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_fact_join_without_broadcast_hint(spark, wh_small):
-    """Above the row limit the star join is a plain join and gives the same fact."""
+@pytest.mark.parametrize("threshold", ["-1", "100m"])
+@pytest.mark.parametrize("share", [0.0, 0.001, 1.0])
+def test_fact_is_the_same_on_any_join(spark, wh_small, monkeypatch, threshold, share):
+    """All, some or no pairs hot; broadcast or sorted: the same fact."""
     from encore.operators import star
-    old = spark.conf.get(star.BROADCAST_ROWS_KEY, str(star.BROADCAST_ROWS_DEFAULT))
-    spark.conf.set(star.BROADCAST_ROWS_KEY, "0")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr(star, "HOT_SHARE", share)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
-        rebuilt = star.plays(wh_small.staged, wh_small.dim_tracks, 10 ** 9, wh_small.dim_artists, 10 ** 9)
-        assert "SortMergeJoin" in plan(rebuilt)
+        ids = star.play_ids(wh_small.clean, wh_small.dim_tracks, wh_small.dim_artists)
+        rebuilt = star.plays(wh_small.staged, ids)
+        if threshold == "-1":
+            assert "SortMergeJoin" in plan(rebuilt)
         cols = wh_small.plays.columns
+        assert rebuilt.count() == wh_small.plays.count()
         assert rebuilt.select(*cols).exceptAll(wh_small.plays).count() == 0
     finally:
-        spark.conf.set(star.BROADCAST_ROWS_KEY, old)
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_fact_files_are_in_time_order_and_pruned_by_year(spark, wh_small):
+    from pyspark.sql import functions as F
+    files = (wh_small.plays.groupBy(F.input_file_name().alias("f"))
+             .agg(F.min("stream_id").alias("a"), F.max("stream_id").alias("b")).orderBy("a").collect())
+    assert len(files) > 1 and all(x.b < y.a for x, y in zip(files, files[1:]))
+    assert all("/year=" in r.f for r in files)
+    p = plan(wh_small.plays.where("year = 1995").select("track_id"))
+    assert re.search(r"PartitionFilters: \[[^\]]*year#\d+ = 1995", p)
+
+
+@pytest.mark.parametrize("key", ["summary_stats", "year_comparison", "country_summary", "ingest_summary", "ingest_by_year"])
+def test_distinct_counts_expand_groups_not_plays(wh_small, key):
+    p = plan(QUERIES[key](wh_small))
+    below = p[p.index("Expand"):]
+    # between the plays and the copies there are both steps of an aggregate
+    assert below.index("HashAggregate") < below.index("Exchange") < below.index("FileScan")
+
+
+def test_reports_read_what_the_build_stored(wh_small):
+    for key in ("completion_leaders", "completion_leaders_strict"):
+        assert "stream_id" not in plan(QUERIES[key](wh_small)) and "minutes_played" not in plan(QUERIES[key](wh_small))
+    p = plan(QUERIES["removed_rows"](wh_small))
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", p)  # the stored row, and the clean table's row count
+    assert set(schemas) == {"", "raw_rows:bigint,music_rows:bigint"}
+
+
+def test_build_shuffles_grow_with_the_input(spark):
+    from encore.operators import keys
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with keys.sized_shuffles(spark, 1000):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "1000"
+    with keys.sized_shuffles(spark, 1):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 def test_reopened_warehouse_equals_built(spark, wh_small):
     """A completed build is found again by fingerprint and reads back equal."""
     from encore.sources import warehouse as W
     base = os.path.dirname(wh_small.root.rstrip("/"))
     assert W.completed_build(spark, base) is not None
-    again = W.load_warehouse(spark, wh_small.sources, wh_small.root)
+    again = W.load_warehouse(spark, wh_small.root)
     for a, b in [(again.plays, wh_small.plays), (again.dim_tracks, wh_small.dim_tracks),
                  (again.dim_date(), wh_small.dim_date())]:
         assert a.exceptAll(b).count() == 0 and a.count() == b.count()
@@ -145,5 +184,5 @@ def test_hot_key_operators_aggregate_map_side(spark, wh_small):
     assert _partial_before_exchange(plan(dedupe))
     firsts = keys.first_per_key(wh_small.clean, "track_uri", ["track_name"], ["album_name", "artist_name"])
     assert _partial_before_exchange(plan(firsts))
-    api = features.track_api(wh_small.dim_tracks, wh_small.sources.metadata)
+    api = wh_small.track_metadata.select("track_id", "duration_ms")
     assert "partial_count" in plan(features.track_features(wh_small.plays, api))

@@ -6,7 +6,6 @@ import pytest
 
 from encore.plans import listening, previews
 from encore.plans.catalog import QUERIES
-from encore.sources.adapters import city_coordinates
 from encore.sources.warehouse import Sources, build_warehouse
 from tests.rows import play, raw_df
 
@@ -65,7 +64,7 @@ def wh(spark):
         (dt.date(2024, 1, 10), 30.0, 20.0, 25.0, 0.0, 0.0, 5.0, "PK", "Karachi"),  # no PK plays that day
     ], "date date, temp_max double, temp_min double, temp_mean double, precipitation double, "
        "sunshine_duration double, wind_speed_max double, country string, city string")
-    sources = Sources(raw=raw_df(spark, _plays()), metadata=meta, weather=wx, coords=city_coordinates(spark))
+    sources = Sources(raw=raw_df(spark, _plays()), metadata=meta, weather=wx)
     return build_warehouse(spark, sources, path_join(shared_dir(spark), "edge-" + uuid.uuid4().hex[:8]))
 
 
