@@ -14,8 +14,8 @@ rest get the full check.
 
 Scale: all is done on distinct fingerprints, so any number of copies costs one
 row. Buckets are counted first. Buckets of at most ``bucket`` rows are
-compared in tasks that hold many buckets and return a spanning star per local
-group instead of pairs. Larger buckets (many near copies, or far more
+compared in tasks that hold about ``SHARD_ROWS`` rows of many buckets, however
+many there are, and return a spanning star per local group instead of pairs. Larger buckets (many near copies, or far more
 documents than segment values) are never compared pairwise: their fingerprints
 are dealt with each of their bits flipped once, as two fingerprints at
 distance 2 meet at one between them; these meetings have at most 65 members.
@@ -41,6 +41,7 @@ from encore.llm import wordhash as wh
 from encore.llm.common import byte_buffer, pieces, shuffle_partitions, written
 
 BUCKET = 4096
+SHARD_ROWS = 200_000
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 
@@ -153,7 +154,6 @@ def links(distinct: DataFrame, *, distance: int = 2, bucket: int = BUCKET) -> Da
     """Edges (a, b) between distinct fingerprints (column ``fp``) whose
     components are those of all links."""
     spark = distinct.sparkSession
-    shards = shuffle_partitions(spark)
     segments = _segments(distance)
     ring = F.explode(F.array(*[F.struct(F.lit(i).alias("start"),
                                         F.shiftrightunsigned("fp", s).bitwiseAND((1 << w) - 1).alias("key"))
@@ -169,6 +169,7 @@ def links(distinct: DataFrame, *, distance: int = 2, bucket: int = BUCKET) -> Da
 
     # the flips below are complete at distance 2; elsewhere no bucket is left out here
     small = met.where(F.col("n") <= bucket) if distance == 2 else met
+    shards = max(shuffle_partitions(spark), -(-small.count() // SHARD_ROWS))
     small = (small.withColumn("__shard", F.pmod(F.xxhash64("start", "key"), F.lit(shards)))
              .groupBy("__shard").applyInArrow(compare, "a long, b long"))
     if distance != 2:

@@ -59,13 +59,14 @@ def test_simhash_groups_match_brute_force(spark, bucket):
     assert sorted((r.doc_id is None, r.doc_id or 0, r.fingerprint, r.component_id) for r in got) == want
 
 
-def test_simhash_links_dense_fingerprints_either_way(spark):
+def test_simhash_links_dense_fingerprints_either_way(spark, monkeypatch):
     """Fingerprints that crowd one bucket: flips and pairs find the same groups."""
     rng = random.Random(5)
     prints = list({0xABCDEF << 40 | sum(1 << rng.randrange(40) for _ in range(3)) for _ in range(400)})
     signed = [p - (1 << 64) if p >> 63 else p for p in prints]
     frame = spark.createDataFrame([(p,) for p in signed], "fp long")
     want = h.components(prints, signed, 2)
+    monkeypatch.setattr(simhash, "SHARD_ROWS", 50)
     for bucket in (2, 4096):
         found = {r.node: r.root for r in simhash.components(simhash.links(frame, bucket=bucket)).collect()}
         assert [found.get(p, p) for p in signed] == want
