@@ -12,7 +12,7 @@ Scale: equal vectors form one class, kept with its k + 1 smallest ids, so a
 vector that fills a third of the table is one entry. The sorted arrays are
 range-partitioned by (tree, string, class) with dense positions and cut into
 chunks of ``chunk`` positions that overlap by ``reach``; no chunk is larger
-whatever the strings. Strings travel without the vectors. Candidates meet the
+whatever the strings, and blocks hold about ``BLOCK_ROWS`` vectors. Strings travel without the vectors. Candidates meet the
 vectors in blocks: a query is sent to a block once, with its candidates there,
 and returns its k + 1 nearest classes. Work per query is bounded by
 trees * 2 * reach.
@@ -40,6 +40,7 @@ SYMBOLS = 5
 REACH = 400
 CANDIDATES = 20_000
 CHUNK = 8192
+BLOCK_ROWS = 50_000
 
 
 def _matrix(column) -> np.ndarray:
@@ -92,10 +93,10 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding
     """For each id divisible by ``every``: its k nearest rows as query_id, rank,
     vec_id, score."""
     spark = vectors.sparkSession
-    blocks = shuffle_partitions(spark)
     rows = _usable(vectors, id_col, vec_col)
     common = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
     dim = common["d"] if common else 1
+    blocks = max(shuffle_partitions(spark), -(-common["count"] // BLOCK_ROWS) if common else 1)
     rows = rows.where(F.size("v") == dim)
     asks = F.col("id") % every == 0
     by_vector = Window.partitionBy("v").orderBy("id")
