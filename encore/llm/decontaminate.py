@@ -11,7 +11,8 @@ by exact containment on the shingles themselves.
 
 Only DataFrame functions are used. Scale: the sketch is broadcast while its
 measured row count stays under ``broadcast_rows``, and joined by a shuffle of
-the hashes beyond it; document shingles are made and looked up in one
+the hashes beyond it; the items that verify are broadcast under a measured
+size, and joined by salted keys beyond it; document shingles are made and looked up in one
 generated stage, so only hits leave it. Only candidate documents are read
 again.
 
@@ -32,6 +33,8 @@ from encore.llm.common import written
 SHINGLE = 5
 THRESHOLD = 0.8
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 * 1024 * 1024
+SALTS = 32
 _BLANKS = " \t\n\x0b\f\r"
 
 
@@ -71,7 +74,8 @@ def _text_hash(shingle_text: Column, size: int) -> Column:
 
 def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     item_id: str = "item_id", item_text: str = "text", *, shingle: int = SHINGLE,
-                    threshold: float = THRESHOLD, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+                    threshold: float = THRESHOLD, broadcast_rows: int = BROADCAST_ROWS,
+                    broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """A row per document and item that it contains: id, item id,
     ``item_shingles``, ``matched`` and ``containment``."""
     items = written(sketches(items, item_id, item_text, shingle=shingle, threshold=threshold), "items")
@@ -86,8 +90,8 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
         index = F.broadcast(index)
     candidates = written(hashed.join(index, "__hash").select("__key", "__ikey").distinct(), "candidates")
     # candidates are few: joined by their key with the texts, then with the items
-    pairs = (keyed.join(candidates, "__key")
-             .join(items.select("__ikey", "__item", "__shingles", "__size"), "__ikey"))
+    pairs = _with_items(keyed.join(candidates, "__key"), items.select("__ikey", "__item", "__shingles", "__size"),
+                        broadcast_bytes)
     # the words are made once per row: a generator keeps the optimizer from copying
     # the split into each use of them
     pairs = pairs.select("__id", "__item", "__shingles", "__size", F.explode(F.array(words(F.col("__text")))).alias("__words"))
@@ -100,6 +104,19 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
         F.col("matched").cast("long").alias("matched"), (F.col("matched") / F.col("__size")).alias("containment"))
 
 
+def _with_items(pairs: DataFrame, items: DataFrame, broadcast_bytes: int) -> DataFrame:
+    """Pairs with their item. One item may be in a third of all documents: items
+    are broadcast under a measured size, and beyond it each is copied to
+    ``SALTS`` keys, over which its documents are dealt."""
+    length = F.aggregate("__shingles", F.lit(0).cast("long"), lambda total, s: total + F.octet_length(s) + 16)
+    size = items.agg(F.coalesce(F.sum(length), F.lit(0))).first()[0]
+    if size <= broadcast_bytes:
+        return pairs.join(F.broadcast(items), "__ikey")
+    salt = F.pmod(F.xxhash64("__key", F.lit(7)), F.lit(SALTS)).cast("int")
+    copies = items.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return pairs.withColumn("__salt", salt).join(copies, ["__ikey", "__salt"]).drop("__salt")
+
+
 def clean_documents(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """Documents that contain no test item, unchanged."""
     found = contained_items(docs.select(F.xxhash64(id_col, text_col).alias("__row"), F.col(text_col).alias("__t")), items,

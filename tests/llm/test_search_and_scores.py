@@ -9,7 +9,8 @@ from tests.llm import helpers as h
 SF = "/root/testdata/sf0.01"
 
 
-def test_nearest_match_brute_force(spark):
+def test_nearest_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 30)
     rng = np.random.default_rng(2)
     x = rng.standard_normal((400, 8))
     x[50:130] = x[7]  # a vector that a fifth of the rows share
@@ -139,7 +140,7 @@ def test_decontamination_matches_brute_force(spark, broadcast_rows):
         texts += [" ".join(w).upper(), " ".join(w[: len(w) // 2]), " ".join(w[: int(len(w) * 0.9)])]
     docs = h.documents(spark, texts).withColumn("__key", F.lit(1)).withColumn("item_id", F.lit(2))
     bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string").withColumn("doc_id", F.lit(3))
-    got = decontaminate.contained_items(docs, bench, broadcast_rows=broadcast_rows).collect()
+    got = decontaminate.contained_items(docs, bench, broadcast_rows=broadcast_rows, broadcast_bytes=broadcast_rows).collect()
     want = h.contained(texts, items)
     assert sorted((r.doc_id, r.item_id) for r in got) == [(i, j) for i, js in enumerate(want) for j in js]
     clean = decontaminate.clean_documents(docs, bench).collect()
