@@ -14,8 +14,9 @@ finds good are relabelled good (the worst line stays bad), and the field is
 trained on these sequences.
 
 Scale: the model is fitted on the driver from at most ``fit_rows`` labelled
-documents, of each its first ``fit_lines`` lines (both documented bounds).
-Scoring is one pass over all texts, whole, without a shuffle.
+documents, whole, that have at most ``fit_lines`` lines together and a
+twentieth of these each (documented bounds); in training a long document's
+lines are several chains of ``chain`` lines. Scoring is one pass over all texts, whole, without a shuffle.
 
 Cases: null text is empty; an empty text is one empty line and gets a score;
 a document with one line has no neighbours; repeated rows are scored each;
@@ -27,15 +28,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from encore.llm import wordhash as wh
-from encore.llm.common import byte_buffer, pieces
+from encore.llm.common import byte_buffer, pieces, written
 from encore.llm.labelled import fit_calibration, held_out, logistic, sampled_documents
 
 FIT_ROWS = 4000
-FIT_LINES = 200
+FIT_LINES = 800_000
+CHAIN = 200
 THRESHOLD = 0.3
 
 _UPPER, _LETTER, _DIGIT, _SYMBOL, _CLOSE, _CALL, _BLANK = (np.zeros(256, bool) for _ in range(7))
@@ -170,24 +172,30 @@ def document_quality(marginal: np.ndarray, first: np.ndarray, size: np.ndarray)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text_col: str = "text", *,
-        fit_rows: int = FIT_ROWS, fit_lines: int = FIT_LINES, steps: int = 120) -> dict:
+        fit_rows: int = FIT_ROWS, fit_lines: int = FIT_LINES, chain: int = CHAIN, steps: int = 120) -> dict:
     """The model from a bounded sample of labelled documents."""
     def features(batches):
         for batch in batches:
             data, offsets = byte_buffer(batch.column(0))
-            out, each = [], []
+            out, at = [], []
             for a, b in pieces(offsets):
                 x, first, size = line_features(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
                 for r in range(b - a):
-                    lo, hi = first[r], min(first[r + 1], first[r] + fit_lines)
-                    out.append(np.concatenate([x[lo:hi], size[lo:hi, None]], 1).ravel())
-                    each.append(hi - lo)
-            yield pa.RecordBatch.from_pydict({"x": pa.array(out, pa.list_(pa.float64())), "__label": batch.column(1),
-                                              "__id": batch.column(2)})
+                    lo, hi = first[r], first[r + 1]
+                    if hi - lo <= max(fit_lines // 20, 1):
+                        out.append(np.concatenate([x[lo:hi], size[lo:hi, None]], 1).ravel())
+                        at.append(a + r)
+            at = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_pydict({"x": pa.array(out, pa.list_(pa.float64())), "__label": batch.column(1).take(at),
+                                              "__id": batch.column(2).take(at)})
 
     sample = sampled_documents(docs, labels, label, fit_rows, id_col, text_col)
-    rows = (sample.select("__text", "__label", F.xxhash64("__id", "__text").alias("__id"))
-            .mapInArrow(features, "x array<double>, __label int, __id long").toPandas().sort_values("__id"))
+    made = written(sample.select("__text", "__label", F.xxhash64("__id", "__text").alias("__id"))
+                   .mapInArrow(features, "x array<double>, __label int, __id long"), "lines")
+    # one narrow row per sampled document: those that fit together, in the order of their hash
+    sizes = made.groupBy("__id").agg(F.sum(F.size("x") / (SHAPES + 1)).alias("n"))
+    fitting = sizes.withColumn("total", F.sum("n").over(Window.orderBy("__id"))).where(F.col("total") <= fit_lines)
+    rows = made.join(F.broadcast(fitting.select("__id")), "__id").toPandas().sort_values("__id")
     tables = [np.asarray(v).reshape(-1, SHAPES + 1) for v in rows["x"]]
     y = rows["__label"].to_numpy()
     if not len(y) or y.min() == y.max():
@@ -199,12 +207,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str
     wide = np.concatenate([with_neighbours((x - mean) / scale, first), np.ones((len(x), 1))], 1)
     doc = np.repeat(np.arange(len(y)), np.diff(first))
     line_label = y[doc].astype(float)
-    w, _ = _fit_field(wide, line_label, first, False, steps)
+    chains = np.concatenate([*(np.arange(a, b, chain) for a, b in zip(first[:-1], first[1:])), first[-1:]])
+    w, _ = _fit_field(wide, line_label, chains, False, steps)
     alone = logistic(wide @ w)
     worst = np.full(len(y), 2.0)
     np.minimum.at(worst, doc, alone)
     line_label[(line_label == 0) & (alone > 0.5) & (alone > worst[doc])] = 1
-    w, transition = _fit_field(wide, line_label, first, True, steps)
+    w, transition = _fit_field(wide, line_label, chains, True, steps)
     marginal, _ = forward_backward(wide @ w, first, transition)
     return {"mean": mean, "scale": scale, "w": w, "transition": transition,
             "curve": fit_calibration(document_quality(marginal, first, size), y.astype(float))}
