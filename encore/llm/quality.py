@@ -36,7 +36,7 @@ from encore.llm.common import byte_buffer, pieces, written
 from encore.llm.labelled import fit_calibration, held_out, logistic, sampled_documents
 
 FIT_ROWS = 4000
-FIT_LINES = 800_000
+FIT_LINES = 400_000
 CHAIN = 200
 THRESHOLD = 0.3
 
