@@ -35,7 +35,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # rows are told apart by their key, so that repeated ids don't keep one another
-    keyed = docs.select("*", F.xxhash64("doc_id", "text").alias("__row"))
+    keyed = docs.select(*COLUMNS, F.xxhash64("doc_id", "text").alias("__row"))
     ordered = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("__row").alias("row"))
     found = simhash.groups(keyed.select(ordered.alias("doc"), "text"), "doc", "text")
     stay = found.where("doc = component_id").select(F.col("doc.row").alias("__row")).distinct()
@@ -55,7 +55,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontaminate.clean_documents(docs, items).select(*COLUMNS)
+    return decontaminate.clean_documents(docs.select(*COLUMNS), items)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

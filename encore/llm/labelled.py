@@ -24,10 +24,13 @@ def training_sample(labels: DataFrame, label: str, rows: int, id_col: str = "doc
 
 def sampled_documents(docs: DataFrame, labels: DataFrame, label: str, rows: int, id_col: str, text_col: str) -> DataFrame:
     """The sample's documents: id, ``__text``, ``__label``. The ids are at most
-    ``rows`` and so are broadcast."""
+    ``rows`` and so are broadcast. Rows that repeat an id count as one, the text
+    with the smallest hash, so the sample stays bounded whatever repeats."""
     sample = training_sample(labels, label, rows, id_col).withColumnRenamed(id_col, "__id")
-    return (docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
-            .join(F.broadcast(sample), "__id"))
+    found = (docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
+             .join(F.broadcast(sample), "__id"))
+    return (found.groupBy("__id").agg(F.min(F.struct(F.xxhash64("__text").alias("h"), "__text", "__label")).alias("r"))
+            .select("__id", "r.__text", "r.__label"))
 
 
 def logistic(x: np.ndarray) -> np.ndarray:

@@ -11,7 +11,7 @@ Scale: cutting is one pass over the texts without a shuffle. Only one narrow
 row per piece (no ids) is written and dealt by hash to groups of about
 ``GROUP_ROWS`` pieces, which are packed independently, long pieces first;
 memory is bounded by the group and the open bins. A third of all rows in one
-source or copies of one text are dealt like any other rows.
+source, copies of one text, or repeats of one row are dealt like any other rows.
 
 Cases: null text is an empty document (its end id alone); repeated rows are
 packed each; null ids are kept; ties in length go by id and hash; other
@@ -121,7 +121,9 @@ def pack(cut_pieces: DataFrame, id_col: str = "doc_id", *, sequence: int = SEQUE
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut_pieces.schema)
     tie = F.xxhash64(*[F.col(c) for c in (id_col, "piece", "start", "ids_crc32")])
-    return (cut_pieces.withColumns({"__tie": tie, "__group": F.pmod(F.xxhash64(tie, F.lit(1)), F.lit(groups))})
+    # the row's place in the written files parts rows that are equal in all columns
+    group = F.pmod(F.xxhash64(tie, F.monotonically_increasing_id()), F.lit(groups))
+    return (cut_pieces.withColumns({"__tie": tie, "__group": group})
             .groupBy("__group").applyInArrow(packed, fields + ", sequence_id long, `offset` long"))
 
 

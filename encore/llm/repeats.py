@@ -9,7 +9,8 @@ extensions are matched by a 128-bit hash of their words. Overlapping matched
 windows merge into maximal repeats, all at least ``window`` words long, and
 the covered words are removed.
 
-Scale: rows are dealt to blocks by the hash of (id, text). A block sends each
+Scale: rows are dealt to blocks by the hash of (id, text, partition read from),
+so that even a row repeated without end fills no block. A block sends each
 distinct anchor or window once, with its count, so a passage shared by a third
 of all documents costs one row per block, not one per copy, and no group is
 ever larger than the number of blocks. The text itself is shuffled once (the

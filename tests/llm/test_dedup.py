@@ -41,6 +41,16 @@ def test_repeats_with_repeated_and_null_ids_and_clashing_columns(spark):
     assert repeats.remove_repeats(docs.limit(0), window=10, anchor=4).count() == 0
 
 
+def test_repeats_of_one_row_fill_no_block(spark):
+    from encore.llm.common import block_of
+    text = " ".join(map(str, range(12)))
+    docs = h.documents(spark, [text] * 900 + ["a b"], [7] * 900 + [8]).repartition(30)
+    dealt = docs.groupBy(block_of(8, "doc_id", "text").alias("b")).count().collect()
+    assert len(dealt) == 8 and max(r["count"] for r in dealt) < 500
+    got = repeats.remove_repeats(docs, window=10, anchor=4, blocks=8).groupBy("doc_id", "n_words", "n_removed").count().collect()
+    assert sorted(map(tuple, got)) == [(7, 12, 12, 900), (8, 2, 0, 1)]
+
+
 @pytest.mark.parametrize("bucket", [1, 4096])
 def test_simhash_groups_match_brute_force(spark, bucket):
     rng = random.Random(8)

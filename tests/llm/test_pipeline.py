@@ -48,6 +48,10 @@ def test_stages_keep_the_documents_columns_and_take_odd_rows(spark):
             assert found.columns == docs.columns, name
             assert found.count() <= table.count()
         cp.STAGES[-1][1](spark, table, SF).collect()
+    clashing = docs.selectExpr("*", "1 __row", "2 __n", "3 predicted", "4 n_words", "5 __text", "6 piece")
+    for name, stage in cp.STAGES[:-1]:
+        assert stage(spark, clashing, SF).columns == docs.columns, name
+    assert cp.STAGES[-1][1](spark, clashing, SF).count() == len(texts)
     kept = cp.simhash_near_dedup(spark, docs, SF).collect()
     assert sum(r.doc_id == 2 for r in kept) == 1
     cut = {r.n_chars: r.text for r in cp.substring_dedup(spark, docs.where("doc_id = 2 or doc_id = 4"), SF).collect()}

@@ -1,9 +1,11 @@
+import zlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from encore.llm import ann, decontaminate, quality, toxicity, urlfilter
-from encore.llm.labelled import held_out
+from encore.llm.labelled import held_out, sampled_documents
 from tests.llm import helpers as h
 
 SF = "/root/testdata/sf0.01"
@@ -71,6 +73,13 @@ def test_scores_of_odd_rows(spark, module, label):
     assert module.score(docs.limit(3), module.fit(docs.limit(0), labels)).count() == 3
 
 
+def test_training_sample_is_bounded_when_one_id_repeats(spark):
+    docs = h.documents(spark, ["same text"] * 300 + ["other text", None], [1] * 300 + [1, 2])
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, toxic int")
+    rows = sampled_documents(docs, labels, "toxic", 10, "doc_id", "text").collect()
+    assert sorted(r["__id"] for r in rows) == [i for i in (1, 2) if zlib.crc32(str(i).encode()) % 5]
+
+
 def test_forward_backward_matches_enumeration():
     rng = np.random.default_rng(0)
     first = np.array([0, 4, 5, 8])
@@ -105,7 +114,6 @@ def test_block_max_index_is_exact():
 
 
 def test_folds_are_crc32(spark):
-    import zlib
     got = spark.range(200).select("id", held_out(F.col("id")).alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 5 == 0) for r in got)
 

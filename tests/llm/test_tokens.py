@@ -65,6 +65,14 @@ def test_packing_round_trip(spark):
     assert packing.pack_documents(docs.limit(0), PATH).count() == 0
 
 
+def test_repeats_of_one_row_are_dealt_to_all_groups(spark):
+    docs = h.documents(spark, ["a b c d"] * 600, [5] * 600).repartition(3)
+    got = packing.pack_documents(docs, PATH, sequence=64, group_rows=100).toPandas()
+    sizes = (got.sequence_id % 6).value_counts()
+    assert len(got) == 600 and len(sizes) == 6 and sizes.max() < 200
+    assert (got.groupby("sequence_id").length.sum() <= 64).all()
+
+
 def test_best_fit_takes_the_fullest_bin_and_closes_the_fullest():
     assert packing.best_fit([6, 5, 4, 5], 10, 8) == ([0, 1, 0, 1], [0, 0, 6, 5])
     # two open bins: the third piece closes the fullest (free 1), so the last can't use it
