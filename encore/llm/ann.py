@@ -1,4 +1,4 @@
-"""Approximate nearest neighbours with a hash-prefix forest.
+"""Nearest neighbours: a hash-prefix forest, then an exact pass under its bounds.
 
 Each tree gives a vector a long hash string: a row of symbols, each the axis
 (and its sign) that a random rotation of the centred vector points to most.
@@ -6,7 +6,14 @@ A tree is the array of these strings in sorted order, over all vectors. A
 query descends to the vectors with its longest prefix, which are those beside
 it in the array, up to ``reach`` on either side; then all trees ascend
 together, one bit of prefix at a time, until ``candidates`` vectors are found.
-Candidates are ranked by their exact Euclidean distance.
+Candidates are ranked by their exact Euclidean distance. The forest sees a
+bounded number of vectors at any table size, so what it finds is only a bound:
+the distance of its (k + 1)-th id, which no true neighbour exceeds. An exact
+pass then holds every query against all vectors: products in single precision
+leave out what surely lies beyond the bound, with a margin over their rounding
+error, and the rest is compared in double precision. The result is exact
+whatever ``reach`` and ``candidates`` are; they decide only how tight the bound
+is.
 
 Scale: equal vectors form one class, kept with its k + 1 smallest ids, so a
 vector that fills a third of the table is one entry. The sorted arrays are
@@ -14,8 +21,10 @@ range-partitioned by (tree, string, class) with dense positions and cut into
 chunks of ``chunk`` positions that overlap by ``reach``; no chunk is larger
 whatever the strings, and blocks hold about ``BLOCK_ROWS`` vectors. Strings travel without the vectors. Candidates meet the
 vectors in blocks: a query is sent to a block once, with its candidates there,
-and returns its k + 1 nearest classes. Work per query is bounded by
-trees * 2 * reach.
+and returns its k + 1 nearest classes. The forest's work per query is bounded by
+trees * 2 * reach. The exact pass is a grid of vector blocks and groups of about
+``QUERY_ROWS`` queries, so a task's memory is bounded; each cell returns k + 1
+ids a query. Its work is queries * vectors.
 
 Cases: vectors that are null, zero, or hold null or non-finite components take
 no part, nor do those whose length isn't the table's most common (ties: the
@@ -41,6 +50,11 @@ REACH = 400
 CANDIDATES = 20_000
 CHUNK = 8192
 BLOCK_ROWS = 50_000
+# queries of one cell of the exact pass; queries and vectors compared at once in it; distances computed at once
+QUERY_ROWS = 16_384
+QUERY_TILE = 512
+VECTOR_TILE = 4096
+PAIRS = 1 << 16
 
 
 def _matrix(column) -> np.ndarray:
@@ -79,6 +93,63 @@ def common_prefix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return 64 - np.bitwise_count(x).astype(np.int64)
 
 
+def least_ids(query: np.ndarray, score: np.ndarray, code: np.ndarray, k: int) -> np.ndarray:
+    """Places of each query's k nearest distinct codes (ties: the smaller), by query and nearness."""
+    order = np.lexsort((score, code, query))
+    new = np.ones(len(order), bool)
+    new[1:] = (query[order][1:] != query[order][:-1]) | (code[order][1:] != code[order][:-1])
+    order = order[new]
+    order = order[np.lexsort((code[order], score[order], query[order]))]
+    q = query[order]
+    return order[np.arange(len(q)) - np.searchsorted(q, q, "left") < k]
+
+
+def nearest_ids(x: np.ndarray, code: np.ndarray, at: np.ndarray, queries: np.ndarray, bound: np.ndarray, k: int):
+    """Each query's k nearest distinct codes within its bound, exactly: query,
+    code, distance. Vector i holds the codes ``code[at[i]:at[i + 1]]``."""
+    out = [(np.empty(0, np.int64), np.empty(0, code.dtype), np.empty(0))]
+    if not len(x) or not len(queries):
+        return out[0]
+    dim, eps = x.shape[1], float(np.finfo(np.float32).eps)
+    margin, least = (2 * dim + 16) * eps, dim * float(np.finfo(np.float32).tiny)
+    with np.errstate(all="ignore"):  # what overflows isn't left out
+        middle = x.mean(0)
+        scale = max(np.abs(x - middle).max(), np.abs(queries - middle).max()) or 1.0
+        flat = ((x - middle) / scale).astype(np.float32)
+        length = ((flat.astype(np.float64) ** 2).sum(1) * (1 - margin)).astype(np.float32)
+        flat *= -2
+    steps = [0, *(VECTOR_TILE >> s for s in (4, 2)), *range(VECTOR_TILE, len(x), VECTOR_TILE)]
+    steps = [*[s for s in steps if s < len(x)], len(x)]
+    for lo in range(0, len(queries), QUERY_TILE):
+        q, limit = queries[lo:lo + QUERY_TILE], bound[lo:lo + QUERY_TILE].copy()
+        with np.errstate(all="ignore"):
+            q32 = ((q - middle) / scale).astype(np.float32)
+            own = (q32.astype(np.float64) ** 2).sum(1) * (1 - margin)
+        best = out[0]
+        for a, b in zip(steps[:-1], steps[1:]):
+            with np.errstate(all="ignore"):
+                gap = q32 @ flat[a:b].T
+                gap += length[a:b]
+                far = ((limit / scale) ** 2 * (1 + margin) - own + least).astype(np.float32)
+                one, two = np.nonzero(~(gap > far[:, None]))
+            for c in range(0, len(one), PAIRS):
+                i, j = one[c:c + PAIRS], two[c:c + PAIRS] + a
+                d = np.sqrt(((x[j] - q[i]) ** 2).sum(1))
+                near = d <= limit[i]
+                i, j, d = i[near], j[near], d[near]
+                if not len(i):
+                    continue
+                n = at[j + 1] - at[j]
+                member = np.repeat(at[j] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                merged = [np.concatenate(pair) for pair in zip(best, (np.repeat(i, n), code[member], np.repeat(d, n)))]
+                keep = least_ids(merged[0], merged[2], merged[1], k)
+                best = tuple(m[keep] for m in merged)
+                full = np.flatnonzero(np.bincount(best[0], minlength=len(q)) == k)
+                limit[full] = np.minimum(limit[full], best[2][np.searchsorted(best[0], full, "right") - 1])
+        out.append((best[0] + lo, best[1], best[2]))
+    return tuple(np.concatenate(c) for c in zip(*out))
+
+
 def _usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     v = F.col("v")
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
@@ -108,8 +179,9 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding
                                                         F.pmod(F.xxhash64("v"), F.lit(blocks)).cast("int").alias("block"))
                       # an id with several vectors may lead several classes: the vector's hash tells them apart
                       .withColumn("cid", F.xxhash64("cid", "v")), "classes")
-    centre = classes.agg(*[F.avg(F.col("v")[i]).alias(f"c{i}") for i in range(dim)]).first()
+    asked_classes, *centre = classes.agg(F.count_if("asks"), *[F.avg(F.col("v")[i]).alias(f"c{i}") for i in range(dim)]).first()
     centre = np.array([c or 0.0 for c in centre], np.float64)
+    groups = max(1, -(-asked_classes // QUERY_ROWS))
 
     def strings(batches):
         turns = rotations(dim, trees, symbols)
@@ -191,8 +263,28 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding
     own = classes.where("asks").select("cid", F.col("cid").alias("near"), F.lit(0.0).alias("score"))
     members = classes.select(F.col("cid").alias("near"), F.explode("ids").alias("id"))
     best = Window.partitionBy("cid").orderBy("score", "id")
-    answers = (nearest.unionByName(own).join(members, "near").groupBy("cid", "id").agg(F.min("score").alias("score"))
-               .withColumn("n", F.row_number().over(best)).where(F.col("n") <= 2 * k + 2))
+    bounds = (nearest.unionByName(own).join(members, "near").groupBy("cid", "id").agg(F.min("score").alias("score"))
+              .withColumn("n", F.row_number().over(best)).where(F.col("n") == k + 1).select("cid", F.col("score").alias("bound")))
+
+    def compared(key, base, queries):
+        ids = base["ids"].combine_chunks()
+        flat = ids.flatten()
+        _, first, code = np.unique(np.asarray(flat), return_index=True, return_inverse=True)
+        at = np.concatenate([[0], np.cumsum(np.asarray(ids.value_lengths()))]).astype(np.int64)
+        bound = np.asarray(queries["bound"].fill_null(np.inf))
+        q, found, d = nearest_ids(_matrix(base["v"]), code, at, _matrix(queries["qv"]), bound, k + 1)
+        return pa.table({"cid": pa.array(np.asarray(queries["cid"])[q], pa.int64()),
+                         "id": flat.take(pa.array(first[found])), "score": pa.array(d, pa.float64())})
+
+    every_group, every_block = (F.explode(F.sequence(F.lit(0), F.lit(n - 1))) for n in (groups, blocks))
+    cells = classes.select("v", "ids", "block", every_group.alias("group")).groupBy("block", "group")
+    asked_cells = (classes.where("asks").select("cid", F.col("v").alias("qv")).join(bounds, "cid", "left")
+              .select("cid", "qv", "bound", F.pmod("cid", F.lit(groups)).cast("int").alias("group"), every_block.alias("block"))
+              .groupBy("block", "group"))
+    id_type = rows.schema["id"].dataType.simpleString()
+    exact = cells.cogroup(asked_cells).applyInArrow(compared, f"cid long, id {id_type}, score double")
+    answers = (exact.groupBy("cid", "id").agg(F.min("score").alias("score"))
+               .withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1))
     answers = answers.groupBy("cid").agg(F.array_sort(F.collect_list(F.struct("score", "id"))).alias("near"))
     queries = rows.where(asks).select("id", "v").distinct().join(classes.select("v", "cid"), "v").select(
         F.col("id").alias("query_id"), "cid")

@@ -36,6 +36,44 @@ def test_nearest_match_brute_force(spark, monkeypatch):
     assert ann.search(frame.limit(0)).count() == 0
 
 
+def nearest(x, ids, every, k=10):
+    """Brute force: (query_id, rank, vec_id) over the rows of a matrix."""
+    out = []
+    for q in np.flatnonzero(ids % every == 0):
+        d = np.sqrt(((x - x[q]) ** 2).sum(1))
+        hits = [ids[i] for i in np.lexsort((ids, d)) if i != q][:k]
+        out += [(ids[q], n + 1, i) for n, i in enumerate(hits)]
+    return sorted(out)
+
+
+def test_exact_where_the_forest_sees_few_rows(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 300)
+    monkeypatch.setattr(ann, "QUERY_ROWS", 20)
+    x = np.random.default_rng(5).standard_normal((3000, 32))
+    x[1500:2000] = np.round(x[1500:2000] / 3)  # many equal distances
+    x[2000:2100] += 1e4  # far from the middle
+    x = x[(x != 0).any(1)]
+    ids = np.arange(len(x))
+    frame = spark.createDataFrame([(int(i), [float(c) for c in v]) for i, v in zip(ids, x)], "vec_id long, embedding array<double>")
+    got = ann.search(frame, every=50, trees=3, symbols=2, reach=10, candidates=30, chunk=256).collect()
+    assert sorted((r.query_id, r.rank, r.vec_id) for r in got) == nearest(x, ids, 50)
+
+
+def test_an_id_with_many_vectors_answers_once():
+    rng = np.random.default_rng(8)
+    x, q = rng.standard_normal((900, 4)) * 1e200, rng.standard_normal((7, 4)) * 1e200
+    x = np.concatenate([x, rng.standard_normal((900, 4))])
+    code = rng.integers(0, 60, len(x))
+    for scale in (1.0, 1e-250):
+        got = ann.nearest_ids(x * scale, code, np.arange(len(x) + 1), q * scale, np.full(7, np.inf), 5)
+        want = []
+        for i in range(7):
+            d = np.sqrt(((x * scale - q[i] * scale) ** 2).sum(1))
+            each = sorted((d[code == c].min(), c) for c in np.unique(code))[:5]
+            want += [(i, c, e) for e, c in each]
+        assert list(zip(*(g.tolist() for g in got))) == want
+
+
 def test_recall_on_the_table(spark):
     frame = spark.read.parquet(f"{SF}/embeddings.parquet")
     table = frame.toPandas()
