@@ -27,8 +27,9 @@ trees * 2 * reach. The exact pass is a grid of vector blocks and groups of about
 ids a query. Its work is queries * vectors.
 
 Cases: vectors that are null, zero, or hold null or non-finite components take
-no part, nor do those whose length isn't the table's most common (ties: the
-longer); a null id takes no part; repeated rows (equal id and vector) count
+no part; vectors of other lengths are searched each among their own, the
+forest bounding the most common length alone (ties: the longer), the others go
+to the exact pass without a bound; a null id takes no part; repeated rows (equal id and vector) count
 once; an id with several vectors has each of them as a row, and none of them
 answers that id's queries; other columns are not read; fewer candidates than
 k are all returned; empty tables give an empty result.
@@ -165,10 +166,11 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding
     vec_id, score."""
     spark = vectors.sparkSession
     rows = _usable(vectors, id_col, vec_col)
-    common = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
+    lengths = rows.groupBy(F.size("v").alias("d")).count()
+    common = lengths.orderBy(F.desc("count"), F.desc("d")).first()
     dim = common["d"] if common else 1
-    blocks = max(shuffle_partitions(spark), -(-common["count"] // BLOCK_ROWS) if common else 1)
-    rows = rows.where(F.size("v") == dim)
+    total = lengths.agg(F.sum("count")).first()[0] or 0
+    blocks = max(shuffle_partitions(spark), -(-total // BLOCK_ROWS))
     asks = F.col("id") % every == 0
     by_vector = Window.partitionBy("v").orderBy("id")
     few = rows.groupBy("v", "id").agg(F.lit(1).alias("one")).select(
@@ -179,7 +181,9 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding
                                                         F.pmod(F.xxhash64("v"), F.lit(blocks)).cast("int").alias("block"))
                       # an id with several vectors may lead several classes: the vector's hash tells them apart
                       .withColumn("cid", F.xxhash64("cid", "v")), "classes")
-    asked_classes, *centre = classes.agg(F.count_if("asks"), *[F.avg(F.col("v")[i]).alias(f"c{i}") for i in range(dim)]).first()
+    usual = classes.where(F.size("v") == dim)
+    asked_classes = classes.where("asks").count()
+    centre = usual.agg(*[F.avg(F.col("v")[i]).alias(f"c{i}") for i in range(dim)]).first()
     centre = np.array([c or 0.0 for c in centre], np.float64)
     groups = max(1, -(-asked_classes // QUERY_ROWS))
 
@@ -194,7 +198,7 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding
                 "asks": pa.array(np.repeat(np.asarray(batch.column(2), dtype=bool), trees)),
                 "block": pa.array(np.repeat(np.asarray(batch.column(3)), trees))})
 
-    forest = classes.select("cid", "v", "asks", "block").mapInArrow(
+    forest = usual.select("cid", "v", "asks", "block").mapInArrow(
         strings, "tree int, h long, cid long, asks boolean, block int")
     forest = dense_ids(forest, ["tree", "h", "cid"], "place", scratch_path(spark, "forest"), blocks)
     span = F.array_distinct(F.transform(F.array(*[F.lit(x) for x in (-reach, 0, reach)]),
@@ -238,7 +242,7 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding
                          "near": pa.array(parts, pa.list_(pa.int64()))})
 
     chosen = found.groupBy("cid").applyInArrow(ascend, "cid long, block int, near array<long>")
-    asked = chosen.join(classes.where("asks").select("cid", F.col("v").alias("qv")), "cid")
+    asked = chosen.join(usual.where("asks").select("cid", F.col("v").alias("qv")), "cid")
 
     def ranked(key, base, queries):
         ids = np.asarray(base["cid"])
@@ -257,11 +261,11 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding
         return pa.table({"cid": pa.array(flat[0].astype(np.int64)), "near": pa.array(flat[1].astype(np.int64)),
                          "score": pa.array(flat[2].astype(np.float64))})
 
-    nearest = (classes.select("cid", "v", "block").groupBy("block").cogroup(asked.groupBy("block"))
+    nearest = (usual.select("cid", "v", "block").groupBy("block").cogroup(asked.groupBy("block"))
                .applyInArrow(ranked, "cid long, near long, score double"))
     # a class holds all its equal rows at distance 0 to one another
-    own = classes.where("asks").select("cid", F.col("cid").alias("near"), F.lit(0.0).alias("score"))
-    members = classes.select(F.col("cid").alias("near"), F.explode("ids").alias("id"))
+    own = usual.where("asks").select("cid", F.col("cid").alias("near"), F.lit(0.0).alias("score"))
+    members = usual.select(F.col("cid").alias("near"), F.explode("ids").alias("id"))
     best = Window.partitionBy("cid").orderBy("score", "id")
     bounds = (nearest.unionByName(own).join(members, "near").groupBy("cid", "id").agg(F.min("score").alias("score"))
               .withColumn("n", F.row_number().over(best)).where(F.col("n") == k + 1).select("cid", F.col("score").alias("bound")))
@@ -277,10 +281,11 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding
                          "id": flat.take(pa.array(first[found])), "score": pa.array(d, pa.float64())})
 
     every_group, every_block = (F.explode(F.sequence(F.lit(0), F.lit(n - 1))) for n in (groups, blocks))
-    cells = classes.select("v", "ids", "block", every_group.alias("group")).groupBy("block", "group")
+    cells = (classes.select("v", "ids", F.size("v").alias("length"), "block", every_group.alias("group"))
+             .groupBy("length", "block", "group"))
     asked_cells = (classes.where("asks").select("cid", F.col("v").alias("qv")).join(bounds, "cid", "left")
-              .select("cid", "qv", "bound", F.pmod("cid", F.lit(groups)).cast("int").alias("group"), every_block.alias("block"))
-              .groupBy("block", "group"))
+              .select("cid", "qv", "bound", F.size("qv").alias("length"), F.pmod("cid", F.lit(groups)).cast("int").alias("group"), every_block.alias("block"))
+              .groupBy("length", "block", "group"))
     id_type = rows.schema["id"].dataType.simpleString()
     exact = cells.cogroup(asked_cells).applyInArrow(compared, f"cid long, id {id_type}, score double")
     answers = (exact.groupBy("cid", "id").agg(F.min("score").alias("score"))

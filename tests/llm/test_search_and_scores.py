@@ -59,6 +59,16 @@ def test_exact_where_the_forest_sees_few_rows(spark, monkeypatch):
     assert sorted((r.query_id, r.rank, r.vec_id) for r in got) == nearest(x, ids, 50)
 
 
+def test_each_vector_length_is_searched(spark):
+    rng = np.random.default_rng(9)
+    parts = [(d, np.arange(a, a + n), rng.standard_normal((n, d))) for d, a, n in ((6, 0, 90), (4, 100, 60), (9, 200, 1), (3, 300, 5))]
+    frame = spark.createDataFrame([(int(i), [float(c) for c in v]) for _, ids, x in parts for i, v in zip(ids, x)],
+                                  "vec_id long, embedding array<double>")
+    got = ann.search(frame, every=20, trees=3, symbols=2).collect()
+    want = [w for _, ids, x in parts for w in nearest(x, ids, 20)]
+    assert sorted((r.query_id, r.rank, r.vec_id) for r in got) == sorted(want)
+
+
 def test_an_id_with_many_vectors_answers_once():
     rng = np.random.default_rng(8)
     x, q = rng.standard_normal((900, 4)) * 1e200, rng.standard_normal((7, 4)) * 1e200
