@@ -12,8 +12,9 @@ nearest examples are returned as evidence.
 
 Terms are runs of letters, A-Z lowered, by 64-bit hash. The vocabulary is
 chosen from the labelled sample by the chi-square statistic of a term's
-presence against the label, at most ``vocabulary`` terms of at least
-``chi_square``. Document frequencies are counted over all documents.
+presence against the label: at most ``vocabulary`` terms of at least
+``chi_square``, and the best ``least_terms`` in any case, since the statistic
+grows with the sample and no term of a small one may reach the bar. Document frequencies are counted over all documents.
 
 Scale: the sample has at most ``fit_rows`` labelled documents (a documented
 bound), the vocabulary is bounded, so the index is small and goes with the
@@ -41,6 +42,7 @@ from encore.llm.labelled import fit_calibration, held_out, logistic, sampled_doc
 FIT_ROWS = 20_000
 VOCABULARY = 4096
 CHI_SQUARE = 40.0
+LEAST_TERMS = 100
 NEIGHBOURS = 10
 BLOCK = 64
 THRESHOLD = 0.5
@@ -135,7 +137,7 @@ def _vote(cosine: np.ndarray, label: np.ndarray, strangers: float) -> float:
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", *,
         fit_rows: int = FIT_ROWS, vocabulary: int = VOCABULARY, chi_square: float = CHI_SQUARE,
-        neighbours: int = NEIGHBOURS) -> dict:
+        least_terms: int = LEAST_TERMS, neighbours: int = NEIGHBOURS) -> dict:
     """Vocabulary, document frequencies, example index and calibration."""
     def example_terms(batches):
         for batch in batches:
@@ -160,10 +162,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
     other = both - a
     statistic = (F.lit(float(n)) * F.pow(a * (n - t - other) - other * (t - a), F.lit(2.0))
                  / (both * (n - both) * float(t) * float(n - t) + 1e-9))
-    chosen = (examples.select("label", F.explode("terms").alias("term")).groupBy("term")
-              .agg(F.sum("label").alias("toxic"), F.count("*").alias("all")).where("`all` >= 3")
-              .withColumn("chi", statistic).where(F.col("chi") >= chi_square)
-              .orderBy(F.desc("chi"), "term").limit(vocabulary).select("term").toPandas()["term"])
+    best = (examples.select("label", F.explode("terms").alias("term")).groupBy("term")
+            .agg(F.sum("label").alias("toxic"), F.count("*").alias("all")).where("`all` >= 3")
+            .withColumn("chi", statistic).where("chi > 0")
+            .orderBy(F.desc("chi"), "term").limit(vocabulary).select("term", "chi").toPandas())
+    chosen = best["term"][(best["chi"] >= chi_square) | (np.arange(len(best)) < least_terms)]
     terms = np.sort(chosen.to_numpy(np.int64).view(np.uint64))
     rows, df = _document_frequencies(docs, text_col, terms)
     idf = np.log((1 + rows) / (1 + df)) + 1

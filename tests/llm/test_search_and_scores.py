@@ -121,6 +121,18 @@ def test_scores_of_odd_rows(spark, module, label):
     assert module.score(docs.limit(3), module.fit(docs.limit(0), labels)).count() == 3
 
 
+def test_small_tables_find_their_toxic_documents(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    found = toxicity.score(docs, toxicity.fit(docs, labels)).join(labels, "doc_id").where("held_out").toPandas()
+    assert found.toxic.sum() > 0 and (found.predicted == found.toxic).all()
+    # half of the rows are toxic, by one of four words each
+    texts = [f"some plain words number n{i} {'bad' + 'abcd'[i // 2 % 4] if i % 2 else 'good'}" for i in range(80)]
+    docs = h.documents(spark, texts)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, toxic int")
+    found = toxicity.score(docs, toxicity.fit(docs, labels)).toPandas()
+    assert found.held_out.sum() > 5 and (found.predicted == found.doc_id % 2).all()
+
+
 def test_training_sample_is_bounded_when_one_id_repeats(spark):
     docs = h.documents(spark, ["same text"] * 300 + ["other text", None], [1] * 300 + [1, 2])
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, toxic int")
