@@ -53,7 +53,7 @@ def format_turns(conversations: DataFrame, tokenizer: str, *, conv: str = "conv_
     types = {f.name: f.dataType.simpleString() for f in conversations.schema}
 
     def assembled(batches):
-        encoder = Encoder.at(tokenizer)
+        encoder = Encoder.at(tokenizer, literal=True)
         start, sep, end = (encoder.vocabulary + i for i in range(3))
         for batch in batches:
             n = batch.num_rows
@@ -95,7 +95,7 @@ def read_turns(formatted: DataFrame, tokenizer: str, conv: str = "conv_id", turn
     types = {f.name: f.dataType.simpleString() for f in formatted.schema}
 
     def decoded(batches):
-        encoder = Encoder.at(tokenizer)
+        encoder = Encoder.at(tokenizer, literal=True)
         start, sep, end = (encoder.vocabulary + i for i in range(3))
         marks = sum(map(len, MARKERS))
         for batch in batches:

@@ -5,7 +5,11 @@ independently. Texts are cut here only where a pre-token must begin: before
 white space that a visible character follows, after such a line break, and
 between a letter and a closing mark. Each distinct cut is encoded once by the
 library and kept by its 64-bit hash; texts are then put together from the kept
-ids. A test compares this with the library on whole texts.
+ids. A text that holds one of the tokenizer's added tokens (as <|endoftext|>)
+isn't cut: the library, by its default, makes the literal token its id, and what
+stands beside it is cut differently. ``literal`` encodes special tokens in
+content as ordinary text (for chat turns). Tests compare this with the library on
+whole texts.
 """
 
 from __future__ import annotations
@@ -19,6 +23,8 @@ from encore.llm.common import pieces
 
 # distinct cuts kept by a worker (some 40 bytes each); beyond it starts anew
 KEPT_CUTS = 2_000_000
+# and their ids, since a whole text may be one cut
+KEPT_IDS = 1 << 24
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -36,24 +42,26 @@ _CUT_VALUE = np.random.default_rng(5077).integers(1, 2**63, 256, dtype=np.uint64
 
 
 class Encoder:
-    """Encodes buffers of texts; one per worker process and tokenizer file."""
+    """Encodes buffers of texts; one per worker process, tokenizer file and ``literal``."""
 
-    _made: dict[str, "Encoder"] = {}
+    _made: dict[tuple[str, bool], "Encoder"] = {}
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, literal: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = literal
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()
+                      if not (literal and t.special)]
         self.vocabulary = self.tokenizer.get_vocab_size()
         self._forget()
 
     @classmethod
-    def at(cls, path: str) -> "Encoder":
-        if path not in cls._made:
-            cls._made[path] = cls(path)
-        return cls._made[path]
+    def at(cls, path: str, literal: bool = False) -> "Encoder":
+        if (path, literal) not in cls._made:
+            cls._made[path, literal] = cls(path, literal)
+        return cls._made[path, literal]
 
     def _forget(self) -> None:
         # (sorted hashes, id starts, id counts) of an old large and a new small part
@@ -102,6 +110,17 @@ class Encoder:
             counts.append(b)
         return np.concatenate(ids), np.concatenate([[0], np.cumsum(np.concatenate(counts))]).astype(np.int64)
 
+    def _with_added(self, raw: bytes, offsets: np.ndarray) -> np.ndarray:
+        """Rows that may hold an added token."""
+        rows = np.zeros(len(offsets) - 1, bool)
+        for token in self.added:
+            at = raw.find(token)
+            while at >= 0:
+                row = int(np.searchsorted(offsets, at, "right")) - 1
+                rows[row] = True
+                at = raw.find(token, int(offsets[row + 1]))
+        return rows
+
     def _encode_piece(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         rows = len(offsets) - 1
         if len(data) == 0:
@@ -114,17 +133,20 @@ class Encoder:
         cut[:-2] = follows
         cut[1:-1] |= follows & (data[:-1] != 0x20)
         cut[1:-1] |= _LETTER[data[:-1]] & _MARK[data[1:]]
+        raw = data.tobytes()
+        whole = self._with_added(raw, offsets)
+        if whole.any():
+            cut[:-1] &= ~np.repeat(whole, np.diff(offsets))
         cut |= first
         starts = np.flatnonzero(cut[:-1])
         ends = np.append(starts[1:], len(data))
         hashes = wh.mix(wh.span_hashes(_CUT_VALUE[data], starts, ends, "byte") + (ends - starts).astype(np.uint64), 9)
         distinct, at, back = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.parts[0][0]) + len(self.parts[1][0]) > KEPT_CUTS:
+        if len(self.parts[0][0]) + len(self.parts[1][0]) > KEPT_CUTS or self.used > KEPT_IDS:
             self._forget()
         start, count = self._find(distinct)
         new = np.flatnonzero(start < 0)
         if len(new):
-            raw = data.tobytes()
             a, b = starts[at[new]].tolist(), ends[at[new]].tolist()
             self._learn(distinct[new], [raw[x:y].decode() for x, y in zip(a, b)])
             start[new], count[new] = self._find(distinct[new])

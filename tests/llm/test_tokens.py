@@ -32,6 +32,21 @@ def test_encoder_equals_the_library():
     assert encoded(TEXTS) == [library_ids(t) for t in TEXTS]
 
 
+def test_added_tokens_in_documents_are_the_librarys(spark):
+    from tokenizers import Tokenizer
+
+    fresh = Tokenizer.from_file(PATH)
+    texts = [*TEXTS, "a <|endoftext|> b", "<|endoftext|>", "a  <|endoftext|>  b, c", "x<|endoftext|><|endoftext|>\n y", "<|endof", "text|> z", None]
+    want = [fresh.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert any(50256 in w for w in want)
+    assert encoded(texts) == want
+    docs = h.documents(spark, texts)
+    rows = sorted(tokenfiles.round_trip(docs, PATH).collect(), key=lambda r: r.doc_id)
+    assert [(r.n_tokens, r.ids_crc32) for r in rows] == [(len(w) + 1, crc([*w, 0])) for w in want]
+    ids, at = Encoder.at(PATH, literal=True).encode(*byte_buffer(pa.array(texts, pa.string())))
+    assert 50256 not in ids.tolist() and fresh.decode(ids[:at[len(TEXTS)]].tolist()) == "".join(t or "" for t in TEXTS)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.text(alphabet=st.one_of(st.sampled_from(" \t\n\r\x0b\x85\u00a0\u2028.,;:!?'s'll'ABcdé1#<|>"), st.characters(codec="utf-8"))), max_size=4))
 def test_encoder_equals_the_library_on_any_text(texts):
