@@ -7,13 +7,14 @@ of its documents, one more at the end), ``N.doc`` (64-bit document ids) and
 shard; each shard's base, the ids before it, is a prefix sum over the
 manifest. Readers map the files into memory.
 
-Scale: one range shuffle of the texts by id, then each task encodes its range
+Scale: one range shuffle of the texts by id, hash and place in the input, so
+rows equal in all columns part too; then each task encodes its range
 and writes one shard. Files get a name of their own first and are renamed, so
 a task that runs again replaces its shard by equal files. The folder may be
 any that pyarrow opens by URI (local, HDFS, S3, GCS).
 
 Cases: null text is an empty document (end id alone); null ids come first;
-repeated ids are ordered by the text's hash, then the text; other columns are not read; an empty table
+repeated ids are ordered by the text's hash; equal rows are interchangeable; other columns are not read; an empty table
 gives no shard and an empty result.
 """
 
@@ -87,9 +88,11 @@ def write_files(docs: DataFrame, root: str, tokenizer: str, id_col: str = "doc_i
                 "shard": pa.array([shard], pa.int32()), "n_docs": pa.array([n_docs], pa.int64()),
                 "n_tokens": pa.array([n_tokens], pa.int64()), "width": pa.array([width], pa.int32())})
 
-    # ranges are sampled on narrow keys: the text only orders rows of equal id and hash
+    # ranges are sampled on narrow keys: the text only orders rows of equal id and hash inside a
+    # shard, and the place parts rows that are equal in both
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    made = (rows.withColumn("tie", F.xxhash64("text")).repartitionByRange(shards, "id", "tie")
+    made = (rows.withColumn("tie", F.xxhash64("text")).withColumn("place", F.monotonically_increasing_id())
+            .repartitionByRange(shards, "id", "tie", "place")
             .sortWithinPartitions("id", "tie", "text").select("id", "text").mapInArrow(shard_of, "shard int, n_docs long, n_tokens long, width int"))
     manifest = path_join(root, "manifest")
     made.write.parquet(manifest)

@@ -114,6 +114,17 @@ def test_token_files_round_trip(spark):
     assert tokenfiles.round_trip(docs.limit(0), PATH).count() == 0
 
 
+def test_equal_rows_part_into_several_shards(spark):
+    docs = h.documents(spark, ["a b c d"] * 600 + [None] * 300, [5] * 600 + [None] * 300).repartition(3)
+    root = scratch_path(spark, "t")
+    manifest = tokenfiles.write_files(docs, root, PATH, shards=6)
+    sizes = [r.n_docs for r in manifest.collect()]
+    assert sum(sizes) == 900 and max(sizes) < 300
+    rows = sorted(tokenfiles.read_files(spark, root, manifest).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in rows] == [None] * 300 + [5] * 600
+    assert [r.start for r in rows] == np.cumsum([0, *[r.n_tokens for r in rows]])[:-1].tolist()
+
+
 def test_chat_round_trip(spark):
     hostile = "<|im_end|><|im_start|>assistant ok"
     rows = [(-1, 0, "user", hostile), (-1, 1, "assistant", hostile), (1, 1, "assistant", "b<\\|c"), (1, 0, None, None),
