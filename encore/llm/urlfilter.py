@@ -4,8 +4,10 @@ A rule is a pattern over ``host + path`` with a verdict. Two kinds exist:
 ``host/path`` rules fit a host, its subdomains, and paths that start with the
 rule's path; ``word`` rules fit a word (letters and digits between other
 characters) anywhere in the host. Every rule has literal tokens, runs of a-z
-and 0-9; it is indexed by the one that occurs in the fewest distinct urls of
-the table. The tokens of a url fetch its candidate rules, and only those run
+and 0-9. A rule is indexed by the whole token, one that no letter or digit can
+follow in a fitting url, that occurs in the fewest distinct urls of the table;
+the last token of a path without a separator at its end isn't whole (``/fr``
+fits ``/france``). A rule without a whole token runs on every url. The tokens of a url fetch its candidate rules, and only those run
 their regular expressions. Among the fitting rules host/path rules come
 first, then the longest wins (ties: the smaller text); without a fit the
 verdict is ``allow``.
@@ -29,6 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_RULES = 100_000
+# the token of rules without a whole one; every url has it then
+ANY = "*"
 
 # (host, path, verdict), as the contract lists them
 SITE_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -54,10 +58,14 @@ def _compiled(sites: Sequence[tuple[str, str, str]], words: Sequence[str]) -> li
     """(kind, rule, verdict, regular expression, tokens); kind 1 goes before 0."""
     rules = [(1, host + path, verdict, f"^([^/]*\\.)?{_quoted(host + path)}", host + path) for host, path, verdict in sites]
     rules += [(0, word, "block", f"^([^/]*[^a-z0-9/])?{_quoted(word)}([^a-z0-9]|$)", word) for word in words]
-    out = [(*r[:4], sorted(set(re.findall("[a-z0-9]+", r[4].lower())))) for r in rules]
-    for rule in out:
-        if not rule[4]:
-            raise ValueError(f"rule {rule[1]!r} has no literal token")
+    out = []
+    for kind, rule, verdict, regex, text in rules:
+        text = text.lower()
+        if not re.search("[a-z0-9]", text):
+            raise ValueError(f"rule {rule!r} has no literal token")
+        # a site rule fits by prefix: what its text ends inside of isn't a whole token of the url
+        whole = re.findall("[a-z0-9]+(?=[^a-z0-9])" if kind == 1 else "[a-z0-9]+", text)
+        out.append((kind, rule, verdict, regex, sorted(set(whole)) or [ANY]))
     return out
 
 
@@ -80,8 +88,10 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", *,
         small = F.broadcast if len(compiled) <= BROADCAST_RULES else (lambda d: d)
         rules = spark.range(1).select(F.explode(literal).alias("r")).select("r.*")
         tokens = rules.select("__n", F.explode("__tokens").alias("__token"))
-        found = urls.select("__url", "__place", F.explode(F.array_distinct(
-            F.split(F.lower("__place"), "[^a-z0-9]+"))).alias("__token"))
+        held = F.array_distinct(F.split(F.lower("__place"), "[^a-z0-9]+"))
+        if any(ANY in t for *_, t in compiled):
+            held = F.array_append(held, F.lit(ANY))
+        found = urls.select("__url", "__place", F.explode(held).alias("__token"))
         seen = (found.join(small(tokens.select("__token").distinct()), "__token")
                 .groupBy("__token").agg(F.count("*").alias("__urls")))
         rarest = (tokens.join(seen, "__token", "left")

@@ -195,6 +195,18 @@ def test_url_filters(spark):
         urlfilter.judge(frame, words=["--"])
 
 
+def test_site_rules_fit_by_prefix_whatever_the_token_counts(spark):
+    sites = [("net", "/fr", "block"), ("shop", "", "block"), ("a.org", "/x/y1", "block")]
+    urls = ["http://a.net/france/x", "http://a.net/fr", "http://a.net/fr/1", "http://net/de", "http://b.net/", "http://shopping.org/z",
+            "http://x.shop/", "http://workshop.org/", "http://a.org/x/y12", "http://a.org/x/y2", "http://y1.com/", "http://fr.com/"]
+    for more in ([], [f"http://n{i}.net/" for i in range(20)], [f"http://w{i}.com/fr/{i}/y1" for i in range(20)]):
+        frame = spark.createDataFrame(list(enumerate(urls + more)), "page_id long, url string")
+        got = {r.page_id: r.rule for r in urlfilter.judge(frame, sites=sites, words=["casino"]).collect()}
+        assert [got[i] for i in range(len(urls))] == [
+            "net/fr", "net/fr", "net/fr", None, None, "shop", "shop", None, "a.org/x/y1", None, None, None]
+        assert not any(got[i] for i in range(len(urls), len(got)))
+
+
 @pytest.mark.parametrize("broadcast_rows", [0, 1_000_000])
 def test_decontamination_matches_brute_force(spark, broadcast_rows):
     rng = np.random.default_rng(6)
