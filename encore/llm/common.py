@@ -31,10 +31,51 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# A row of the smaller table with more than this share of all weight is hot; at
+# most 1 / share rows can be, which bounds what ``hot_join`` broadcasts.
+HOT_SHARE = 1e-4
+
+
+def hot_join(rows: DataFrame, keyed: DataFrame, on: list[str], weight: str, how: str = "left") -> DataFrame:
+    """``rows`` with the other columns of ``keyed``, which has one narrow row per key
+    (nulls match) and in ``weight`` how many rows a key meets. Pass a written table: it
+    is read several times.
+
+    Hot keys are broadcast (at most 1 / HOT_SHARE rows, by arithmetic), so their rows
+    stay where they are; the others are joined as Spark sees fit. In that second
+    join a row that has met a hot key goes by a number of its own, which meets
+    nothing, instead of all its like going to one task."""
+    others = [c for c in keyed.columns if c not in on]
+    share = keyed.agg(F.sum(weight)).scalar() * F.lit(HOT_SHARE)
+    packed = F.struct(*[F.col(c) for c in others])
+    keys = [F.col(c).alias(f"__on_{c}") for c in on]
+    hot = keyed.where(F.col(weight) > share).select(*keys, packed.alias("__hot"))
+    # never 1: a constant would not be a join key
+    cold = keyed.where(~(F.col(weight) > share)).select(*keys, F.when(F.col(weight) < 0, 1).otherwise(0).cast("long").alias("__own"),
+                                                      packed.alias("__cold"))
+
+    def same(left: DataFrame, right: DataFrame):
+        return [left[c].eqNullSafe(right[f"__on_{c}"]) for c in on]
+
+    met = rows.join(F.broadcast(hot), same(rows, hot), "left").select(*[rows[c] for c in rows.columns], "__hot")
+    own = F.when(F.col("__hot").isNotNull(), F.shiftright(F.xxhash64(*rows.columns), 1).bitwiseOR(F.lit(1))).otherwise(F.lit(0))
+    met = met.withColumn("__own", own.cast("long"))
+    both = met.join(cold, [*same(met, cold), met["__own"] == cold["__own"]], "left").select(
+        *[met[c] for c in rows.columns], F.coalesce("__hot", "__cold").alias("__met"))
+    both = both.where("__met is not null") if how == "inner" else both
+    return both.select(*rows.columns, *[F.col("__met")[c].alias(c) for c in others])
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def dealt(df: DataFrame, tasks: int, *cols: str) -> DataFrame:
+    """``df`` dealt by the columns to ``tasks`` partitions, where these are more than
+    a shuffle of the session has; else Spark's own shuffle of the next step does it."""
+    return df.repartition(tasks, *cols) if tasks > shuffle_partitions(df.sparkSession) else df
+
+
 def blocks_for(df: DataFrame, text: str, block_bytes: int = BLOCK_BYTES) -> int:
     """How many blocks hold the text column at ``block_bytes`` each: measured
     over all rows, and never fewer than the session's shuffle partitions."""

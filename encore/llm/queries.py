@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import (ann, chat, decontaminate, packing, quality, repeats, simhash, tokenfiles, toxicity, urlfilter)
+from encore.llm import (ann, chat, decontaminate, infill, linededup, merkle, packing, quality, repeats, simhash, tokenfiles,
+                        toxicity, urlfilter)
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -69,6 +70,27 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.round_trip(turns.unionByName(hostile), tokenizer_path())
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    changed = merkle.leaf_digest([F.col(c) + 1 if c == "n_chars" else F.col(c) for c in merkle.FIELDS])
+    proofs = merkle.manifest(docs.withColumn("tampered_leaf", F.when(tampered, changed)), carry=["tampered_leaf"])
+    found = merkle.verify(proofs, F.col("tampered_leaf"))
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linededup.drop_repeated_lines(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = infill.transform(_read(spark, sf_dir, "documents"))
+    digest = lambda text: F.sha2(text.cast("binary"), 256)
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"),
+                        digest(infill.restored(F.col("output"), F.col("form"))).alias("restored_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -78,7 +100,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_substring_dedup, op2_nearest_neighbours, op3_quality_classifier, op4_best_fit_packing,
                             op5_simhash, op6_decontamination, op7_url_filters, op8_toxicity, op9_token_files,
-                            op10_chat_format, pipeline)}
+                            op10_chat_format, op11_merkle_manifest, op12_line_dedup, op13_fill_in_middle, pipeline)}
 
 _WORDS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
 
@@ -124,4 +146,62 @@ SELECT page_id, host, path, rule,
        CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
             WHEN len(hits) > 0 THEN 'block' ELSE 'allow' END AS verdict
 FROM w""",
+    "op11_merkle_manifest": r"""
+WITH RECURSIVE crc AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+d AS (SELECT row_number() OVER () AS r, doc_id, lang, n_chars, text,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') AS head, coalesce(strlen(text) || ':' || text, '-') AS tail,
+    coalesce(xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+      lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 7 = 0, FALSE) AS tampered FROM documents, crc),
+leaf AS (SELECT r, doc_id, lang, sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS leaf,
+    sha256(head || coalesce(strlen((n_chars + tampered::INT)::VARCHAR) || ':' || (n_chars + tampered::INT), '-') || tail) AS claimed FROM d),
+node AS (SELECT r, lang, 0 AS level, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS idx, leaf AS h,
+    count(*) OVER (PARTITION BY lang) AS n FROM leaf
+  UNION ALL SELECT NULL, lang, level + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx)), (n + 1) // 2
+  FROM node WHERE n > 1 GROUP BY lang, level, idx // 2, n),
+top AS (SELECT lang, 0 AS level, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS idx, h, count(*) OVER () AS n FROM node WHERE n = 1
+  UNION ALL SELECT NULL, level + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx)), (n + 1) // 2
+  FROM top WHERE n > 1 GROUP BY level, idx // 2, n),
+place AS (SELECT r, node.lang, node.idx, top.idx AS above, top.h AS subroot FROM node JOIN top ON top.lang IS NOT DISTINCT FROM node.lang
+  AND top.level = 0 WHERE node.level = 0),
+own AS (SELECT DISTINCT lang, level FROM node WHERE n > 1),
+up AS (SELECT DISTINCT level FROM top WHERE n > 1),
+step AS (SELECT p.r, own.level, (p.idx >> own.level) & 1 AS side, s.h AS other FROM place p JOIN own ON own.lang IS NOT DISTINCT FROM p.lang
+  LEFT JOIN node s ON s.lang IS NOT DISTINCT FROM p.lang AND s.level = own.level AND s.idx = xor(p.idx >> own.level, 1)
+  UNION ALL SELECT p.r, 1000 + up.level, (p.above >> up.level) & 1, s.h FROM place p JOIN up ON TRUE
+  LEFT JOIN top s ON s.level = up.level AND s.idx = xor(p.above >> up.level, 1)),
+path AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY level) AS k FROM step),
+folded AS (SELECT r, 0 AS k, claimed AS h FROM leaf
+  UNION ALL SELECT f.r, p.k, sha256(CASE WHEN side = 0 THEN f.h || coalesce(other, '') ELSE other || f.h END)
+  FROM folded f JOIN path p ON p.r = f.r AND p.k = f.k + 1),
+final AS (SELECT r, arg_max(h, k) AS h FROM folded GROUP BY r),
+proof AS (SELECT r, string_agg(other, '' ORDER BY k) AS p FROM path GROUP BY r),
+root AS (SELECT h FROM top WHERE n = 1)
+SELECT doc_id, leaf, subroot, root.h AS root, sha256(coalesce(p, '')) AS proof_sha256, final.h AS folded_root, final.h = root.h AS verified
+FROM leaf JOIN place USING (r) JOIN final USING (r) LEFT JOIN proof USING (r), root""",
+    "op12_line_dedup": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT r, doc_id, i, lines[i] AS line, translate(trim(lines[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS i FROM d)),
+held AS (SELECT k, max(doc_id) AS keeper FROM l WHERE length(k) >= 20 GROUP BY k
+    HAVING count(DISTINCT doc_id) + max((doc_id IS NULL)::INT) >= 3),
+m AS (SELECT l.*, held.k IS NOT NULL AND doc_id IS DISTINCT FROM keeper AS gone FROM l LEFT JOIN held USING (k))
+SELECT doc_id, count(*) AS n_lines, count_if(gone)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY r, doc_id""",
+    "op13_fill_in_middle": r"""
+WITH u AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units,
+    sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS digest FROM documents),
+h AS (SELECT *, len(units) AS n, list_transform(range(4), lambda i: ('0x' || substr(digest, (8 * i + 1)::INT, 8))::BIGINT) AS h FROM u),
+c AS (SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 100 THEN 'plain'
+      WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+    array_to_string(units[b + 1:], '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+      ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p""",
 }
