@@ -13,7 +13,7 @@ all clean columns, since every derived column is a function of them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from encore.functions import calendar, text
@@ -70,6 +70,16 @@ def coerce_ms(col: Column, dtype_name: str) -> Column:
     return F.when(bad, F.lit(0).cast("long")).otherwise(d.try_cast("long"))
 
 
+def coerce_flag(col: Column, dtype_name: str) -> Column:
+    """A flag of any JSON type -> boolean: NULL, false, 0 and empty text are false,
+    any other value is true."""
+    if dtype_name == "boolean":
+        return F.coalesce(col, F.lit(False))
+    text = F.lower(F.trim(col.cast("string")))
+    no = text.isin("", "false") | F.coalesce(text.try_cast("double") == 0.0, F.lit(False))
+    return F.coalesce(~no, F.lit(False))
+
+
 def typed_rows(raw: DataFrame) -> DataFrame:
     df = music_rows(raw)
     dtypes = dict(df.dtypes)
@@ -80,7 +90,7 @@ def typed_rows(raw: DataFrame) -> DataFrame:
         text.normalise_platform(F.col("platform")).alias("platform"),
         text.normalise_country(F.col("country")).alias("country"),
         "track_name", "artist_name", "album_name", "track_uri", "reason_start", "reason_end",
-        *[F.coalesce(F.col(c).cast("boolean"), F.lit(False)).alias(c) for c in FLAGS],
+        *[coerce_flag(F.col(c), dtypes[c]).alias(c) for c in FLAGS],
     )
 
 
@@ -95,12 +105,16 @@ def with_derived(base: DataFrame, keep: list[str] | tuple = ()) -> DataFrame:
     return base.select(*BASE_COLUMNS, *[v.alias(k) for k, v in cols.items()], *keep)
 
 
+COPIES = "_copies"
+
+
+def long_rows(raw: DataFrame) -> DataFrame:
+    return typed_rows(raw).filter(F.col("ms_played") >= MIN_MS_PLAYED)
+
+
 def clean_plays(raw: DataFrame) -> DataFrame:
     """E1: the clean play table (lazy)."""
-    base = (typed_rows(raw)
-            .filter(F.col("ms_played") >= MIN_MS_PLAYED)
-            .dropDuplicates(BASE_COLUMNS))
-    return with_derived(base)
+    return with_derived(long_rows(raw).dropDuplicates(BASE_COLUMNS))
 
 
 def raw_counts(raw: DataFrame) -> DataFrame:
@@ -109,6 +123,36 @@ def raw_counts(raw: DataFrame) -> DataFrame:
     return renamed(raw).agg(F.count(F.lit(1)).alias("raw_rows"), F.count_if(is_music).alias("music_rows"))
 
 
+class CountedClean:
+    """The clean plays with their counts taken on the way, so that the raw rows are
+    read once: ``plays`` observes raw, music and long rows, and has each play's copies
+    in ``COPIES``.
+
+    Spark adds up observed values over finished tasks, so a stage that runs again after a
+    lost executor counts twice. The copies come through the shuffle, which doesn't:
+    observed counts hold if the long rows are the sum of the written copies, else
+    ``counts`` counts anew."""
+
+    def __init__(self, raw: DataFrame):
+        self.raw, self.observed = raw, Observation()
+        is_music = F.col("track_name").isNotNull() & F.col("artist_name").isNotNull()
+        is_long = coerce_ms(F.col("ms_played"), dict(renamed(raw).dtypes)["ms_played"]) >= MIN_MS_PLAYED
+        watched = renamed(raw).observe(
+            self.observed, F.count(F.lit(1)).alias("raw_rows"), F.count_if(is_music).alias("music_rows"),
+            F.count_if(is_music & is_long).alias("long_rows"))
+        base = long_rows(watched).groupBy(*BASE_COLUMNS).agg(F.count(F.lit(1)).alias(COPIES))
+        self.plays = with_derived(base, [COPIES])
+
+    def counts(self, written: DataFrame) -> DataFrame:
+        """The row of ``raw_counts``; ``written``: the plays as written (an action ran)."""
+        seen = self.observed.get
+        copies = written.agg(F.coalesce(F.sum(COPIES), F.lit(0))).first()[0]
+        if seen["long_rows"] != copies:
+            return raw_counts(self.raw)
+        return written.sparkSession.range(1).select(
+            *[F.lit(seen[c]).cast("long").alias(c) for c in ("raw_rows", "music_rows")])
+
+
 def removed_rows(counts: DataFrame, clean: DataFrame) -> DataFrame:
     """E2: rows removed by the junk filters, counted after the music filter.
 

@@ -23,7 +23,7 @@ METADATA_COLUMNS = API_COLUMNS + FEATURE_COLUMNS
 def track_api(tracks: DataFrame, landed: DataFrame) -> DataFrame:
     """Every track gets one row; tracks the service did not return (or
     returned as null) are ``api_available = false`` with NULL fields."""
-    landed = landed.drop("release_year")
+    landed = landed.drop("release_year", "landed_at", "landed_in", "landed_row")
     if "track_uri" in landed.columns:  # rows keyed by URI
         j = tracks.select("track_id", "track_uri").join(landed.drop("track_id"), "track_uri", "left")
     else:  # by the service's id; rows without one by the warehouse id sent in the request

@@ -12,6 +12,9 @@ every row into one partition:
    partition count, so broadcasting them is safe);
 4. id = offset of the partition + position + 1.
 
+``registered_ids`` keeps ids over rebuilds: known keys have theirs, new keys are
+found by an anti-join and numbered from the greatest known id, in order.
+
 Range partitioning samples the order columns, so a heavy value in one leading
 column is still split across partitions as long as the full order is total.
 """
@@ -79,20 +82,24 @@ def _order_exprs(order: list) -> list[Column]:
     return [o if isinstance(o, Column) else F.col(o).asc_nulls_last() for o in order]
 
 
-def write_ranged(df: DataFrame, order: list, path: str, num_partitions: int | None = None) -> DataFrame:
+def write_ranged(df: DataFrame, order: list, path: str, num_partitions: int | None = None,
+                 partition_by: list[str] | None = None) -> DataFrame:
     """Steps 1-2: write ``df`` range-partitioned and sorted, tagged with position.
 
-    Without an explicit count, one range partition per core (dimensions)."""
+    Without an explicit count, one range partition per core (dimensions). With
+    ``partition_by`` the files lie in folders by these columns, each in order."""
     spark = df.sparkSession
     n = num_partitions or cores(spark)
     exprs = _order_exprs(order)
     pid = F.spark_partition_id()
-    (df.repartitionByRange(n, *exprs)
-       .sortWithinPartitions(*exprs)
-       .withColumn(PART, pid)
-       .withColumn(SEQ, F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
-       .write.mode("overwrite").parquet(path))
-    return spark.read.parquet(path)
+    tagged = (df.repartitionByRange(n, *exprs)
+                .sortWithinPartitions(*exprs)
+                .withColumn(PART, pid)
+                .withColumn(SEQ, F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)))
+    if partition_by:  # as the writer wants it: else it would sort by the folders alone, and lose the order in them
+        tagged = tagged.sortWithinPartitions(*partition_by, SEQ)
+    tagged.write.mode("overwrite").parquet(path, partitionBy=partition_by)
+    return spark.read.schema(tagged.schema).parquet(path).select(*tagged.columns)
 
 
 def partition_offsets(ranged: DataFrame) -> DataFrame:
@@ -102,12 +109,12 @@ def partition_offsets(ranged: DataFrame) -> DataFrame:
     return counts.select(PART, F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("long").alias("_base"))
 
 
-def attach_ids(ranged: DataFrame, id_col: str, offsets: DataFrame | None = None) -> DataFrame:
+def attach_ids(ranged: DataFrame, id_col: str, offsets: DataFrame | None = None, keep_part: bool = False) -> DataFrame:
     """Step 4: dense 1-based id from the stored partition tag and position."""
     offsets = partition_offsets(ranged) if offsets is None else offsets
     return (ranged.join(F.broadcast(offsets), PART)
                   .withColumn(id_col, F.col("_base") + F.col(SEQ) + F.lit(1))
-                  .drop(PART, SEQ, "_base"))
+                  .drop(*([] if keep_part else [PART]), SEQ, "_base"))
 
 
 def dense_ids(df: DataFrame, order: list, id_col: str, path: str,
@@ -115,6 +122,33 @@ def dense_ids(df: DataFrame, order: list, id_col: str, path: str,
     return attach_ids(write_ranged(df, order, path, num_partitions), id_col)
 
 
+def registered_ids(df: DataFrame, key: list[str], order: list, id_col: str, path: str, known: DataFrame | None,
+                   num_partitions: int | None = None, last: int | None = None) -> DataFrame:
+    """``df`` (one row per ``key``, NULLs are a key) with ids that outlast rebuilds.
+
+    ``known`` holds the keys numbered before, with their ids; ``last`` is the greatest
+    id ever given where ``known`` may lack it. Without ``known`` the ids are
+    ``dense_ids``. Only the new rows are range-partitioned and written."""
+    if known is None:
+        return dense_ids(df, order, id_col, path, num_partitions)
+    names = [c for c in df.columns if c != id_col]
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"k.{c}")) for c in key]
+    met = df.alias("d").join(known.select(*key, id_col).alias("k"), same, "left")
+    met = met.select(*[F.col(f"d.{c}").alias(c) for c in names], F.col(f"k.{id_col}").alias(id_col))
+    greatest = known.agg(F.coalesce(F.max(id_col), F.lit(0).cast("long"))).scalar() if last is None else F.lit(last)
+    new = dense_ids(met.where(F.col(id_col).isNull()).drop(id_col), order, id_col, path, num_partitions)
+    return met.where(F.col(id_col).isNotNull()).unionByName(new.withColumn(id_col, F.col(id_col) + greatest))
+
+
+def registry(known: DataFrame | None, ided: DataFrame, key: list[str], id_col: str) -> DataFrame:
+    """Every key ever numbered: those known, and the new ones of ``ided``."""
+    now = ided.select(*key, id_col)
+    if known is None:
+        return now
+    last = known.agg(F.coalesce(F.max(id_col), F.lit(0).cast("long"))).scalar()
+    return known.select(*key, id_col).unionByName(now.where(F.col(id_col) > last))
+
+
 def first_per_key(df: DataFrame, key: str, order: list[str], carry: list[str]) -> DataFrame:
     """One row per ``key``: the smallest by ``order`` (NULLs last), total by ``carry``.
 

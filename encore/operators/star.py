@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from encore.operators.keys import dense_ids, first_per_key
+from encore.operators.keys import PART, first_per_key, registered_ids
 
 FACT_COLUMNS = [
     "stream_id", "date_id", "track_id", "artist_id", "played_at", "ms_played",
@@ -25,19 +25,21 @@ PLAY_COLUMNS = FACT_COLUMNS + [c for c in DATE_COLUMNS if c != "played_at"]
 HOT_SHARE = 0.001
 
 
-def dim_artists(clean: DataFrame, scratch: str) -> DataFrame:
+def dim_artists(clean: DataFrame, scratch: str, known: DataFrame | None = None, parts: int | None = None) -> DataFrame:
     names = clean.select("artist_name").where(F.col("artist_name").isNotNull()).distinct()
-    return dense_ids(names, ["artist_name"], "artist_id", scratch).select("artist_id", "artist_name")
+    return registered_ids(names, ["artist_name"], ["artist_name"], "artist_id", scratch, known, parts).select(
+        "artist_id", "artist_name")
 
 
-def dim_tracks(clean: DataFrame, artists: DataFrame, scratch: str) -> DataFrame:
+def dim_tracks(clean: DataFrame, artists: DataFrame, scratch: str, known: DataFrame | None = None,
+               parts: int | None = None) -> DataFrame:
     """One row per URI (smallest track name, then album, then artist), its
     artist's id, and a dense id in (track_name, track_uri) order."""
     firsts = first_per_key(clean.where(F.col("track_uri").isNotNull()), "track_uri",
                            ["track_name"], ["album_name", "artist_name"])
     with_artist = firsts.join(artists, "artist_name")
-    ided = dense_ids(with_artist.select("track_uri", "track_name", "album_name", "artist_id"),
-                     ["track_name", "track_uri"], "track_id", scratch)
+    ided = registered_ids(with_artist.select("track_uri", "track_name", "album_name", "artist_id"), ["track_uri"],
+                          ["track_name", "track_uri"], "track_id", scratch, known, parts)
     return ided.select("track_id", "track_uri", "track_name", "album_name", "artist_id")
 
 
@@ -50,21 +52,29 @@ def play_ids(clean: DataFrame, tracks: DataFrame, artists: DataFrame) -> DataFra
 
 
 def plays(staged: DataFrame, ids: DataFrame) -> DataFrame:
-    """The fact with its calendar columns. Inner joins: a play without a URI
-    (or with an unknown one) has no track and is left out, which check V1
-    reports.
+    """The fact with its calendar columns (and ``PART``, if ``staged`` has it). Inner
+    joins: a play without a URI (or with an unknown one) has no track and is left
+    out, which check V1 reports.
 
-    Plays of hot pairs take their ids from a broadcast of at most 1,000 rows and
-    aren't shuffled; the others meet the pairs in one join, whose kind Spark
-    picks from the written table's size."""
-    names = ["track_uri", "artist_name"]
+    One pass over the plays. Those of hot pairs take their ids from a broadcast of at
+    most 1,000 rows. The others meet the pairs in one join, whose kind Spark picks from
+    the written table's size; if that is a shuffle, a play that has its ids already
+    goes by its own row id, which meets nothing, so no hot pair fills a task."""
     total = ids.agg(F.sum("n")).scalar()
     is_hot = F.col("n") > total * F.lit(HOT_SHARE)
-    hot, rest = ids.where(is_hot).drop("n"), ids.where(~is_hot).drop("n")
+    pair = [F.col("track_uri").alias("_uri"), F.col("artist_name").alias("_name")]
+    hot = ids.where(is_hot).select(*pair, F.struct("track_id", "artist_id").alias("_hot"))
+    # 0 in a form that isn't a constant: a constant is no join key
+    rest = ids.where(~is_hot).select(*pair, F.when(F.col("n") < 0, 1).otherwise(0).cast("long").alias("_own"),
+                                     F.struct("track_id", "artist_id").alias("_cold"))
     rows = staged.drop("track_id")
-    marked = rows.join(F.broadcast(hot), names, "left")
-    found = marked.where(F.col("track_id").isNotNull())
-    other = marked.where(F.col("track_id").isNull()).drop("track_id", "artist_id").join(rest, names)
-    return found.unionByName(other).select(
-        F.col("row_id").alias("stream_id"), F.col("row_id").alias("date_id"),
-        *PLAY_COLUMNS[2:])
+    same = lambda a, b: [a["track_uri"] == b["_uri"], a["artist_name"] == b["_name"]]
+    names = rows.columns
+    marked = rows.join(F.broadcast(hot), same(rows, hot), "left").select(*names, "_hot")
+    marked = marked.withColumn("_own", F.when(F.col("_hot").isNotNull(), F.col("row_id")).otherwise(0).cast("long"))
+    met = marked.join(rest, [*same(marked, rest), marked["_own"] == rest["_own"]], "left")
+    found = F.coalesce("_hot", "_cold")
+    return (met.where(found.isNotNull()).withColumn("_ids", found)
+            .select(F.col("row_id").alias("stream_id"), F.col("row_id").alias("date_id"),
+                    F.col("_ids.track_id").alias("track_id"), F.col("_ids.artist_id").alias("artist_id"),
+                    *PLAY_COLUMNS[4:], *[c for c in names if c == PART]))

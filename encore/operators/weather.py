@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from encore.functions import labels
-from encore.sources.landed import sunshine_hours
+from encore.sources.landed import newest, sunshine_hours
 
 # Countries whose listening is compared and that have a city.
 FOCUS_COUNTRIES = ["DE", "PK"]
@@ -39,11 +39,9 @@ def labelled(rows: DataFrame) -> DataFrame:
 
 
 def one_per_day(rows: DataFrame) -> DataFrame:
-    """One row per (country, date): of a day that landed more than once, the
-    greatest by its measures (NULL the smallest)."""
-    others = [c for c in rows.columns if c not in ("country", "date")]
-    return (rows.groupBy("country", "date").agg(F.max(F.struct(*others)).alias("_day"))
-                .select("country", "date", "_day.*"))
+    """One row per (country, date): of a day that landed more than once, the newest
+    (where and when are unknown: the greatest by its measures, NULL the smallest)."""
+    return newest(rows, ["country", "date"])
 
 
 def dim_weather(rows: DataFrame, plays: DataFrame) -> DataFrame:

@@ -2,10 +2,13 @@
 
 Conventions:
 * ``plays`` is the fact carrying its calendar columns (no 1:1 date join).
+* Figures by time and country add up the build's roll-up (``activity``); distinct
+  tracks and artists by year and country come from its bitmaps. Only queries that name
+  tracks or artists read plays.
 * Hours and average minutes come from exact decimal sums (order-independent).
 * Every top-k / rank has a total order: the original key first, then names
   ascending (then ids) as tie-breaks; the oracle SQL states the same order.
-* Weather queries aggregate the fact to (country, date) first; the join then
+* Weather queries add the roll-up to (country, date) first; the join then
   touches countries x days rows, and play-weighted averages are rebuilt from
   per-day play counts (weights), so results equal the play-grain join.
 """
@@ -16,7 +19,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from encore.functions.calendar import SEASONS, WEEKDAYS, rank_of
-from encore.functions.numeric import MINUTES_DECIMAL, exact_mean, exact_sum, sql_round
+from encore.functions.numeric import MINUTES_DECIMAL, exact_sum, sql_round
+from encore.operators import rollup
 from encore.sources.warehouse import Warehouse, focus
 
 def n_rows():
@@ -39,38 +43,42 @@ def _ratio(num, den):
     return num.cast("double") / den.cast("double")
 
 
-def reduced(plays: DataFrame, *by: str) -> DataFrame:
-    """Plays per (``by``, artist, track), grouped map-side: distinct counts over
-    these rows copy a row per pair, not per play."""
-    return plays.groupBy(*by, "artist_id", "track_id").agg(
-        n_rows().alias("n"), exact_sum("minutes_played").alias("minutes"),
-        F.sum(F.col("skipped").cast("int")).alias("n_skip"),
-        F.sum(F.col("shuffle").cast("int")).alias("n_shuffle"))
+def plays_in():
+    """Plays of roll-up rows."""
+    return F.coalesce(F.sum("n"), F.lit(0).cast("long"))
 
 
-def _figures(skip_name: str = "skip_pct") -> list:
-    """Totals over ``reduced`` rows."""
-    n = F.sum("n")
-    return [
-        n.alias("total_streams"),
-        _hours(F.sum("minutes")).alias("total_hours"),
-        F.countDistinct("artist_id").alias("unique_artists"),
-        F.countDistinct("track_id").alias("unique_tracks"),
-        _pct(_ratio(F.sum("n_skip"), n)).alias(skip_name),
-        _pct(_ratio(F.sum("n_shuffle"), n)).alias("shuffle_pct"),
-    ]
+def added(rows: DataFrame, *by: str, skip_name: str = "skip_pct") -> DataFrame:
+    """Totals of roll-up rows."""
+    return rows.groupBy(*by).agg(
+        plays_in().alias("total_streams"), _hours(F.sum("minutes")).alias("total_hours"),
+        _added_pct("n_skip").alias(skip_name), _added_pct("n_shuffle").alias("shuffle_pct"))
+
+
+def _added_pct(flag: str):
+    return _pct(_ratio(F.sum(flag), F.sum("n")))
+
+
+def _uniques(wh: Warehouse, *by: str, approximate: bool = False, only=None) -> DataFrame:
+    """Distinct artists and tracks; approximate ones (HLL) on request."""
+    source = wh.id_sketches if approximate else wh.id_bitmaps
+    source = source if only is None else only(source)
+    return (rollup.estimated_ids if approximate else rollup.distinct_ids)(source, *by)
 
 
 # Q1 -------------------------------------------------------------------------
-def summary_stats(wh: Warehouse) -> DataFrame:
-    p = wh.plays
+def summary_stats(wh: Warehouse, approximate: bool = False) -> DataFrame:
+    a = wh.activity
     # arg-max of streams per country, ties to the smallest country code
-    top = (p.groupBy("country").agg(n_rows().alias("n"))
+    top = (a.groupBy("country").agg(plays_in().alias("n"))
             .agg(F.min(F.struct((-F.col("n")).alias("k"), F.col("country").alias("c"))).getField("c"))
             .scalar())
-    none = F.lit(0).cast("long")
-    return reduced(p, "year").agg(*_figures("overall_skip_pct"), F.countDistinct("year").alias("years_covered")).withColumns(
-        {"total_streams": F.coalesce("total_streams", none), "top_country": top})
+    uniques = _uniques(wh, approximate=approximate)
+    one = lambda c: uniques.select(c).scalar().alias(c)
+    years = a.agg(F.countDistinct("year")).scalar()
+    return added(a, skip_name="overall_skip_pct").select(
+        "total_streams", "total_hours", one("unique_artists"), one("unique_tracks"), "overall_skip_pct", "shuffle_pct",
+        years.alias("years_covered"), top.alias("top_country"))
 
 
 # Q2 -------------------------------------------------------------------------
@@ -123,7 +131,7 @@ def top_tracks(wh: Warehouse, n: int = 15) -> DataFrame:
 
 # Q4-Q7 ----------------------------------------------------------------------
 def hourly_counts(wh: Warehouse) -> DataFrame:
-    return wh.plays.groupBy("hour", "day_of_week").agg(n_rows().alias("stream_count"))
+    return wh.activity.groupBy("hour", "day_of_week").agg(plays_in().alias("stream_count"))
 
 
 def hourly_heatmap(wh: Warehouse) -> DataFrame:
@@ -131,26 +139,32 @@ def hourly_heatmap(wh: Warehouse) -> DataFrame:
 
 
 def monthly_trend_rows(wh: Warehouse) -> DataFrame:
-    return wh.plays.groupBy("year", "month", "month_name").agg(
-        _hours(exact_sum("minutes_played")).alias("hours_listened"),
-        n_rows().alias("stream_count"),
-        _pct(_skip_avg()).alias("skip_pct"))
+    return wh.activity.groupBy("year", "month", "month_name").agg(
+        _hours(F.sum("minutes")).alias("hours_listened"),
+        plays_in().alias("stream_count"),
+        _added_pct("n_skip").alias("skip_pct"))
 
 
 def monthly_trend(wh: Warehouse) -> DataFrame:
     return monthly_trend_rows(wh).orderBy("year", "month")
 
 
-def year_comparison(wh: Warehouse) -> DataFrame:
-    return reduced(wh.plays, "year").groupBy("year").agg(*_figures()).orderBy("year")
+def _with_uniques(figures: DataFrame, uniques: DataFrame, by: str) -> DataFrame:
+    # a row per year or country on both sides
+    return figures.join(uniques, by).select(by, "total_streams", "total_hours", "unique_artists", "unique_tracks",
+                                            "skip_pct", "shuffle_pct")
+
+
+def year_comparison(wh: Warehouse, approximate: bool = False) -> DataFrame:
+    return _with_uniques(added(wh.activity, "year"), _uniques(wh, "year", approximate=approximate), "year").orderBy("year")
 
 
 def skip_analysis(wh: Warehouse) -> DataFrame:
-    return (focus(wh.plays).groupBy("year", "country").agg(
-                n_rows().alias("total_streams"),
-                F.sum(F.col("skipped").cast("int")).cast("long").alias("skipped_count"),
-                _pct(_skip_avg()).alias("skip_pct"),
-                sql_round(exact_mean("minutes_played"), 2).alias("avg_mins_played"))
+    return (focus(wh.activity).groupBy("year", "country").agg(
+                plays_in().alias("total_streams"),
+                F.sum("n_skip").alias("skipped_count"),
+                _added_pct("n_skip").alias("skip_pct"),
+                sql_round(_ratio(F.sum("minutes"), F.sum("n")), 2).alias("avg_mins_played"))
             .orderBy("year", "country"))
 
 
@@ -195,14 +209,14 @@ def country_summary(wh: Warehouse) -> DataFrame:
     return country_rows(wh).orderBy(F.desc("total_streams"), "country")
 
 
-def country_rows(wh: Warehouse) -> DataFrame:
-    f = focus(wh.plays)
-    peak = (f.groupBy("country", "hour").agg(n_rows().alias("n"))
+def country_rows(wh: Warehouse, approximate: bool = False) -> DataFrame:
+    f = focus(wh.activity)
+    peak = (f.groupBy("country", "hour").agg(plays_in().alias("n"))
              .groupBy("country")
              .agg(F.min(F.struct((-F.col("n")).alias("k"), F.col("hour").alias("h")))
                   .getField("h").alias("peak_hour")))
-    s = reduced(f, "country").groupBy("country").agg(*_figures())
-    return s.join(peak, "country")
+    uniques = _uniques(wh, "country", approximate=approximate, only=focus)
+    return _with_uniques(added(f, "country"), uniques, "country").join(peak, "country")
 
 
 def country_top_artists(wh: Warehouse, k: int = 8) -> DataFrame:
@@ -220,7 +234,7 @@ def country_top_artists(wh: Warehouse, k: int = 8) -> DataFrame:
 
 
 def country_peak_hours(wh: Warehouse, k: int = 5) -> DataFrame:
-    g = focus(wh.plays).groupBy("country", "hour").agg(n_rows().alias("streams"))
+    g = focus(wh.activity).groupBy("country", "hour").agg(plays_in().alias("streams"))
     w = Window.partitionBy("country").orderBy(F.desc("streams"), F.asc("hour"))
     return (g.withColumn("hour_rank", F.row_number().over(w))
              .where(F.col("hour_rank") <= k)
@@ -236,9 +250,8 @@ def listening_by_country(wh: Warehouse) -> dict[str, DataFrame]:
 # Q11, Q12 -------------------------------------------------------------------
 def weather_days(wh: Warehouse) -> DataFrame:
     """Weather days with that day's plays in that country (play counts as weights)."""
-    day = focus(wh.plays).groupBy("country", "date").agg(
-        n_rows().alias("n"), F.sum(F.col("skipped").cast("int")).alias("n_skip"),
-        exact_sum("minutes_played").alias("minutes"))
+    day = focus(wh.activity).groupBy("country", "date").agg(
+        plays_in().alias("n"), F.sum("n_skip").alias("n_skip"), F.sum("minutes").alias("minutes"))
     # both sides hold at most a row per focus country and day
     return wh.weather.join(day, ["country", "date"])
 

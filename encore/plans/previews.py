@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from encore.functions.numeric import exact_mean, exact_sum, sql_round
-from encore.plans.listening import (n_rows, _hours, _named_tracks, _pct, _season_order,
-                                    _skip_avg, artist_totals, weather_days)
+from encore.plans.listening import (n_rows, _added_pct, _hours, _named_tracks, _pct, _season_order,
+                                    artist_totals, plays_in, weather_days)
 from encore.sources.warehouse import Warehouse
 
 
@@ -20,10 +20,8 @@ def preview_top_artists(wh: Warehouse, n: int = 5) -> DataFrame:
 
 
 def _by(wh: Warehouse, key: str) -> DataFrame:
-    return wh.plays.groupBy(key).agg(
-        n_rows().alias("streams"),
-        _hours(exact_sum("minutes_played")).alias("hours"),
-        _pct(_skip_avg()).alias("skip_pct"))
+    return wh.activity.groupBy(key).agg(
+        plays_in().alias("streams"), _hours(F.sum("minutes")).alias("hours"), _added_pct("n_skip").alias("skip_pct"))
 
 
 def preview_by_year(wh: Warehouse) -> DataFrame:

@@ -70,6 +70,12 @@ def conf_int(spark: SparkSession, key: str, default: int) -> int:
         return default
 
 
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path as it knows it."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
 def path_join(root: str, *parts: str) -> str:
     if "://" in root:
         return "/".join([root.rstrip("/"), *parts])

@@ -2,8 +2,8 @@
 
 * ``raw_plays``          — plays as export text (lineitem-grain, some exact copies, some
   unreadable durations, times with several zones, fields that the clean step drops)
-* ``metadata_payloads``  — batches of the metadata service's answers, some landed twice
-* ``weather_payloads``   — daily arrays per country and year, some landed twice
+* ``metadata_payloads``  — batches of the metadata service's answers, some landed before with other values
+* ``weather_payloads``   — daily arrays per country and year, some landed before with other values
 * ``city_coordinates``   — the fixed country -> city table
 
 Every adapter is a plain DataFrame plan over the given tables, so its work
@@ -94,18 +94,31 @@ def raw_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit(URI_PREFIX), (pk * 3 + sk % 3).cast("string")).alias("spotify_track_uri"),
         F.when(ln <= 3, "trackdone").otherwise("clickrow").alias("reason_start"),
         F.when(F.col("l_returnflag") == "R", "fwdbtn").otherwise("trackdone").alias("reason_end"),
-        F.when(F.col("l_linestatus") == "O", F.col("l_tax") >= 0.04).alias("shuffle"),
-        (F.col("l_returnflag") == "R").alias("skipped"),
-        F.when(F.col("l_tax") == 0, F.lit(True)).alias("offline"),
-        F.lit(None).cast("boolean").alias("incognito_mode"),
+        # flags as texts of JSON values: true and false, 1 and 0
+        F.when(F.col("l_linestatus") == "O", (F.col("l_tax") >= 0.04).cast("string")).alias("shuffle"),
+        F.when(ln % 2 == 0, (F.col("l_returnflag") == "R").cast("string"))
+         .otherwise((F.col("l_returnflag") == "R").cast("int").cast("string")).alias("skipped"),
+        F.when(F.col("l_tax") == 0, F.lit("true")).alias("offline"),
+        F.lit(None).cast("string").alias("incognito_mode"),
         F.explode(F.sequence(F.lit(1), F.when(pk % 97 == 0, 2).otherwise(1))).alias("_copy"),
     )
     return plays.drop("_copy")
 
 
+def _landings(repeated: Column) -> Column:
+    """Days of landing: the second; the first too where ``repeated`` (a stale one)."""
+    return F.explode(F.when(repeated, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(2)))).alias("_day")
+
+
+def _landing(name: str) -> list[Column]:
+    return [F.to_timestamp(F.format_string("2024-01-%02d 00:00:00", "_day")).alias("landed_at"),
+            F.format_string(f"{name}/%d.json", "_day").alias("landed_in"), F.lit(0).cast("long").alias("landed_row")]
+
+
 def metadata_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The service's answers for three ids per part, in batches of 50; an
-    unavailable track is null, and every seventh batch landed twice."""
+    """The service's answers for three ids per part, in batches of 50; an unavailable
+    track is null. Every seventh batch landed the day before, with a greater
+    popularity and duration of each track."""
     p = _table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
     answer = F.struct(
         (F.col("p_size") * 2).cast("int").alias("popularity"),
@@ -117,10 +130,13 @@ def metadata_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
               .select(F.floor(number / BATCH).alias("batch"), number.cast("string").alias("id"),
                       F.when(F.col("p_partkey") % 83 != 0, answer).alias("track")))
     batches = asked.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("id", "track"))).alias("answers"))
-    landings = F.sequence(F.lit(1), F.when(F.col("batch") % 7 == 0, 2).otherwise(1))
-    return (batches.select("answers", F.explode(landings).alias("_landing"))
+    stale = F.col("_day") == 1
+    track = lambda a: F.when(stale, a["track"].withField("popularity", a["track"]["popularity"] + 100)
+                             .withField("duration_ms", a["track"]["duration_ms"] + 50000)).otherwise(a["track"])
+    return (batches.select("answers", _landings(F.col("batch") % 7 == 0))
                    .select(F.lit(None).cast("array<bigint>").alias("track_ids"),
-                           F.col("answers.id").alias("source_ids"), F.col("answers.track").alias("tracks")))
+                           F.col("answers.id").alias("source_ids"), F.transform("answers", track).alias("tracks"),
+                           *_landing("metadata")))
 
 
 def constant_table(spark: SparkSession, names: list[str], rows: list[tuple]) -> DataFrame:
@@ -135,7 +151,7 @@ def city_coordinates(spark: SparkSession) -> DataFrame:
 
 def weather_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The service's daily arrays per country and year over every order date; even
-    years landed twice.
+    years landed the day before, with greater measures.
 
     Distinct order dates are bounded by the calendar, so the per-country
     expansion and an array of one year's days stay small whatever the order volume.
@@ -166,6 +182,8 @@ def weather_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.struct(*[v.alias(k) for k, v in measures.items()])
     spans = (x.groupBy("country", cities.alias("city"), F.year("date").alias("year"))
               .agg(F.array_sort(F.collect_list(day)).alias("days")))
-    landings = F.sequence(F.lit(1), F.when(F.col("year") % 2 == 0, 2).otherwise(1))
-    return (spans.select("country", "city", "days", F.explode(landings).alias("_landing"))
-                 .select("country", "city", F.struct(*[F.col(f"days.{k}").alias(k) for k in measures]).alias("daily")))
+    more = F.when(F.col("_day") == 1, 50.0).otherwise(0.0)
+    arrays = {k: F.col(f"days.{k}") if k == "time" else F.transform(f"days.{k}", lambda v: v + more) for k in measures}
+    return (spans.select("country", "city", "days", _landings(F.col("year") % 2 == 0))
+                 .select("country", "city", F.struct(*[v.alias(k) for k, v in arrays.items()]).alias("daily"),
+                         *_landing("weather")))

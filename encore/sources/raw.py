@@ -1,10 +1,17 @@
-"""Raw play-export reader (JSON arrays of play objects)."""
+"""Raw play-export reader (JSON arrays of play objects).
+
+Every field is read as text and coerced by the clean step, so one odd value (a
+flag written as 1) never fails the read of all files.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from encore.session import conf_int, file_system
+from encore.sources import ranges
+
 # Export field -> clean column name.
 RENAMES = {
     "ts": "played_at",
@@ -34,7 +41,7 @@ DROP_COLUMNS = [
 
 EXPORT_GLOB = "Streaming_History_Audio_*.json"
 
-_S, _B = T.StringType(), T.BooleanType()
+_S = T.StringType()
 RAW_SCHEMA = T.StructType([
     T.StructField("ts", _S),
     T.StructField("platform", _S),
@@ -54,21 +61,38 @@ RAW_SCHEMA = T.StructType([
     T.StructField("audiobook_chapter_title", _S),
     T.StructField("reason_start", _S),
     T.StructField("reason_end", _S),
-    T.StructField("shuffle", _B),
-    T.StructField("skipped", _B),
-    T.StructField("offline", _B),
-    T.StructField("offline_timestamp", T.LongType()),
-    T.StructField("incognito_mode", _B),
+    T.StructField("shuffle", _S),
+    T.StructField("skipped", _S),
+    T.StructField("offline", _S),
+    T.StructField("offline_timestamp", _S),
+    T.StructField("incognito_mode", _S),
 ])
 
 
+# Files over this size are read by several tasks, smaller ones whole by one.
+SPLIT_BYTES_KEY = "encore.export.splitBytes"
+SPLIT_BYTES_DEFAULT = 64 * 1024 * 1024
+
+
 def read_export(spark: SparkSession, directory: str, pattern: str = EXPORT_GLOB) -> DataFrame:
-    """All export files in ``directory`` as one DataFrame (one task per file).
+    """All export files in ``directory`` as one DataFrame.
 
     A glob that matches nothing raises, as a missing export should, and so does
-    a file that isn't whole JSON: its plays must not go missing in silence.
-    Files are JSON arrays, so they are read whole (multiLine); write the clean
-    table straight after to get splittable parquet.
+    a file that isn't a whole JSON array of objects: its plays must not go
+    missing in silence. Large files are cut into byte ranges
+    (``sources.ranges``); both ways give the same rows.
     """
     path = directory.rstrip("/") + "/" + pattern
-    return spark.read.schema(RAW_SCHEMA).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    fs, glob = file_system(spark, path)
+    files = [(f.getPath().toString(), f.getLen()) for f in fs.globStatus(glob) or []]
+    if not files:
+        raise FileNotFoundError(f"no export files {path}")
+    limit = conf_int(spark, SPLIT_BYTES_KEY, SPLIT_BYTES_DEFAULT)
+    large = sorted(f for f, size in files if size > limit)
+    small = sorted(f for f, size in files if size <= limit)
+    parts = []
+    if small:
+        parts.append(spark.read.schema(RAW_SCHEMA).option("multiLine", True).option("mode", "FAILFAST").json(small))
+    if large:
+        parts.append(ranges.read_records(spark, large, RAW_SCHEMA))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

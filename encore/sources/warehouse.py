@@ -17,12 +17,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from encore.operators import clean as clean_op
-from encore.operators import checks, features, keys, star
+from encore.operators import checks, features, keys, rollup, star
 from encore.operators import weather as weather_op
-from encore.session import path_join, shared_dir
+from encore.session import file_system, path_join, shared_dir
 from encore.sources import adapters, landed, raw
 
 @dataclass
@@ -69,88 +68,191 @@ class Warehouse:
     track_metadata: DataFrame
     weather: DataFrame
     staged: DataFrame           # clean plays with their row id (every clean play)
-    raw_counts: DataFrame       # one row: raw and music rows of the build
+    raw_counts: DataFrame       # one row: raw and music rows of the build, greatest row id ever given
     coords: DataFrame           # country -> city, lat, lon
+    activity: DataFrame         # additive figures per (date, hour, country)
+    id_bitmaps: DataFrame       # sets of track and artist ids per (year, country)
+    id_sketches: DataFrame      # the same as HLL sketches
+    artist_keys: DataFrame      # every artist name ever numbered
+    track_keys: DataFrame       # every track URI ever numbered
+    landed_metadata: DataFrame  # newest landed rows
+    landed_weather: DataFrame
 
     def fact_streams(self) -> DataFrame:
         return self.plays.select(*star.FACT_COLUMNS)
 
+    def _named(self) -> dict[str, DataFrame]:
+        return {"streaming_clean": self.clean.select(*clean_op.CLEAN_COLUMNS), "dim_artists": self.dim_artists,
+                "dim_tracks": self.dim_tracks, "dim_date": self.dim_date(), "fact_streams": self.fact_streams(),
+                "dim_track_metadata": self.track_metadata, "dim_weather": self.weather}
+
     def register_views(self, prefix: str = "") -> list[str]:
         """The warehouse's tables as temporary views for SQL; returns their names."""
-        tables = {"streaming_clean": self.clean.select(*clean_op.CLEAN_COLUMNS), "dim_artists": self.dim_artists,
-                  "dim_tracks": self.dim_tracks, "dim_date": self.dim_date(), "fact_streams": self.fact_streams(),
-                  "dim_track_metadata": self.track_metadata, "dim_weather": self.weather}
-        for name, table in tables.items():
+        for name, table in self._named().items():
             table.createOrReplaceTempView(prefix + name)
-        return [prefix + name for name in tables]
+        return [prefix + name for name in self._named()]
+
+    def register_tables(self, database: str) -> list[str]:
+        """The warehouse's files as external tables of a database, with column statistics,
+        for any session of the catalogue. ``fact_plays`` is the fact with its calendar.
+        Names that exist are pointed to this version; its files aren't copied."""
+        run = self.spark.sql
+        run(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        for name, (folder, table) in TABLES.items():
+            full = f"`{database}`.`{name}`"
+            frame = getattr(self, table)
+            fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields)
+            parted = " PARTITIONED BY (year)" if folder in BY_YEAR else ""
+            run(f"DROP TABLE IF EXISTS {full}")
+            run(f"CREATE TABLE {full} ({fields}) USING parquet{parted} LOCATION '{path_join(self.root, folder)}'")
+            if parted:
+                run(f"MSCK REPAIR TABLE {full}")
+            run(f"ANALYZE TABLE {full} COMPUTE STATISTICS FOR ALL COLUMNS")
+        return list(TABLES)
 
     def dim_date(self) -> DataFrame:
         """One row per clean play (not only those that reached the fact)."""
         return self.staged.select(F.col("row_id").alias("date_id"), *star.DATE_COLUMNS)
 
 
+# Catalogue name -> folder of a version and the attribute that reads it.
+TABLES = {"streaming_clean": ("streaming_clean", "clean"), "dim_artists": ("dim_artists", "dim_artists"),
+          "dim_tracks": ("dim_tracks", "dim_tracks"), "fact_plays": ("plays", "plays"),
+          "dim_track_metadata": ("track_metadata", "track_metadata"), "dim_weather": ("dim_weather", "weather"),
+          "activity": ("activity", "activity")}
+BY_YEAR = ["streaming_clean", "plays"]
+
+
 def _write(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
     df.write.mode("overwrite").parquet(path, partitionBy=partition_by)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def build_warehouse(spark: SparkSession, sources: Sources, root: str) -> Warehouse:
+def _newest_landed(fresh: DataFrame, stored: DataFrame | None, keys_of: list[str], first: list[str], path: str) -> DataFrame:
+    """Landed rows, newest per key, with those of the version before; rows of unknown
+    landing (no files) stand for themselves."""
+    if "landed_at" not in fresh.columns:
+        return _write(fresh, path)
+    if stored is not None and "landed_at" in stored.columns:
+        return _write(landed.merged(stored, fresh, keys_of, first), path)
+    return _write(landed.newest(fresh, keys_of, first), path)
+
+
+def build_warehouse(spark: SparkSession, sources: Sources, root: str, previous: Warehouse | None = None) -> Warehouse:
+    """Write all tables below ``root``. With ``previous``, tracks, artists and plays that
+    it knows keep their ids, and its landed rows count where nothing newer landed."""
     p = lambda *parts: path_join(root, *parts)
+    known = lambda name: getattr(previous, name) if previous else None
 
-    # Clean plays, written once in chronological (total) order with position
-    # tags; stream ids are offsets over those tags.
-    clean_lazy = clean_op.clean_plays(sources.raw)
-    parts = keys.range_partitions(clean_lazy)
+    counted = clean_op.CountedClean(sources.raw)
+    parts = keys.range_partitions(counted.plays)
     with keys.sized_shuffles(spark, parts):
-        counts = _write(clean_op.raw_counts(sources.raw), p("raw_counts"))
-        ranged = keys.write_ranged(clean_lazy, clean_op.PLAY_ORDER, p("streaming_clean"), num_partitions=parts)
+        # Clean plays, in chronological (total) order and by year, with position tags.
+        # A first build's stream ids are offsets over the tags; a rebuild stores them.
+        numbered, last = counted.plays, 0
+        if previous:
+            last = previous.raw_counts.first()["last_row_id"]
+            numbered = keys.registered_ids(
+                _write(counted.plays, p("_scratch", "clean")), clean_op.BASE_COLUMNS, clean_op.PLAY_ORDER, "row_id",
+                p("_scratch", "new_plays"), previous.staged, parts, last)
+        ranged = keys.write_ranged(numbered, clean_op.PLAY_ORDER, p("streaming_clean"), parts, ["year"])
         offsets = _write(keys.partition_offsets(ranged), p("streaming_clean_offsets"))
-        staged = keys.attach_ids(ranged, "row_id", offsets)
-        clean = ranged.drop(keys.PART, keys.SEQ)
-
-        artists = _write(star.dim_artists(clean, p("_scratch", "artists")), p("dim_artists"))
-        tracks = _write(star.dim_tracks(clean, artists, p("_scratch", "tracks")), p("dim_tracks"))
-
-        # in time order over all files, and by year, whichever joins Spark picks
+        staged = _staged(ranged, offsets)
+        counts = counted.counts(ranged).withColumn("last_row_id", F.greatest(
+            F.lit(last).cast("long"), F.coalesce(staged.agg(F.max("row_id")).scalar(), F.lit(0).cast("long"))))
+        counts = counts.withColumn("stored_ids", F.lit(previous is not None))
+        counts = _write(counts, p("raw_counts"))
+        clean = ranged.select(*clean_op.CLEAN_COLUMNS)
+
+        artists = _write(star.dim_artists(clean, p("_scratch", "artists"), known("artist_keys"), parts), p("dim_artists"))
+        tracks = _write(star.dim_tracks(clean, artists, p("_scratch", "tracks"), known("track_keys"), parts), p("dim_tracks"))
+        artist_keys = _write(keys.registry(known("artist_keys"), artists, ["artist_name"], "artist_id"), p("artist_keys"))
+        track_keys = _write(keys.registry(known("track_keys"), tracks, ["track_uri"], "track_id"), p("track_keys"))
+
+        # every play goes back to its place of the clean table: in time order over all
+        # files, and by year, whichever join Spark picks, and nothing is sampled again
         ids = _write(star.play_ids(clean, tracks, artists), p("_scratch", "play_ids"))
-        fact = star.plays(staged, ids)
-        plays = _write(fact.repartitionByRange(parts, "played_at", "stream_id").sortWithinPartitions("year", "played_at", "stream_id"),
-                       p("plays"), ["year"])
-
-        api = features.track_api(tracks, sources.metadata)
+        fact = star.plays(staged, ids).repartitionById(parts, F.col(keys.PART))
+        plays = _write(fact.sortWithinPartitions("year", "played_at", "stream_id").drop(keys.PART), p("plays"), ["year"])
+
+        act = _write(rollup.activity(plays), p("activity"))
+        groups = _write(rollup.id_groups(plays), p("_scratch", "id_groups"))
+        bitmaps = _write(rollup.id_bitmaps(groups), p("id_bitmaps"))
+        sketches = _write(rollup.id_sketches(groups), p("id_sketches"))
+
+        landed_meta = _newest_landed(_stored_metadata(sources.metadata), known("landed_metadata"), landed.METADATA_KEYS,
+                                     ["api_available"], p("landed_metadata"))
+        landed_days = _newest_landed(sources.weather, known("landed_weather"), landed.WEATHER_KEYS, [], p("landed_weather"))
+        api = features.track_api(tracks, landed_meta)
         meta = _write(features.track_metadata(api, features.track_features(plays, api)),
                       p("track_metadata"))
-        weather = _write(weather_op.dim_weather(sources.weather, plays), p("dim_weather"))
+        weather = _write(weather_op.dim_weather(landed_days, plays), p("dim_weather"))
+
+    return Warehouse(spark, root, clean, plays, artists, tracks, meta, weather, staged.drop(keys.PART), counts,
+                     adapters.city_coordinates(spark), act, bitmaps, sketches, artist_keys, track_keys, landed_meta, landed_days)
+
 
-    return Warehouse(spark, root, clean, plays, artists, tracks, meta, weather, staged, counts,
-                     adapters.city_coordinates(spark))
+def _stored_metadata(rows: DataFrame) -> DataFrame:
+    return landed.stored_metadata(rows) if {"source_id", "landed_at"} <= set(rows.columns) else rows
+
+
+def _staged(ranged: DataFrame, offsets: DataFrame) -> DataFrame:
+    """Clean plays with their row id and range: stored by a rebuild, else from the tags."""
+    if "row_id" in ranged.columns:
+        return ranged.drop(keys.SEQ, clean_op.COPIES)
+    return keys.attach_ids(ranged, "row_id", offsets, keep_part=True).drop(clean_op.COPIES)
 
 
 def load_warehouse(spark: SparkSession, root: str) -> Warehouse:
     """Open a warehouse written by ``build_warehouse``; its inputs aren't needed."""
     r = lambda name: spark.read.parquet(path_join(root, name))
-    ranged = r("streaming_clean")
-    staged = keys.attach_ids(ranged, "row_id", r("streaming_clean_offsets"))
-    clean = ranged.drop(keys.PART, keys.SEQ)
-    # the schema is given: the fact of an empty export has no year folder to read it from
-    of_clean = {f.name: f for f in clean.schema.fields}
-    ids = {c: T.StructField(c, T.LongType()) for c in star.FACT_COLUMNS[:4]}
-    schema = T.StructType([{**of_clean, **ids}[c] for c in star.PLAY_COLUMNS])
-    plays = spark.read.schema(schema).parquet(path_join(root, "plays")).select(*star.PLAY_COLUMNS)
-    return Warehouse(spark, root, clean, plays, r("dim_artists"), r("dim_tracks"),
-                     r("track_metadata"), r("dim_weather"), staged, r("raw_counts"),
-                     adapters.city_coordinates(spark))
-
-
-def rebuild(spark: SparkSession, sources: Sources, base: str) -> Warehouse:
+    # schemas are given: tables of an empty export have no year folder to read it from
+    kinds = {"played_at": "timestamp_ntz", "date": "date", "minutes_played": "double", "is_weekend": "boolean",
+             **{c: "boolean" for c in clean_op.FLAGS}, **{c: "int" for c in ("year", "month", "week", "hour", keys.PART)},
+             **{c: "bigint" for c in ("ms_played", "row_id", keys.SEQ, clean_op.COPIES, *star.FACT_COLUMNS[:4])}}
+
+    def by_year(name: str, columns: list[str], **other: str) -> DataFrame:
+        schema = ", ".join(f"`{c}` {other.get(c, kinds.get(c, 'string'))}" for c in columns)
+        return spark.read.schema(schema).parquet(path_join(root, name)).select(*columns)
+
+    offsets = r("streaming_clean_offsets")
+    rebuilt = r("raw_counts").first()["stored_ids"]
+    ranged = by_year("streaming_clean", clean_op.CLEAN_COLUMNS + [clean_op.COPIES] + ["row_id"] * rebuilt + [keys.PART, keys.SEQ],
+                     track_id="string")
+    plays = by_year("plays", star.PLAY_COLUMNS)
+    return Warehouse(spark, root, ranged.select(*clean_op.CLEAN_COLUMNS), plays, r("dim_artists"), r("dim_tracks"),
+                     r("track_metadata"), r("dim_weather"), _staged(ranged, offsets).drop(keys.PART), r("raw_counts"),
+                     adapters.city_coordinates(spark), r("activity"), r("id_bitmaps"), r("id_sketches"), r("artist_keys"),
+                     r("track_keys"), r("landed_metadata"), r("landed_weather"))
+
+
+# Complete versions that a rebuild leaves, its own among them.
+KEEP_VERSIONS = 3
+
+
+def rebuild(spark: SparkSession, sources: Sources, base: str, keep: int = KEEP_VERSIONS) -> Warehouse:
     """A new version of the warehouse in its own folder under ``base``, checked
-    and marked last: until then, and if it fails, readers keep the one before."""
+    and marked last: until then, and if it fails, readers keep the one before. Keys
+    keep the ids of the version before. Then versions beyond the newest ``keep``,
+    and unfinished ones older than those kept, are removed."""
     version = f"{time.time_ns() // 1_000_000:015d}-{uuid.uuid4().hex[:8]}"
-    wh = build_warehouse(spark, sources, path_join(base, version))
+    before = completed_build(spark, base)
+    wh = build_warehouse(spark, sources, path_join(base, version), load_warehouse(spark, before) if before else None)
     complete(wh)
+    remove_old(spark, base, keep)
     return wh
 
 
+def remove_old(spark: SparkSession, base: str, keep: int) -> list[str]:
+    """Remove all but the newest ``keep`` complete versions, and what is older."""
+    kept = versions(spark, base)[:max(keep, 1)]
+    fs, path = file_system(spark, base)
+    old = [st.getPath() for st in fs.listStatus(path) if kept and st.isDirectory() and st.getPath().getName() < os.path.basename(kept[-1])]
+    for folder in old:
+        fs.delete(folder, True)
+    return [folder.getName() for folder in old]
+
+
 def open_latest(spark: SparkSession, base: str) -> Warehouse:
     """The newest complete version under ``base``."""
     found = completed_build(spark, base)
@@ -169,11 +271,6 @@ COMPLETE_MARKER = "_COMPLETE"
 _CODE_DIRS = ["functions", "operators", "sources"]
 
 
-def _fs(spark: SparkSession, path: str):
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
-
-
 def _code_version() -> str:
     """Hash of the build code, so a changed build never reuses an old warehouse."""
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -191,21 +288,25 @@ def input_fingerprint(spark: SparkSession, sf_dir: str, tables: list[str] = ADAP
     """Build code + (path, size, modification time) of every input file."""
     h = hashlib.sha1(_code_version().encode())
     for name in tables:
-        fs, path = _fs(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+        fs, path = file_system(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
         for st in sorted(fs.listStatus(path), key=lambda x: x.getPath().toString()):
             h.update(f"{st.getPath().toString()}|{st.getLen()}|{st.getModificationTime()}".encode())
     return h.hexdigest()[:16]
 
 
-def completed_build(spark: SparkSession, base: str) -> str | None:
-    """The newest finished warehouse under ``base`` (marker written after the last table)."""
-    fs, path = _fs(spark, base)
+def versions(spark: SparkSession, base: str) -> list[str]:
+    """The finished warehouses under ``base`` (marker written after the last table), newest first."""
+    fs, path = file_system(spark, base)
     if not fs.exists(path):
-        return None
-    for st in sorted(fs.listStatus(path), key=lambda x: x.getPath().getName(), reverse=True):
-        if st.isDirectory() and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(st.getPath(), COMPLETE_MARKER)):
-            return st.getPath().toString()
-    return None
+        return []
+    folders = sorted((st.getPath() for st in fs.listStatus(path) if st.isDirectory()), key=lambda x: x.getName(), reverse=True)
+    marker = spark._jvm.org.apache.hadoop.fs.Path
+    return [f.toString() for f in folders if fs.exists(marker(f, COMPLETE_MARKER))]
+
+
+def completed_build(spark: SparkSession, base: str) -> str | None:
+    """The newest finished warehouse under ``base``."""
+    return next(iter(versions(spark, base)), None)
 
 
 def complete(wh: Warehouse) -> None:
@@ -214,9 +315,9 @@ def complete(wh: Warehouse) -> None:
     broken = [f"{r.check}: {r.violations}" for r in found.where("violations > 0").collect()]
     if broken:
         raise ValueError(f"the build of {wh.root} isn't sound ({', '.join(broken)})")
-    fs, scratch = _fs(wh.spark, path_join(wh.root, "_scratch"))
+    fs, scratch = file_system(wh.spark, path_join(wh.root, "_scratch"))
     fs.delete(scratch, True)  # read by the tables above only while they were written
-    fs.create(_fs(wh.spark, path_join(wh.root, COMPLETE_MARKER))[1], True).close()
+    fs.create(file_system(wh.spark, path_join(wh.root, COMPLETE_MARKER))[1], True).close()
 
 
 def warehouse_for(spark: SparkSession, sf_dir: str) -> Warehouse:

@@ -21,4 +21,6 @@ def play(ts, ms, track, artist, uri, platform="android", country="DE", album="Al
 
 
 def raw_df(spark, rows):
-    return spark.createDataFrame(rows, RAW_SCHEMA)
+    # every export field is read as text
+    texts = [tuple(str(v).lower() if isinstance(v, bool) else v for v in r) for r in rows]
+    return spark.createDataFrame(texts, RAW_SCHEMA)
