@@ -80,13 +80,16 @@ def read_export(spark: SparkSession, directory: str, pattern: str = EXPORT_GLOB)
     A glob that matches nothing raises, as a missing export should, and so does
     a file that isn't a whole JSON array of objects: its plays must not go
     missing in silence. Large files are cut into byte ranges
-    (``sources.ranges``); both ways give the same rows.
+    (``sources.ranges``); both ways give the same rows (an object in a text field,
+    which no play has, keeps its own spacing there).
     """
     path = directory.rstrip("/") + "/" + pattern
     fs, glob = file_system(spark, path)
     files = [(f.getPath().toString(), f.getLen()) for f in fs.globStatus(glob) or []]
     if not files:
         raise FileNotFoundError(f"no export files {path}")
+    if empty := [f for f, size in files if size == 0]:
+        raise ValueError(f"malformed: empty export files {empty}")
     limit = conf_int(spark, SPLIT_BYTES_KEY, SPLIT_BYTES_DEFAULT)
     large = sorted(f for f, size in files if size > limit)
     small = sorted(f for f, size in files if size <= limit)

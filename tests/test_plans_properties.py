@@ -130,7 +130,21 @@ def test_fact_files_are_in_time_order_and_pruned_by_year(spark, wh_small):
     assert re.search(r"PartitionFilters: \[[^\]]*year#\d+ = 1995", p)
 
 
-@pytest.mark.parametrize("key", ["summary_stats", "year_comparison", "country_summary", "ingest_summary", "ingest_by_year"])
+@pytest.mark.parametrize("key", ["summary_stats", "year_comparison", "country_summary", "country_differences"])
+def test_distinct_counts_merge_bitmaps(wh_small, key):
+    df = QUERIES[key](wh_small)
+    assert "Expand" not in plan(df) and "bitmap_or_agg" in df._jdf.queryExecution().toString()
+    assert not any("/plays/" in f for f in df.inputFiles())
+
+
+@pytest.mark.parametrize("key", ["hourly_heatmap", "monthly_trend", "skip_analysis", "country_peak_hours", "preview_by_year",
+                                 "preview_by_country", "heatmap_grid", "monthly_period", "weather_listening", "rainy_vs_dry"])
+def test_reports_by_time_and_country_read_the_roll_up(wh_small, key):
+    files = QUERIES[key](wh_small).inputFiles()
+    assert any("/activity/" in f for f in files) and not any("/plays/" in f for f in files)
+
+
+@pytest.mark.parametrize("key", ["ingest_summary", "ingest_by_year"])
 def test_distinct_counts_expand_groups_not_plays(wh_small, key):
     p = plan(QUERIES[key](wh_small))
     below = p[p.index("Expand"):]
