@@ -84,10 +84,10 @@ def blocks_for(df: DataFrame, text: str, block_bytes: int = BLOCK_BYTES) -> int:
 
 
 def block_of(blocks: int, *cols: str):
-    """Block number by the hash of the given columns and the partition the row is
-    read from; rows of one source, copies of one text, and repeats of one row
-    spread over all blocks. A recomputed partition deals its rows alike."""
-    return F.pmod(F.xxhash64(*[F.col(c) for c in cols], F.spark_partition_id()), F.lit(blocks)).cast("int")
+    """Block number by the hash of the given columns and the row's place in the input;
+    rows of one source, copies of one text, and repeats of one row, in one file
+    or many, spread over all blocks. A recomputed partition deals its rows alike."""
+    return F.pmod(F.xxhash64(*[F.col(c) for c in cols], F.monotonically_increasing_id()), F.lit(blocks)).cast("int")
 
 
 def byte_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

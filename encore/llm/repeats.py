@@ -9,8 +9,8 @@ extensions are matched by a 128-bit hash of their words. Overlapping matched
 windows merge into maximal repeats, all at least ``window`` words long, and
 the covered words are removed.
 
-Scale: rows are dealt to blocks by the hash of (id, text, partition read from),
-so that even a row repeated without end fills no block. A block sends each
+Scale: rows are dealt to blocks by the hash of (id, text, place in the input),
+so that even a row repeated without end in one file fills no block. A block sends each
 distinct anchor or window once, with its count, so a passage shared by a third
 of all documents costs one row per block, not one per copy, and no group is
 ever larger than the number of blocks. The text itself is shuffled once (the
@@ -55,11 +55,11 @@ def _windows(data: np.ndarray, offsets: np.ndarray, window: int, anchor: int):
     """Words of a piece, the word numbers at which a window starts, the anchor
     position of each window and the grams' hashes."""
     starts, ends, first = wh.word_spans(data, offsets)
-    words = wh.word_hashes(data, starts, ends)
+    words = wh.word_keys(data, starts, ends)
     if len(words) < window:
         none = np.empty(0, np.int64)
         return starts, ends, first, words, none, none, np.empty(0, np.uint64)
-    grams = wh.gram_hashes(words, anchor)
+    grams = wh.window_hashes(words, anchor, 2)
     owner = _smallest_in(grams, window - anchor + 1)
     row_end = np.repeat(first[1:], np.diff(first))
     at = np.flatnonzero(np.arange(len(owner)) + window <= row_end[:len(owner)])
@@ -67,8 +67,7 @@ def _windows(data: np.ndarray, offsets: np.ndarray, window: int, anchor: int):
 
 
 def _window_hashes(words: np.ndarray, at: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    return (wh.mix(wh.span_hashes(wh.mix(words, 3), at, at + window, "word"), 3),
-            wh.mix(wh.span_hashes(wh.mix(words, 4), at, at + window, "check"), 4))
+    return wh.window_hashes(words, window, 3)[at], wh.window_hashes(words, window, 4)[at]
 
 
 def _text_pieces(table: pa.Table):
@@ -141,10 +140,10 @@ def _remove(window: int, carry: Sequence[str], out_type: pa.Schema):
             n = len(starts)
             gone = np.zeros(n, bool)
             if n >= window and len(repeated):
-                words = wh.word_hashes(data, starts, ends)
+                words = wh.word_keys(data, starts, ends)
                 row_end = np.repeat(first[1:], np.diff(first))[:n - window + 1]
                 at = np.flatnonzero(np.arange(n - window + 1) + window <= row_end)
-                one = wh.mix(wh.span_hashes(wh.mix(words, 3), at, at + window, "word"), 3)
+                one = wh.window_hashes(words, window, 3)[at]
                 at = at[wh.members(one, repeated)]
                 step = np.zeros(n + 1, np.int32)
                 step[at] += 1

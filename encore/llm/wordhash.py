@@ -5,7 +5,10 @@ separators are ASCII, so working on bytes equals working on characters.
 Word hashes are 64-bit polynomials over per-byte random values, then mixed;
 a window's hash is a polynomial over mixed word hashes. All arithmetic is
 modulo 2**64 with odd bases, which have inverses, so any span's hash comes
-from two prefix sums.
+from two prefix sums. Such polynomials are equal for some long regular texts (two
+complementary Thue-Morse strings of 1,024 units whatever the base), so they serve
+features of classifiers only. Where equality decides a result, ``lane_hashes`` and
+``window_hashes`` scramble every 8 bytes, and every joining of two halves, before adding.
 """
 
 from __future__ import annotations
@@ -73,13 +76,56 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(span_hashes(_BYTE_VALUE[data], starts, ends, "byte") + (ends - starts).astype(np.uint64))
 
 
-def gram_hashes(words: np.ndarray, size: int, kind: str = "word") -> np.ndarray:
-    """Hash of words[i:i+size] for every i at which that many words are left."""
+def lanes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The spans' bytes as 64-bit lanes counted from each span's start (the last one
+    filled up with zeros), each lane's number in its span, and per span the number of
+    its first lane (one more entry at the end). Equal lanes and sizes are equal bytes."""
+    size = ends - starts
+    n = (size + 7) >> 3
+    first = np.concatenate([[0], np.cumsum(n)]).astype(np.int64)
+    number = np.arange(first[-1]) - np.repeat(first[:-1], n)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.lib.stride_tricks.sliding_window_view(padded, 8)[np.repeat(starts, n) + 8 * number]
+    values = np.ascontiguousarray(eight).view("<u8").ravel().astype(np.uint64, copy=False)
+    left = np.repeat(size, n) - 8 * number
+    short = np.flatnonzero(left < 8)
+    values[short] &= (np.uint64(1) << (8 * left[short]).astype(np.uint64)) - np.uint64(1)
+    return values, number, first
+
+
+def lane_hashes(values: np.ndarray, number: np.ndarray, first: np.ndarray, sizes: np.ndarray, seed: int = 0) -> np.ndarray:
+    """Hash of each span (none is empty) from its lanes and size in bytes."""
+    if len(sizes) == 0:
+        return np.empty(0, np.uint64)
+    scrambled = mix(values ^ mix(number.astype(np.uint64), 21 + seed), 22 + seed)
+    return mix(np.add.reduceat(scrambled, first[:-1]) + sizes.astype(np.uint64), 23 + seed)
+
+
+def word_keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of words by which they are told apart."""
+    return lane_hashes(*lanes(data, starts, ends), ends - starts)
+
+
+def window_hashes(words: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
+    """Hash of words[i:i+size] for every i at which that many words are left: halves
+    are joined by doubling, each time scrambled."""
     n = len(words) - size + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    at = np.arange(n)
-    return mix(span_hashes(mix(words, 1 + len(kind)), at, at + size, kind))
+
+    def joined(a: np.ndarray, b: np.ndarray, width: int) -> np.ndarray:
+        m = min(len(a), len(b))
+        return mix(a[:m] * np.uint64(_BASES["word"]) + b[:m], seed + 31 + width)
+
+    level, width, whole, covered, left = mix(words, seed + 30), 1, None, 0, size
+    while left:
+        if left & 1:
+            whole = level if whole is None else joined(whole, level[covered:], covered)
+            covered += width
+        left >>= 1
+        if left:
+            level, width = joined(level, level[width:], width), 2 * width
+    return whole[:n]
 
 
 def rows_of(first: np.ndarray) -> np.ndarray:
