@@ -1,12 +1,12 @@
 """Command line: build a warehouse from landed files, run or preview queries.
 
-  python -m encore build   --export DIR [--metadata DIR] [--weather DIR] --out ROOT
+  python -m encore build   --export DIR [--metadata DIR] [--weather DIR] --out ROOT [--append] [--keep N]
   python -m encore query   KEY [KEY ...] --warehouse ROOT [--rows N | --save PATH]
   python -m encore sql     TEXT --warehouse ROOT [--rows N | --save PATH]
   python -m encore tables  KEY --sf-dir DIR [--rows N]      (driver test tables via the adapters)
 
-Every build is a new version under ROOT; queries read the newest complete one,
-``sql`` through its views. Output is printed with ``show`` (results are small
+Every build is a new version under ROOT (``--append``: DIR holds newly landed files only);
+queries read the newest complete one, ``sql`` through its views. Output is printed with ``show`` (results are small
 reports); ``--save PATH`` writes the full result as parquet instead.
 """
 
@@ -32,6 +32,8 @@ def main(argv: list[str] | None = None) -> int:
     build.add_argument("--metadata")
     build.add_argument("--weather")
     build.add_argument("--out", required=True)
+    build.add_argument("--append", action="store_true")
+    build.add_argument("--keep", type=int, default=3)
     for name, what in (("query", "keys"), ("sql", "text")):
         s = sub.add_parser(name)
         s.add_argument(what, nargs="+" if name == "query" else None)
@@ -51,7 +53,8 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = build_session(args.master)
     if args.cmd == "build":
-        wh = rebuild(spark, sources_from_landed(spark, args.export, args.metadata, args.weather), args.out)
+        wh = rebuild(spark, sources_from_landed(spark, args.export, args.metadata, args.weather), args.out, args.keep,
+                     args.append)
         print(f"warehouse written to {wh.root}")
     elif args.cmd == "tables":
         _emit(for_tables()[args.key](spark, args.sf_dir), args.save, args.rows)

@@ -1,7 +1,8 @@
 """Track metadata (landed service rows) and behavioural features per track.
 
-Features aggregate the fact by (track, day) and then by track, so the
-distinct-day count needs no Expand; durations join at track grain.
+Features aggregate the fact by (track, day), then (track, year), then track, so the
+distinct-day count needs no Expand and a new year leaves the others' sums as they
+are; durations join at track grain.
 """
 
 from __future__ import annotations
@@ -56,20 +57,29 @@ def completion(total_ms, plays, duration_ms):
     return total_ms.cast("double") / whole
 
 
-def track_features(plays: DataFrame, api: DataFrame) -> DataFrame:
-    """E5 per track: plays, completion (capped at 1, NULL mean -> 1.0), skip and
-    shuffle rates, plays per active day; and the minutes played.
+YEAR_SUMS = ["n", "ms", "minutes", "skipped", "shuffle", "days"]
+
 
-    The fact is aggregated to (track, date) and then to the track, so a hot track
-    collapses map-side and the active days need no distinct count; the durations
-    join the finished tracks."""
-    flags = ["skipped", "shuffle"]
-    by_day = plays.groupBy("track_id", "date").agg(
+def track_years(plays: DataFrame) -> DataFrame:
+    """Sums per (track, year), active days among them: a day lies in one year, so years
+    add up. The fact is aggregated to (track, date) first, so a hot track collapses
+    map-side and the active days need no distinct count."""
+    by_day = plays.groupBy("track_id", "year", "date").agg(
         F.count(F.lit(1)).alias("n"), F.sum("ms_played").alias("ms"), exact_sum("minutes_played").alias("minutes"),
-        *[F.sum(F.col(c).cast("int")).alias(c) for c in flags])
-    per_track = by_day.groupBy("track_id").agg(
-        *[F.sum(c).alias(c) for c in ["n", "ms", "minutes", *flags]],
-        F.count("date").alias("days"))
+        *[F.sum(F.col(c).cast("int")).alias(c) for c in ("skipped", "shuffle")])
+    return by_day.groupBy("track_id", "year").agg(
+        *[F.sum(c).alias(c) for c in YEAR_SUMS if c != "days"], F.count("date").alias("days"))
+
+
+def track_features(plays: DataFrame, api: DataFrame) -> DataFrame:
+    return features_of(track_years(plays), api)
+
+
+def features_of(years: DataFrame, api: DataFrame) -> DataFrame:
+    """E5 per track: plays, completion (capped at 1, NULL mean -> 1.0), skip and
+    shuffle rates, plays per active day; and the minutes played. The durations join
+    the finished tracks."""
+    per_track = years.groupBy("track_id").agg(*[F.sum(c).alias(c) for c in YEAR_SUMS])
     mean = completion(F.col("ms"), F.col("n"), F.col("duration_ms"))
     capped = F.least(F.col("mean"), F.lit(1.0))
     n = F.col("n").cast("double")

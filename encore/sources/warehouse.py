@@ -14,6 +14,7 @@ import threading
 import time
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,6 +76,7 @@ class Warehouse:
     id_sketches: DataFrame      # the same as HLL sketches
     artist_keys: DataFrame      # every artist name ever numbered
     track_keys: DataFrame       # every track URI ever numbered
+    track_years: DataFrame      # additive figures per (track, year)
     landed_metadata: DataFrame  # newest landed rows
     landed_weather: DataFrame
 
@@ -102,11 +104,16 @@ class Warehouse:
             full = f"`{database}`.`{name}`"
             frame = getattr(self, table)
             fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields)
-            parted = " PARTITIONED BY (year)" if folder in BY_YEAR else ""
             run(f"DROP TABLE IF EXISTS {full}")
+            parted = " PARTITIONED BY (year)" if folder in BY_YEAR else ""
             run(f"CREATE TABLE {full} ({fields}) USING parquet{parted} LOCATION '{path_join(self.root, folder)}'")
             if parted:
                 run(f"MSCK REPAIR TABLE {full}")
+                for other, years, _ in _manifest(self.spark, self.root):
+                    for year in years if other != self.root else []:
+                        place = "__HIVE_DEFAULT_PARTITION__" if year is None else year
+                        value = "null" if year is None else year
+                        run(f"ALTER TABLE {full} ADD IF NOT EXISTS PARTITION (year={value}) LOCATION '{path_join(other, folder, f'year={place}')}'")
             run(f"ANALYZE TABLE {full} COMPUTE STATISTICS FOR ALL COLUMNS")
         return list(TABLES)
 
@@ -138,9 +145,14 @@ def _newest_landed(fresh: DataFrame, stored: DataFrame | None, keys_of: list[str
     return _write(landed.newest(fresh, keys_of, first), path)
 
 
-def build_warehouse(spark: SparkSession, sources: Sources, root: str, previous: Warehouse | None = None) -> Warehouse:
+def build_warehouse(spark: SparkSession, sources: Sources, root: str, previous: Warehouse | None = None,
+                    append: bool = False) -> Warehouse:
     """Write all tables below ``root``. With ``previous``, tracks, artists and plays that
-    it knows keep their ids, and its landed rows count where nothing newer landed."""
+    it knows keep their ids, and its landed rows count where nothing newer landed.
+
+    With ``append`` the raw plays are newly landed ones only: the years that they touch
+    are written anew, with the plays that ``previous`` has of them; other years stay in
+    its files, which the manifest names, and figures per year are taken over."""
     p = lambda *parts: path_join(root, *parts)
     known = lambda name: getattr(previous, name) if previous else None
 
@@ -149,47 +161,106 @@ def build_warehouse(spark: SparkSession, sources: Sources, root: str, previous:
     with keys.sized_shuffles(spark, parts):
         # Clean plays, in chronological (total) order and by year, with position tags.
         # A first build's stream ids are offsets over the tags; a rebuild stores them.
-        numbered, last = counted.plays, 0
+        numbered, last, before = counted.plays, 0, None
         if previous:
-            last = previous.raw_counts.first()["last_row_id"]
-            numbered = keys.registered_ids(
-                _write(counted.plays, p("_scratch", "clean")), clean_op.BASE_COLUMNS, clean_op.PLAY_ORDER, "row_id",
-                p("_scratch", "new_plays"), previous.staged, parts, last)
+            before = previous.raw_counts.first()
+            last = before["last_row_id"]
+            read = _write(counted.plays, p("_scratch", "clean"))
+            touched = _years(read) if append else None
+            old = previous.staged if touched is None else previous.staged.where(_in_years(touched))
+            numbered = keys.registered_ids(read, clean_op.BASE_COLUMNS, clean_op.PLAY_ORDER, "row_id",
+                                           p("_scratch", "new_plays"), old, parts, last)
+        counts = counted.counts(read) if previous else None
+        if append:
+            numbered = _write(numbered.where(F.col("row_id") > last), p("_scratch", "added"))
+            added = numbered
+            numbered = added.unionByName(old.withColumn(clean_op.COPIES, F.lit(1).cast("long")))
         ranged = keys.write_ranged(numbered, clean_op.PLAY_ORDER, p("streaming_clean"), parts, ["year"])
         offsets = _write(keys.partition_offsets(ranged), p("streaming_clean_offsets"))
         staged = _staged(ranged, offsets)
-        counts = counted.counts(ranged).withColumn("last_row_id", F.greatest(
+        counts = counted.counts(ranged) if counts is None else counts
+        if append:
+            counts = counts.select(*[(F.col(c) + F.lit(before[c])).alias(c) for c in counts.columns])
+        counts = counts.withColumn("last_row_id", F.greatest(
             F.lit(last).cast("long"), F.coalesce(staged.agg(F.max("row_id")).scalar(), F.lit(0).cast("long"))))
-        counts = counts.withColumn("stored_ids", F.lit(previous is not None))
-        counts = _write(counts, p("raw_counts"))
-        clean = ranged.select(*clean_op.CLEAN_COLUMNS)
-
-        artists = _write(star.dim_artists(clean, p("_scratch", "artists"), known("artist_keys"), parts), p("dim_artists"))
-        tracks = _write(star.dim_tracks(clean, artists, p("_scratch", "tracks"), known("track_keys"), parts), p("dim_tracks"))
+        counts = _write(counts.withColumn("stored_ids", F.lit(previous is not None)), p("raw_counts"))
+        _write_manifest(spark, root, previous, touched if append else None)
+
+        # what names tracks and artists: the plays, or new plays and the dimensions so far
+        named = ranged.select(*clean_op.CLEAN_COLUMNS)
+        if append:
+            named = added.select("track_uri", "track_name", "album_name", "artist_name").unionByName(_described(previous))
+        artists = _write(star.dim_artists(named, p("_scratch", "artists"), known("artist_keys"), parts), p("dim_artists"))
+        tracks = _write(star.dim_tracks(named, artists, p("_scratch", "tracks"), known("track_keys"), parts), p("dim_tracks"))
         artist_keys = _write(keys.registry(known("artist_keys"), artists, ["artist_name"], "artist_id"), p("artist_keys"))
         track_keys = _write(keys.registry(known("track_keys"), tracks, ["track_uri"], "track_id"), p("track_keys"))
 
         # every play goes back to its place of the clean table: in time order over all
         # files, and by year, whichever join Spark picks, and nothing is sampled again
-        ids = _write(star.play_ids(clean, tracks, artists), p("_scratch", "play_ids"))
-        fact = star.plays(staged, ids).repartitionById(parts, F.col(keys.PART))
-        plays = _write(fact.sortWithinPartitions("year", "played_at", "stream_id").drop(keys.PART), p("plays"), ["year"])
-
-        act = _write(rollup.activity(plays), p("activity"))
-        groups = _write(rollup.id_groups(plays), p("_scratch", "id_groups"))
-        bitmaps = _write(rollup.id_bitmaps(groups), p("id_bitmaps"))
-        sketches = _write(rollup.id_sketches(groups), p("id_sketches"))
+        fresh = staged.where(F.col("row_id") > last) if append else staged
+        ids = _write(star.play_ids(fresh, tracks, artists), p("_scratch", "play_ids"))
+        fact = star.plays(fresh, ids)
+        if append:
+            places = staged.select(F.col("row_id").alias("stream_id"), keys.PART)
+            fact = fact.unionByName(previous.plays.where(_in_years(touched)).join(places, "stream_id"))
+        fact = fact.repartitionById(parts, F.pmod(keys.PART, F.lit(parts))).sortWithinPartitions("year", "played_at", "stream_id")
+        now = _write(fact.drop(keys.PART), p("plays"), ["year"])
+
+        # figures per year: those of the years written, and the others as they were
+        def whole(made: DataFrame, name: str) -> DataFrame:
+            kept = getattr(previous, name).where(~_in_years(touched)).select(*made.columns) if append else None
+            return _write(made if kept is None else made.unionByName(kept), p(name))
+
+        act = whole(rollup.activity(now), "activity")
+        groups = _write(rollup.id_groups(now), p("_scratch", "id_groups"))
+        bitmaps = whole(rollup.id_bitmaps(groups), "id_bitmaps")
+        sketches = whole(rollup.id_sketches(groups), "id_sketches")
+        years = whole(features.track_years(now), "track_years")
 
         landed_meta = _newest_landed(_stored_metadata(sources.metadata), known("landed_metadata"), landed.METADATA_KEYS,
                                      ["api_available"], p("landed_metadata"))
         landed_days = _newest_landed(sources.weather, known("landed_weather"), landed.WEATHER_KEYS, [], p("landed_weather"))
         api = features.track_api(tracks, landed_meta)
-        meta = _write(features.track_metadata(api, features.track_features(plays, api)),
-                      p("track_metadata"))
-        weather = _write(weather_op.dim_weather(landed_days, plays), p("dim_weather"))
+        meta = _write(features.track_metadata(api, features.features_of(years, api)), p("track_metadata"))
+        weather = _write(weather_op.dim_weather(landed_days, act), p("dim_weather"))
+
+    clean, staged, plays = _by_year_tables(spark, root)
+    return Warehouse(spark, root, clean, plays, artists, tracks, meta, weather, staged, counts, adapters.city_coordinates(spark),
+                     act, bitmaps, sketches, artist_keys, track_keys, years, landed_meta, landed_days)
+
+
+def _years(df: DataFrame) -> list[int | None]:
+    return [r.year for r in df.select("year").distinct().collect()]
+
+
+def _in_years(years: list[int | None]):
+    some = F.col("year").isin(*[y for y in years if y is not None]) if any(y is not None for y in years) else F.lit(False)
+    return F.coalesce(some, F.lit(None in years))
+
+
+def _described(wh: Warehouse) -> DataFrame:
+    """What a warehouse's dimensions say of tracks and artists, as plays would."""
+    tracks = wh.dim_tracks.join(wh.dim_artists, "artist_id").select("track_uri", "track_name", "album_name", "artist_name")
+    none = F.lit(None).cast("string")
+    return tracks.unionByName(wh.dim_artists.select(
+        none.alias("track_uri"), none.alias("track_name"), none.alias("album_name"), "artist_name"))
 
-    return Warehouse(spark, root, clean, plays, artists, tracks, meta, weather, staged.drop(keys.PART), counts,
-                     adapters.city_coordinates(spark), act, bitmaps, sketches, artist_keys, track_keys, landed_meta, landed_days)
+
+def _write_manifest(spark: SparkSession, root: str, previous: Warehouse | None, touched: list[int | None] | None) -> None:
+    """Which folder holds which years of the tables by year: this one those written, and
+    after an ``append`` the folders of the version before the years that they still hold."""
+    rows = [(root, touched, touched is None)]
+    if touched is not None:
+        for folder, years, all_years in _manifest(spark, previous.root):
+            held = years if not all_years else _years(spark.read.schema("year int").parquet(path_join(folder, "streaming_clean")))
+            if left := [y for y in held if y not in touched]:
+                rows.append((folder, left, False))
+    spark.createDataFrame(rows, "folder string, years array<int>, all_years boolean").coalesce(1).write.mode(
+        "overwrite").parquet(path_join(root, "manifest"))
+
+
+def _manifest(spark: SparkSession, root: str) -> list[tuple[str, list[int | None] | None, bool]]:
+    return [tuple(r) for r in spark.read.parquet(path_join(root, "manifest")).collect()]
 
 
 def _stored_metadata(rows: DataFrame) -> DataFrame:
@@ -203,51 +274,64 @@ def _staged(ranged: DataFrame, offsets: DataFrame) -> DataFrame:
     return keys.attach_ids(ranged, "row_id", offsets, keep_part=True).drop(clean_op.COPIES)
 
 
-def load_warehouse(spark: SparkSession, root: str) -> Warehouse:
-    """Open a warehouse written by ``build_warehouse``; its inputs aren't needed."""
-    r = lambda name: spark.read.parquet(path_join(root, name))
+def _by_year_tables(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The clean plays, staged plays and fact of a version, from the folders that hold them."""
     # schemas are given: tables of an empty export have no year folder to read it from
     kinds = {"played_at": "timestamp_ntz", "date": "date", "minutes_played": "double", "is_weekend": "boolean",
              **{c: "boolean" for c in clean_op.FLAGS}, **{c: "int" for c in ("year", "month", "week", "hour", keys.PART)},
              **{c: "bigint" for c in ("ms_played", "row_id", keys.SEQ, clean_op.COPIES, *star.FACT_COLUMNS[:4])}}
 
-    def by_year(name: str, columns: list[str], **other: str) -> DataFrame:
+    def by_year(folder: str, name: str, columns: list[str], **other: str) -> DataFrame:
         schema = ", ".join(f"`{c}` {other.get(c, kinds.get(c, 'string'))}" for c in columns)
-        return spark.read.schema(schema).parquet(path_join(root, name)).select(*columns)
+        return spark.read.schema(schema).parquet(path_join(folder, name)).select(*columns)
 
-    offsets = r("streaming_clean_offsets")
-    rebuilt = r("raw_counts").first()["stored_ids"]
-    ranged = by_year("streaming_clean", clean_op.CLEAN_COLUMNS + [clean_op.COPIES] + ["row_id"] * rebuilt + [keys.PART, keys.SEQ],
-                     track_id="string")
-    plays = by_year("plays", star.PLAY_COLUMNS)
-    return Warehouse(spark, root, ranged.select(*clean_op.CLEAN_COLUMNS), plays, r("dim_artists"), r("dim_tracks"),
-                     r("track_metadata"), r("dim_weather"), _staged(ranged, offsets).drop(keys.PART), r("raw_counts"),
-                     adapters.city_coordinates(spark), r("activity"), r("id_bitmaps"), r("id_sketches"), r("artist_keys"),
-                     r("track_keys"), r("landed_metadata"), r("landed_weather"))
+    found = []
+    for folder, years, all_years in _manifest(spark, root):
+        stored = spark.read.parquet(path_join(folder, "raw_counts")).first()["stored_ids"]
+        ranged = by_year(folder, "streaming_clean", clean_op.CLEAN_COLUMNS + [clean_op.COPIES] + ["row_id"] * stored
+                         + [keys.PART, keys.SEQ], track_id="string")
+        staged = _staged(ranged, spark.read.parquet(path_join(folder, "streaming_clean_offsets"))).drop(keys.PART)
+        tables = (ranged.select(*clean_op.CLEAN_COLUMNS), staged, by_year(folder, "plays", star.PLAY_COLUMNS))
+        found.append(tables if all_years else tuple(t.where(_in_years(years)) for t in tables))
+    return tuple(reduce(DataFrame.unionByName, same) for same in zip(*found))
+
+
+def load_warehouse(spark: SparkSession, root: str) -> Warehouse:
+    """Open a warehouse written by ``build_warehouse``; its inputs aren't needed."""
+    r = lambda name: spark.read.parquet(path_join(root, name))
+    clean, staged, plays = _by_year_tables(spark, root)
+    return Warehouse(spark, root, clean, plays, r("dim_artists"), r("dim_tracks"), r("track_metadata"), r("dim_weather"), staged,
+                     r("raw_counts"), adapters.city_coordinates(spark), r("activity"), r("id_bitmaps"), r("id_sketches"),
+                     r("artist_keys"), r("track_keys"), r("track_years"), r("landed_metadata"), r("landed_weather"))
 
 
 # Complete versions that a rebuild leaves, its own among them.
 KEEP_VERSIONS = 3
 
 
-def rebuild(spark: SparkSession, sources: Sources, base: str, keep: int = KEEP_VERSIONS) -> Warehouse:
+def rebuild(spark: SparkSession, sources: Sources, base: str, keep: int = KEEP_VERSIONS, append: bool = False) -> Warehouse:
     """A new version of the warehouse in its own folder under ``base``, checked
     and marked last: until then, and if it fails, readers keep the one before. Keys
-    keep the ids of the version before. Then versions beyond the newest ``keep``,
-    and unfinished ones older than those kept, are removed."""
+    keep the ids of the version before. ``append``: the raw plays are only the newly
+    landed ones, and only the years that they touch are written. Then versions beyond
+    the newest ``keep`` are removed, and unfinished ones older than those kept."""
     version = f"{time.time_ns() // 1_000_000:015d}-{uuid.uuid4().hex[:8]}"
     before = completed_build(spark, base)
-    wh = build_warehouse(spark, sources, path_join(base, version), load_warehouse(spark, before) if before else None)
+    previous = load_warehouse(spark, before) if before else None
+    wh = build_warehouse(spark, sources, path_join(base, version), previous, append and previous is not None)
     complete(wh)
     remove_old(spark, base, keep)
     return wh
 
 
 def remove_old(spark: SparkSession, base: str, keep: int) -> list[str]:
-    """Remove all but the newest ``keep`` complete versions, and what is older."""
+    """Remove all but the newest ``keep`` complete versions and the folders whose years
+    these still read; of other folders what is older than the versions kept."""
     kept = versions(spark, base)[:max(keep, 1)]
+    used = {os.path.basename(folder.rstrip("/")) for v in kept for folder, _, _ in _manifest(spark, v)}
     fs, path = file_system(spark, base)
-    old = [st.getPath() for st in fs.listStatus(path) if kept and st.isDirectory() and st.getPath().getName() < os.path.basename(kept[-1])]
+    old = [st.getPath() for st in fs.listStatus(path) if kept and st.isDirectory()
+           and st.getPath().getName() < os.path.basename(kept[-1]) and st.getPath().getName() not in used]
     for folder in old:
         fs.delete(folder, True)
     return [folder.getName() for folder in old]

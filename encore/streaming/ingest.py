@@ -6,8 +6,9 @@ cleaned as they arrive, with the batch clean's column rules.
 * exact duplicates: each micro-batch is deduplicated and anti-joined with the
   plays already written for its days. No watermark is involved, so an old
   export file that lands late is taken whole
-* sinks: the clean rows of batch N in ``streaming_clean/batch=N``, and daily
-  plays and skips per country, rewritten for the days a batch touched
+* sinks: the clean rows of batch N in ``streaming_clean/batch=N``, by day, and daily
+  plays and skips per country, rewritten for the days a batch touched. A batch reads
+  those days' folders only, however many batches there were
 
 Both writes are repeatable: a micro-batch that runs again replaces its own
 folder and its days. Progress lies in the checkpoint folder.
@@ -54,18 +55,20 @@ def write_batch(out_dir: str) -> Callable[[DataFrame, int], None]:
         fresh = with_derived(typed)
         own = path_join(clean_dir, f"batch={batch}")
         # an empty folder of this batch first, so that the table can be read from the start
-        fresh.limit(0).write.mode("overwrite").parquet(own)
+        fresh.limit(0).write.mode("overwrite").partitionBy("date").parquet(own)
         schema = fresh.schema.add("batch", "long")
+        days = [r.date for r in fresh.select("date").distinct().collect()]  # bounded by the calendar
+        touched = F.coalesce(F.col("date").isin(*[d for d in days if d is not None]) if any(days) else F.lit(False),
+                             F.lit(None in days))
 
         def written() -> DataFrame:
-            return spark.read.schema(schema).parquet(clean_dir)
+            return spark.read.schema(schema).parquet(clean_dir).where(touched)
 
-        days = fresh.select("date").distinct()
-        before = written().where(F.col("batch") != batch).join(days, "date", "left_semi").select(*BASE_COLUMNS)
+        before = written().where(F.col("batch") != batch).select(*BASE_COLUMNS)
         same = reduce(lambda a, b: a & b, [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in BASE_COLUMNS])
-        fresh.alias("n").join(before.alias("o"), same, "left_anti").write.mode("overwrite").parquet(own)
-        touched = written().where(F.col("batch") == batch).select("date").distinct()
-        (daily_activity(written().join(touched, "date", "left_semi"))
+        (fresh.alias("n").join(before.alias("o"), same, "left_anti")
+         .write.mode("overwrite").partitionBy("date").parquet(own))
+        (daily_activity(written())
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(daily_dir))
 
     return write

@@ -79,6 +79,51 @@ def test_known_ids_outlast_rebuilds(spark, tmp_path):
     assert times == sorted(times) and len(times) == 10
 
 
+def test_an_appended_file_rewrites_its_years_only(spark, tmp_path):
+    export, new, whole = (str(tmp_path / x) for x in ("export", "new", "whole"))
+    base, other = _base(spark, "append"), _base(spark, "whole")
+    meta = str(tmp_path / "meta")
+    _answers(meta, "1.json", [90, 50], time.time() - 100)
+    sources = lambda folder, meta=meta: W.sources_from_landed(spark, folder, meta, None)
+    old = _year(2021, ["m", "p", "q"]) + _year(2022, ["m", "z", "z"]) + _year(2023, ["a", "m"])
+    # another name of a known track, a known play again, new tracks, and a year of its own
+    added = _year(2022, ["b", "z"]) + old[3:5] + _year(2024, ["m", "c"]) + [
+        play("2022-05-05T05:05:05Z", 70000, "A new name", "Band z", "x:track:z"), play("2022-05-05T05:05:05Z", 70, "short", "x", "x:track:s"),
+        play("2022-05-05T05:05:05Z", 70000, None, None, None)]
+    _land(export, "Streaming_History_Audio_1.json", old)
+    _land(new, "Streaming_History_Audio_2.json", added)
+    for name, rows in (("Streaming_History_Audio_1.json", old), ("Streaming_History_Audio_2.json", added)):
+        _land(whole, name, rows)
+    first = W.rebuild(spark, sources(export), base)
+    W.rebuild(spark, sources(export), other)
+    reader = W.load_warehouse(spark, first.root)
+    wh = W.rebuild(spark, sources(new, None), base, append=True)
+    want = W.rebuild(spark, sources(whole), other)
+    for table in ("clean", "staged", "plays", "dim_artists", "dim_tracks", "track_metadata", "activity", "track_years", "artist_keys", "track_keys"):
+        a, b = getattr(wh, table), getattr(want, table)
+        assert a.count() == b.count() and a.exceptAll(b.select(*a.columns)).count() == 0, table
+    for key in ("summary_stats", "year_comparison", "country_summary", "removed_rows", "top_tracks", "dim_date"):
+        assert sorted(map(str, QUERIES[key](wh).collect())) == sorted(map(str, QUERIES[key](want).collect())), key
+    for name in ("streaming_clean", "plays"):
+        assert {d for d in os.listdir(path_join(wh.root, name)) if d.startswith("year")} == {"year=2022", "year=2024"}
+    assert reader.plays.count() == 8  # who reads the version before still can
+    # removal spares the files that a kept version reads
+    _land(new, "Streaming_History_Audio_2.json", _year(2025, ["m"]))
+    last = W.rebuild(spark, sources(new, None), base, keep=1, append=True)
+    assert len([d for d in os.listdir(base)]) == 3 and len(W.versions(spark, base)) == 3
+    again = W.open_latest(spark, base)
+    assert again.plays.count() == want.plays.count() + 1 and again.plays.exceptAll(last.plays).count() == 0
+    p = again.plays.where("year = 2021")._jdf.queryExecution().executedPlan().toString()
+    # every folder is asked for that year only
+    assert len(re.findall(r"PartitionFilters: \[[^\]]*year[^\]]*2021", p)) == p.count("FileScan parquet") > 0
+    name = "encore_" + uuid.uuid4().hex[:8]
+    again.register_tables(name)
+    assert spark.newSession().table(f"{name}.fact_plays").count() == again.plays.count()
+    # one more full rebuild needs no older folder
+    W.rebuild(spark, sources(whole), base, keep=1)
+    assert len(os.listdir(base)) == 1
+
+
 def test_registered_ids_with_null_keys_and_ties(spark, scratch):
     df = lambda *names: spark.createDataFrame([(n,) for n in names], "k string")
     one = keys.registered_ids(df("b", None, "a"), ["k"], ["k"], "id", scratch + "/1", None)
