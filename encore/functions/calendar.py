@@ -22,12 +22,16 @@ def utc_wall_clock(col: Column, dtype) -> Column:
     if isinstance(dtype, TimestampType):
         return _instant_in_utc(col)
     text = F.trim(col if isinstance(dtype, StringType) else col.cast("string"))
+    # seconds without a zone, or with Z: the wall clock as it stands
+    n = F.length(text)
+    plain = (F.substring(text, 17, 1) == ":") & ((n == 19) | ((n == 20) & text.endswith("Z")))
+    as_is = F.when(plain, F.substring(text, 1, 19).try_cast("timestamp_ntz"))
     # text without a zone is UTC; with one it names an instant whatever the session's zone
     zoned = text.rlike(r"(?i)([0-9:.]\s*(Z|UTC|GMT)|[Tt ][0-9:.]+\s*[+-][0-9]{1,2}(:?[0-9]{2})?)$")
     parsed = F.try_to_timestamp(F.when(zoned, text).when(text.contains(":"), F.concat(text, F.lit("Z")))
                                 .otherwise(F.concat(text, F.lit(" 00:00:00Z"))))
     unread = F.raise_error(F.concat(F.lit("not a timestamp: "), text)).cast("timestamp")
-    return _instant_in_utc(F.coalesce(parsed, F.when(text.isNotNull(), unread)))
+    return F.coalesce(as_is, _instant_in_utc(F.coalesce(parsed, F.when(text.isNotNull(), unread))))
 
 
 def _instant_in_utc(ts: Column) -> Column:

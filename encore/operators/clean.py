@@ -76,9 +76,10 @@ def coerce_flag(col: Column, dtype_name: str) -> Column:
     any other value is true."""
     if dtype_name == "boolean":
         return F.coalesce(col, F.lit(False))
-    text = F.lower(F.trim(col.cast("string")))
+    whole = col.cast("string")
+    text = F.lower(F.trim(whole))
     no = text.isin("", "false") | F.coalesce(text.try_cast("double") == 0.0, F.lit(False))
-    return F.coalesce(~no, F.lit(False))
+    return F.when(whole.isNull() | (whole == "false"), F.lit(False)).when(whole == "true", F.lit(True)).otherwise(~no)
 
 
 def typed_rows(raw: DataFrame) -> DataFrame:
