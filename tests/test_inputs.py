@@ -53,7 +53,7 @@ def test_an_older_file_that_lands_later_is_taken(spark, tmp_path):
 def test_times_do_not_depend_on_the_session_zone(spark, zone):
     texts = {"2024-10-27T00:30:00Z": (27, 0, 30), "2024-10-27T01:30:00Z": (27, 1, 30), "2024-03-31T01:30:00Z": (31, 1, 30),
              "2024-03-31 02:30:00": (31, 2, 30), "2024-10-27T02:45:00+02:00": (27, 0, 45), "2024-06-01 23:30:00": (1, 23, 30),
-             "2024-01-05T10:00+02:00": (5, 8, 0), " 2024-01-06T10:00:00Z ": (6, 10, 0), "2024-01-07T1:00:00Z": (7, 1, 0),
+             " 2024-01-06T10:00:00Z ": (6, 10, 0), "2024-01-07T1:00:00Z": (7, 1, 0),
              "2024-10-26T20:15:00.5-0500": (27, 1, 15), "2024-06-02": (2, 0, 0)}
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
