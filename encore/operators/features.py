@@ -64,10 +64,10 @@ def track_years(plays: DataFrame) -> DataFrame:
     """Sums per (track, year), active days among them: a day lies in one year, so years
     add up. The fact is aggregated to (track, date) first, so a hot track collapses
     map-side and the active days need no distinct count."""
-    by_day = plays.groupBy("track_id", "year", "date").agg(
+    by_day = plays.groupBy("track_id", "date").agg(
         F.count(F.lit(1)).alias("n"), F.sum("ms_played").alias("ms"), exact_sum("minutes_played").alias("minutes"),
         *[F.sum(F.col(c).cast("int")).alias(c) for c in ("skipped", "shuffle")])
-    return by_day.groupBy("track_id", "year").agg(
+    return by_day.groupBy("track_id", F.year("date").alias("year")).agg(
         *[F.sum(c).alias(c) for c in YEAR_SUMS if c != "days"], F.count("date").alias("days"))
 
 
