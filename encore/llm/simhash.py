@@ -14,13 +14,15 @@ rest get the full check.
 
 Scale: all is done on distinct fingerprints, so any number of copies costs one
 row. Buckets are counted first. Buckets of at most ``bucket`` rows are
-compared in tasks that hold about ``SHARD_ROWS`` rows of many buckets, however
-many there are, and return a spanning star per local group instead of pairs. Larger buckets (many near copies, or far more
-documents than segment values) are never compared pairwise: their fingerprints
-are dealt with each of their bits flipped once, as two fingerprints at
-distance 2 meet at one between them; these meetings have at most 65 members.
-That way is for distance 2, the contract's; at other distances all buckets are
-compared in tasks. Components come from alternating
+compared in tasks that hold about ``SHARD_ROWS`` rows of many buckets, and
+return a spanning star per local group instead of pairs. A larger bucket (many
+near copies, or far more documents than segment values) is dealt again by the
+same rule: the bits that its key doesn't fix are a smaller ring, cut in as many
+segments, and its fingerprints meet in buckets of one more equal segment. This
+ends where at most ``LEAST_BITS`` bits are open, since no bucket of distinct
+fingerprints can then hold more than 2 ** LEAST_BITS; for distances up to 3
+that is after at most six rounds, beyond 3 rings are cut until there are
+``MOST_RINGS`` and larger buckets are compared as they are. Components come from alternating
 star contractions, written to the shared folder in each round.
 
 Cases: null or wordless text has fingerprint zero and links like any other;
@@ -38,10 +40,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from encore.llm import wordhash as wh
-from encore.llm.common import byte_buffer, pieces, shuffle_partitions, written
+from encore.llm.common import byte_buffer, dealt, hot_join, pieces, shuffle_partitions, written
 
 BUCKET = 4096
 SHARD_ROWS = 200_000
+# a ring of at most so many bits is not cut again
+LEAST_BITS = 12
+MOST_RINGS = 4096
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 
@@ -105,22 +110,34 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(made, f"`{id_col}` {id_type}, __fp long")
 
 
-def _segments(distance: int) -> list[tuple[int, int]]:
-    """Shift and width of each segment."""
-    m = distance + 1
-    cuts = [64 * i // m for i in range(m + 1)]
-    return [(a, b - a) for a, b in zip(cuts[:-1], cuts[1:])]
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
 
 
-def _stars(fp: np.ndarray, start: np.ndarray, key: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links of a task's buckets as (member, smallest member of its local group)."""
-    segments = _segments(distance)
-    masks = np.array([((1 << w) - 1) << s for s, w in segments], np.uint64)
-    order = np.lexsort((fp, key, start))
-    fp, start, key = fp[order], start[order], key[order]
+def _cut_rings(rings: list[list[int]], parts: int) -> tuple[list[list[int]], list[int], list[list[int]]]:
+    """Each ring, a list of bits, is cut in ``parts`` segments. For every segment in turn:
+    the bits left when it is fixed, the mask of all bits fixed by then, and the
+    masks of the chains of 2, 3, ... segments that start with it."""
+    left, fixed, chains = [], [], []
+    for ring in rings:
+        cuts = [len(ring) * i // parts for i in range(parts + 1)]
+        segments = [ring[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+        masks = [sum(1 << bit for bit in segment) for segment in segments]
+        for i, segment in enumerate(segments):
+            left.append([bit for bit in ring if bit not in segment])
+            fixed.append((1 << 64) - 1 - sum(1 << bit for bit in left[-1]))
+            chains.append([sum(masks[(i + step) % parts] for step in range(n)) for n in range(2, parts + 1)])
+    return left, fixed, chains
+
+
+def _stars(fp: np.ndarray, ring: np.ndarray, key: np.ndarray, chains: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links of a task's buckets as (member, smallest member of its local group);
+    ``chains`` holds the masks of the chains of each ring number."""
+    order = np.lexsort((fp, key, ring))
+    fp, ring, key = fp[order], ring[order], key[order]
     n = len(fp)
     new = np.ones(n, bool)
-    new[1:] = (start[1:] != start[:-1]) | (key[1:] != key[:-1])
+    new[1:] = (ring[1:] != ring[:-1]) | (key[1:] != key[:-1])
     begin = np.flatnonzero(new)
     left = np.repeat(np.append(begin[1:], n), np.diff(np.append(begin, n))) - np.arange(n)  # rows of its bucket from here on
     parent = np.arange(n)
@@ -128,12 +145,9 @@ def _stars(fp: np.ndarray, start: np.ndarray, key: np.ndarray, distance: int) ->
     lag = 1
     while len(active):
         u, v = active, active + lag
-        for chain in range(1, len(segments)):  # chains over their budget are dropped
+        for chain in range(distance):  # chains over their budget are dropped
             differ = fp[u] ^ fp[v]
-            spanned = np.zeros(len(u), np.uint64)
-            for step in range(chain + 1):
-                spanned |= masks[(start[u] + step) % len(segments)]
-            near = np.bitwise_count(differ & spanned) <= (chain + 1) * distance // len(segments)
+            near = np.bitwise_count(differ & chains[ring[u], chain]) <= (chain + 2) * distance // (distance + 1)
             u, v = u[near], v[near]
         near = np.bitwise_count(fp[u] ^ fp[v]) <= distance
         u, v = u[near], v[near]
@@ -150,36 +164,40 @@ def _stars(fp: np.ndarray, start: np.ndarray, key: np.ndarray, distance: int) ->
     return fp[linked], fp[parent[linked]]
 
 
-def links(distinct: DataFrame, *, distance: int = 2, bucket: int = BUCKET) -> DataFrame:
-    """Edges (a, b) between distinct fingerprints (column ``fp``) whose
-    components are those of all links."""
-    spark = distinct.sparkSession
-    segments = _segments(distance)
-    ring = F.explode(F.array(*[F.struct(F.lit(i).alias("start"),
-                                        F.shiftrightunsigned("fp", s).bitwiseAND((1 << w) - 1).alias("key"))
-                               for i, (s, w) in enumerate(segments)]))
-    keys = distinct.select("fp", ring.alias("r")).select("fp", "r.start", "r.key")
-    sizes = keys.groupBy("start", "key").agg(F.count("*").alias("n")).where("n > 1")
-    met = written(keys.join(sizes, ["start", "key"]), "buckets")
+def _compared(met: DataFrame, chains: list[list[int]], distance: int) -> DataFrame:
+    """Edges (a, b) of the buckets of one round, (ring, key), each within one task."""
+    masks = np.array(chains, np.uint64).reshape(len(chains), distance)
 
     def compare(key, table):
-        a, b = _stars(np.asarray(table["fp"]).astype(np.int64).view(np.uint64),
-                      np.asarray(table["start"]).astype(np.int64), np.asarray(table["key"]).astype(np.int64), distance)
+        a, b = _stars(np.asarray(table["fp"]).astype(np.int64).view(np.uint64), np.asarray(table["ring"]).astype(np.int64),
+                      np.asarray(table["key"]).astype(np.int64), masks, distance)
         return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    # the flips below are complete at distance 2; elsewhere no bucket is left out here
-    small = met.where(F.col("n") <= bucket) if distance == 2 else met
-    shards = max(shuffle_partitions(spark), -(-small.count() // SHARD_ROWS))
-    small = (small.withColumn("__shard", F.pmod(F.xxhash64("start", "key"), F.lit(shards)))
-             .groupBy("__shard").applyInArrow(compare, "a long, b long"))
-    if distance != 2:
-        return small
-    flips = F.array(*[F.lit(x).cast("long") for x in (0, *[1 << i for i in range(63)], -(1 << 63))])
-    between = (met.where(F.col("n") > bucket).select("fp").distinct()
-               .select("fp", F.explode(F.transform(flips, lambda x: F.col("fp").bitwiseXOR(x))).alias("between"))
-               .groupBy("between").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1))
-    large = between.select(F.array_min("fps").alias("b"), F.explode("fps").alias("a")).where("a != b")
-    return small.unionByName(large.select("a", "b"))
+    shards = max(shuffle_partitions(met.sparkSession), -(-met.count() // SHARD_ROWS))
+    sharded = met.select("fp", "ring", "key", F.pmod(F.xxhash64("ring", "key"), F.lit(shards)).alias("__shard"))
+    return dealt(sharded, shards, "__shard").groupBy("__shard").applyInArrow(compare, "a long, b long")
+
+
+def links(distinct: DataFrame, *, distance: int = 2, bucket: int = BUCKET) -> DataFrame:
+    """Edges (a, b) between distinct fingerprints (column ``fp``) whose
+    components are those of all links."""
+    parts = distance + 1
+    rings, rows, edges = [list(range(64))], distinct.select("fp", F.lit(0).alias("ring")), None
+    while True:
+        rings, fixed, chains = _cut_rings(rings, parts)
+        masks = F.array(*[F.lit(_signed(mask)).cast("long") for mask in fixed])
+        keys = (rows.select("fp", F.explode(F.array(*[(F.col("ring") * parts + i).cast("int") for i in range(parts)])).alias("ring"))
+                .withColumn("key", F.col("fp").bitwiseAND(F.get(masks, F.col("ring")))))
+        sizes = keys.groupBy("ring", "key").agg(F.count("*").alias("n")).where("n > 1")
+        met = written(keys.join(sizes, ["ring", "key"]), "buckets")
+        last = max(map(len, rings)) <= LEAST_BITS or len(rings) * parts > MOST_RINGS
+        large = met.where(F.col("n") > bucket)
+        last = last or large.isEmpty()
+        found = _compared(met if last else met.where(F.col("n") <= bucket), chains, distance)
+        edges = found if edges is None else edges.unionByName(found)
+        if last:
+            return edges
+        rows = large.select("fp", "ring")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -209,11 +227,12 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, s
            bucket: int = BUCKET) -> DataFrame:
     """One row per document: id, ``fingerprint`` (16 hex digits), ``component_id``."""
     marked = written(fingerprints(docs, id_col, text_col, shingle=shingle), "fingerprints")
-    distinct = written(marked.groupBy(F.col("__fp").alias("fp")).agg(F.min(id_col).alias("least")), "distinct")
+    distinct = written(marked.groupBy(F.col("__fp").alias("fp")).agg(F.min(id_col).alias("least"), F.count("*").alias("n")), "distinct")
     roots = components(links(distinct.select("fp"), distance=distance, bucket=bucket))
     classed = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     linked = classed.where("root is not null")
     least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = linked.join(least, "root").select(F.col("fp").alias("__fp"), "component_id")
-    return marked.join(named, "__fp").select(
+    named = written(linked.join(least, "root").select(F.col("fp").alias("__fp"), "component_id", F.col("n").alias("__rows")), "named")
+    # a fingerprint of many copies meets its name where its rows are
+    return hot_join(marked, named, ["__fp"], "__rows", how="inner").select(
         id_col, F.lower(F.lpad(F.hex("__fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -70,7 +70,7 @@ def test_simhash_groups_match_brute_force(spark, bucket):
 
 
 def test_simhash_links_dense_fingerprints_either_way(spark, monkeypatch):
-    """Fingerprints that crowd one bucket: flips and pairs find the same groups."""
+    """Fingerprints that crowd one bucket: rings cut once or often find the same groups."""
     rng = random.Random(5)
     prints = list({0xABCDEF << 40 | sum(1 << rng.randrange(40) for _ in range(3)) for _ in range(400)})
     signed = [p - (1 << 64) if p >> 63 else p for p in prints]
@@ -82,5 +82,27 @@ def test_simhash_links_dense_fingerprints_either_way(spark, monkeypatch):
         assert [found.get(p, p) for p in signed] == want
 
 
+@pytest.mark.parametrize("distance", [0, 1, 3, 4])
+def test_simhash_links_at_other_distances(spark, distance):
+    rng = random.Random(distance)
+    prints = list({0x1234567 << 36 | sum(1 << rng.randrange(36) for _ in range(4)) for _ in range(150)})
+    frame = spark.createDataFrame([(p,) for p in prints], "fp long")
+    want = h.components(prints, prints, distance)
+    found = {r.node: r.root for r in simhash.components(simhash.links(frame, distance=distance, bucket=20)).collect()}
+    assert [found.get(p, p) for p in prints] == want
+
+
+def test_rings_are_cut_until_few_bits_are_open():
+    """The union of what is fixed and what is left is all bits; five rounds leave at most 2 ** 12 values at distance 2."""
+    rings, rounds = [list(range(64))], 0
+    while max(map(len, rings)) > simhash.LEAST_BITS:
+        rings, fixed, chains = simhash._cut_rings(rings, 3)
+        rounds += 1
+        for left, mask, chain in zip(rings, fixed, chains):
+            assert mask == (1 << 64) - 1 - sum(1 << b for b in left) and len(chain) == 2
+            assert chain[-1] & mask and set(left) <= {b for b in range(64) if chain[-1] >> b & 1}
+    assert rounds == 5 and len(rings) == 243 <= simhash.MOST_RINGS
+
+
 def test_simhash_of_an_empty_table(spark):
     assert simhash.groups(h.documents(spark, ["x"]).limit(0)).count() == 0
