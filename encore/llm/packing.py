@@ -9,13 +9,14 @@ and when too many are open the fullest closes first.
 
 Scale: cutting is one pass over the texts without a shuffle. Only one narrow
 row per piece (no ids) is written and dealt by hash to groups of about
-``GROUP_ROWS`` pieces, which are packed independently, long pieces first;
-memory is bounded by the group and the open bins. A third of all rows in one
-source, copies of one text, or repeats of one row are dealt like any other rows.
+``GROUP_ROWS`` pieces. Each group is packed by itself, online: its pieces are
+taken once, in the order in which they were written, and only the open bins are
+looked at. A third of all rows in one source, copies of one text, or repeats of
+one row are dealt like any other rows.
 
 Cases: null text is an empty document (its end id alone); repeated rows are
-packed each; null ids are kept; ties in length go by id and hash; other
-columns are not read; an empty table packs into no sequence.
+packed each; null ids are kept; of open bins with equal free space the one
+used last is taken; other columns are not read; an empty table packs into no sequence.
 """
 
 from __future__ import annotations
@@ -27,11 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from encore.llm.common import byte_buffer, written
+from encore.llm.common import byte_buffer, dealt, written
 from encore.llm.encoding import Encoder
 
 SEQUENCE = 2048
-OPEN_BINS = 8192
+OPEN_BINS = 2048
 GROUP_ROWS = 16_000
 
 
@@ -112,19 +113,16 @@ def pack(cut_pieces: DataFrame, id_col: str = "doc_id", *, sequence: int = SEQUE
     names = cut_pieces.columns
 
     def packed(key, table):
-        length = np.asarray(table["length"])
-        order = np.lexsort((np.asarray(table["__tie"]), -length))
-        bins, places = best_fit(length[order].tolist(), sequence, open_bins)
-        table = table.take(pa.array(order)).select(names)
+        table = table.sort_by("__place").select(names)
+        bins, places = best_fit(table["length"].to_pylist(), sequence, open_bins)
         table = table.append_column("sequence_id", pa.array(np.asarray(bins, np.int64) * groups + key[0].as_py(), pa.int64()))
         return table.append_column("offset", pa.array(places, pa.int64()))
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut_pieces.schema)
-    tie = F.xxhash64(*[F.col(c) for c in (id_col, "piece", "start", "ids_crc32")])
-    # the row's place in the written files parts rows that are equal in all columns
-    group = F.pmod(F.xxhash64(tie, F.monotonically_increasing_id()), F.lit(groups))
-    return (cut_pieces.withColumns({"__tie": tie, "__group": group})
-            .groupBy("__group").applyInArrow(packed, fields + ", sequence_id long, `offset` long"))
+    # the row's place in the written files: the order of arrival, and what parts equal rows
+    placed = cut_pieces.withColumn("__place", F.monotonically_increasing_id())
+    group = F.pmod(F.xxhash64(id_col, "piece", "start", "ids_crc32", "__place"), F.lit(groups))
+    return (dealt(placed.withColumn("__group", group), groups, "__group").groupBy("__group").applyInArrow(packed, fields + ", sequence_id long, `offset` long"))
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", *,

@@ -94,6 +94,44 @@ def test_best_fit_takes_the_fullest_bin_and_closes_the_fullest():
     assert packing.best_fit([9, 5, 8, 1], 10, 2)[0] == [0, 1, 2, 2]
 
 
+def plain_best_fit(lengths, size, open_bins):
+    """Bin of each piece, and how many bins closed with room: a list of open bins, the one used last at its end."""
+    bins, opened, out, closed = 0, [], [], 0
+    for n in lengths:
+        fitting = [b for b in opened if b[1] >= n]
+        if fitting:
+            least = min(b[1] for b in fitting)
+            mine = [b for b in fitting if b[1] == least][-1]
+            opened.remove(mine)
+        else:
+            if len(opened) == open_bins:
+                least = min(b[1] for b in opened)
+                opened.remove([b for b in opened if b[1] == least][-1])
+                closed += 1
+            mine, bins = [bins, size], bins + 1
+        out.append(mine[0])
+        mine[1] -= n
+        if mine[1]:
+            opened.append(mine)
+    return out, closed
+
+
+@pytest.mark.parametrize("open_bins", [1, 3, 64])
+def test_best_fit_equals_a_plain_one_where_bins_run_out(open_bins):
+    lengths = np.random.default_rng(open_bins).integers(300 if open_bins == 64 else 1, 1025, 4000).tolist()
+    lengths = [n if i % 3 else 1024 + n for i, n in enumerate(lengths)]
+    want, closed = plain_best_fit(lengths, 2048, open_bins)
+    assert closed > 10 and packing.best_fit(lengths, 2048, open_bins)[0] == want
+
+
+def test_pieces_are_packed_in_the_order_of_arrival(spark, scratch):
+    rows = [(i, 0, 0, n, i) for i, n in enumerate([6, 5, 4, 5, 7, 3, 9, 1])]
+    path = str(scratch / "pieces") if not isinstance(scratch, str) else f"{scratch}/pieces"
+    spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long").coalesce(1).write.parquet(path)
+    got = {r.doc_id: r.sequence_id for r in packing.pack(spark.read.parquet(path), sequence=10, open_bins=2).collect()}
+    assert [got[i] for i in range(8)] == packing.best_fit([6, 5, 4, 5, 7, 3, 9, 1], 10, 2)[0]
+
+
 def test_few_sequences_at_scale():
     lengths = sorted(np.random.default_rng(1).integers(1, 2049, 4000).tolist(), reverse=True)
     assert max(packing.best_fit(lengths)[0]) + 1 <= 1.02 * sum(lengths) / 2048
