@@ -1,3 +1,4 @@
+import re
 import zlib
 
 import numpy as np
@@ -207,6 +208,64 @@ def test_site_rules_fit_by_prefix_whatever_the_token_counts(spark):
         assert not any(got[i] for i in range(len(urls), len(got)))
 
 
+def _plain_pattern(pattern, place):
+    """Whether a pattern fits, by a walk over its characters."""
+    text = pattern.lower()
+    names = [0]
+    host = place.split("/")[0]
+    if text.startswith("||"):
+        text, names = text[2:], [0, *[i + 1 for i, c in enumerate(host) if c == "."]]
+    elif text.startswith("|"):
+        text = text[1:]
+    else:
+        names = range(len(place) + 1)
+    last = text.endswith("|")
+    text = text[:-1] if last else text
+    at = set(names)
+    for c in text:
+        if c == "*":
+            at = set(range(min(at), len(place) + 1)) if at else at
+        elif c == "^":
+            at = {i + 1 for i in at if i < len(place) and not re.match("[a-z0-9_.%-]", place[i])} | (at & {len(place)})
+        else:
+            at = {i + 1 for i in at if i < len(place) and place[i] == c}
+    return len(place) in at if last else bool(at)
+
+
+@pytest.mark.parametrize("broadcast_rules", [0, 100_000])
+def test_pattern_tables_match_a_plain_walk(spark, monkeypatch, broadcast_rules):
+    monkeypatch.setattr(urlfilter, "BROADCAST_RULES", broadcast_rules)
+    patterns = ["||ads.example.com^", "||shop^", "/banner/*/img^", "|http", "track", "*.gif|", "||a.b|", "-ad-", "^q^", "|net/x", "/Promo",
+                "||example.com^*^deep^", ".com/x$y", "||org/[a](b)", "ex*le", "|", "||", "", None, "track"]
+    verdicts = [("allow" if i % 4 == 0 else "block") if i % 5 else None for i in range(len(patterns))]
+    urls = ["http://ads.example.com/", "http://bads.example.com/", "http://x.shop", "http://shopping.org/", "http://z.de/banner/1/img/2",
+            "http://z.de/banner/img", "http://track.de/", "http://mytracker.de/", "http://h.de/a.GIF", "http://h.de/a.gif.b", "http://a.b", "http://c.a.b",
+            "http://a.b/", "http://z.de/x-ad-y", "http://z.de/q/", "http://z.de/qq", "http://net/x1", "http://b.net/x", "http://z.de/promo1",
+            "http://www.Example.com/1/deep", "http://z.com/x$y", "http://o.org/[a](b)", "http://o.org/ab", "no scheme", None]
+    frame = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumn("pattern", F.lit(1))
+    table = spark.createDataFrame(list(zip(patterns, verdicts)), "pattern string, verdict string").withColumn("host", F.lit("x"))
+    got = {r.page_id: (r.pattern, r.verdict) for r in urlfilter.judge(frame, sites=[], words=[], patterns=table).collect()}
+    chosen = {}
+    for p, v in zip(patterns, verdicts):
+        if p and p.strip("|"):
+            chosen[p.lower()] = max(chosen.get(p.lower(), ""), v or "block")
+    for i, url in enumerate(urls):
+        place = re.split("[?#]", url.split("://", 1)[1])[0].lower() if url and "://" in url else ""
+        fits = [p for p in chosen if url is not None and _plain_pattern(p, place)]
+        best = max(fits, key=lambda p: (len(p), p), default=None)
+        assert got[i] == (best, chosen[best] if best else "allow"), (url, fits)
+
+
+def test_many_patterns_stay_out_of_the_plan(spark):
+    table = spark.range(50_000).select(F.concat(F.lit("||host"), "id", F.lit(".com^")).alias("pattern"), F.lit("block").alias("verdict"))
+    frame = spark.range(2_000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://www.host"), F.col("id") * 50, F.lit(".com/a")).alias("url"))
+    judged = urlfilter.judge(frame, sites=[], patterns=table)
+    assert len(judged._jdf.queryExecution().optimizedPlan().toString()) < 100_000
+    assert judged.where("verdict = 'block' and pattern = concat('||host', page_id * 50, '.com^')").count() == 1_000
+    empty = urlfilter.judge(frame, sites=[], words=[], patterns=table.limit(0))
+    assert empty.where("verdict = 'allow'").count() == 2_000
+
+
 @pytest.mark.parametrize("broadcast_rows", [0, 1_000_000])
 def test_decontamination_matches_brute_force(spark, broadcast_rows):
     rng = np.random.default_rng(6)
