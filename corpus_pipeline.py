@@ -14,6 +14,11 @@ the next stage's documents. All but the last return the columns of
    repeats keeps its text as it is;
 4. benchmark decontamination: documents that contain a test item go;
 5. best-fit packing: pieces of at most 2048 tokens with their sequences.
+
+Cases: a null or empty text is a document without lines and words (stage 1 scores it
+like any other; those that stay form one group in stage 2); very long texts
+are read whole in every stage; rows equal in id and text are one document after stage 2;
+columns beyond those of ``documents`` are dropped; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,8 +39,9 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # rows are told apart by their key, so that repeated ids don't keep one another
-    keyed = docs.select(*COLUMNS, F.xxhash64("doc_id", "text").alias("__row"))
+    # rows are told apart by 128 bits of id and text, so that repeated ids don't keep one another
+    row = F.struct(F.xxhash64("doc_id", "text").alias("a"), F.xxhash64(F.lit("row"), "text", "doc_id").alias("b"))
+    keyed = docs.select(*COLUMNS, row.alias("__row"))
     ordered = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("__row").alias("row"))
     found = simhash.groups(keyed.select(ordered.alias("doc"), "text"), "doc", "text")
     stay = found.where("doc = component_id").select(F.col("doc.row").alias("__row")).distinct()
