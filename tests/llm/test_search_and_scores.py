@@ -1,12 +1,14 @@
+import math
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from encore.llm import ann, decontaminate, quality, toxicity, urlfilter
-from encore.llm.labelled import held_out, sampled_documents
+from encore.llm.labelled import fit_calibration, held_out, sampled_documents
 from tests.llm import helpers as h
 
 SF = "/root/testdata/sf0.01"
@@ -174,6 +176,74 @@ def test_block_max_index_is_exact():
         assert np.allclose(cosine, want) and np.allclose(all_of[ids], cosine)
 
 
+@pytest.mark.parametrize("dense, block, n", [(0, 16, 300), (7, 4, 300), (40, 16, 300), (256, 16, 9), (3, 64, 30)])
+def test_index_is_exact_in_every_layout(monkeypatch, dense, block, n):
+    monkeypatch.setattr(toxicity, "DENSE", dense)
+    monkeypatch.setattr(toxicity, "BLOCK", block)
+    rng = np.random.default_rng(6)
+    x = np.where(rng.random((n, 40)) < rng.random(40), rng.random((n, 40)), 0)
+    x[n // 2:n // 2 + 3] = x[1]  # ties
+    x[2] = 0
+    x = (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)).astype(np.float32).astype(float)
+    row, term = np.nonzero(x)
+    index = toxicity.Index(np.arange(40, dtype=np.uint64), np.ones(40), n, row, term, x[row, term], np.zeros(n))
+    for q in range(0, n, 3):
+        t = np.flatnonzero(x[q])
+        for skip in (-1, q):
+            cosine = x @ x[q]
+            ids = [i for i in np.lexsort((np.arange(n), -np.round(cosine, 12))) if cosine[i] > 0 and i != skip][:10]
+            got = index.nearest(t, x[q, t], 10, skip=skip)
+            assert got[0].tolist() == ids and np.allclose(got[1], cosine[ids], atol=1e-12)
+
+
+def test_toxicity_matches_a_plain_version(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    docs = docs.unionByName(h.documents(spark, [None, "", "12 34", "Zq", "zq zq ZQ"], [10**6 + i for i in range(5)])
+                            .select([F.col(c) if c in ("doc_id", "text") else F.lit(None).cast(t).alias(c) for c, t in docs.dtypes]))
+    model = toxicity.fit(docs, labels)
+    got = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    words = {r.doc_id: Counter(re.findall(rb"[a-z\x80-\xff]+", (r.text or "").encode().lower())) for r in docs.collect()}
+    known = {r.doc_id: r.toxic for r in labels.collect() if zlib.crc32(str(r.doc_id).encode()) % 5 and r.doc_id in words}
+    ids = sorted(known)
+    n, t = len(ids), sum(known.values())
+    everywhere = Counter(w for c in words.values() for w in c)
+    holding, toxic = Counter(w for i in ids for w in words[i]), Counter(w for i in ids if known[i] for w in words[i])
+    factor = {}
+    for w, a in holding.items():
+        among = a * (n - a) * t * (n - t)
+        found = (toxic[w] * n - a * t) ** 2 / among if among else 0
+        factor[w] = (math.log((1 + len(words)) / (1 + everywhere[w])) + 1) * (found * a / (a + 5) + 1 / n)
+
+    def vector(i):
+        v = {w: (1 + math.log(c)) * factor[w] for w, c in words[i].items() if w in factor}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()}
+
+    vectors = {i: vector(i) for i in words}
+    strangers = (t + 0.5) / (n + 1)
+
+    def vote(i, skip=None):
+        cosine = {j: sum(x * vectors[j].get(w, 0) for w, x in vectors[i].items()) for j in ids if j != skip}
+        near = sorted((j for j in cosine if cosine[j] > 0), key=lambda j: (-round(cosine[j], 6), j))[:10]
+        weight = [1 / (0.05 + max(1 - cosine[j], 0)) for j in near]
+        return [cosine[j] for j in near], (sum(w * known[j] for w, j in zip(weight, near)) + strangers / 1.05) / (sum(weight) + 1 / 1.05)
+
+    slope, shift = fit_calibration(np.array([vote(i, i)[1] for i in ids]), np.array([known[i] for i in ids], float))
+    assert len(got) == len(words) == docs.count() and sum(len(r.nearest) > 0 for r in got.values()) >= 0.95 * len(got)
+    for i in words:
+        cosine, raw = vote(i)
+        assert np.allclose(got[i].cosines, cosine, atol=1e-5)
+        assert abs(got[i].score - 1 / (1 + math.exp(-(slope * raw + shift)))) < 1e-3
+    assert not got[10**6].nearest and not got[10**6 + 2].nearest
+
+
+def test_example_terms_are_bounded(spark):
+    docs = h.documents(spark, [f"word{'abcdefgh'[i % 8]} {'bad' if i % 2 else 'good'} more" for i in range(60)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    assert len(toxicity.fit(docs, labels)["ids"]) == sum(zlib.crc32(str(i).encode()) % 5 > 0 for i in range(60))
+    assert len(toxicity.fit(docs, labels, fit_terms=31)["ids"]) == 11  # three terms each; the row that reaches the bound counts
+
+
 def test_folds_are_crc32(spark):
     got = spark.range(200).select("id", held_out(F.col("id")).alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 5 == 0) for r in got)
