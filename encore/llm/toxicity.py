@@ -24,7 +24,8 @@ are counted over all documents.
 
 Scale: the sample has at most ``fit_rows`` labelled documents, and it ends with
 the document that brings its distinct (document, term) pairs to ``fit_terms``
-(documented bounds), so the index goes with the tasks. Counting and scoring are
+(documented bounds), so the index goes with the tasks; the curve is fitted on at
+most ``fit_votes`` of these examples. Counting and scoring are
 passes over all whole texts without a shuffle of them; counts are added up in
 each task first, and only of terms that some example holds.
 
@@ -44,15 +45,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from encore.llm import wordhash as wh
-from encore.llm.common import byte_buffer, pieces, shuffle_partitions, written
+from encore.llm.common import byte_buffer, pieces, written
 from encore.llm.labelled import fit_calibration, held_out, logistic, sampled_documents
 
 FIT_ROWS = 20_000
 FIT_TERMS = 8_000_000
+FIT_VOTES = 4000
 SHRINK = 5
 NEIGHBOURS = 10
 BLOCK = 16
-DENSE = 256
+DENSE = 128
 # more than single precision can be off in a sum of products of unit vectors
 ROUNDING = 1e-4
 THRESHOLD = 0.5
@@ -108,7 +110,7 @@ class Index:
         place[self.example] = np.arange(n_examples, dtype=np.int32)
         place, weight = place[row], weight.astype(np.float32)
         common = np.argsort(-np.bincount(term, minlength=len(terms)), kind="stable")[:DENSE]
-        self.column = np.full(len(terms), -1, np.int32)
+        self.column = np.full(len(terms), -1, np.int16)
         self.column[common] = np.arange(len(common))
         own = self.column[term]
         self.dense = np.zeros((self.blocks * BLOCK, len(common)), np.float32)
@@ -116,7 +118,8 @@ class Index:
         self.most = self.dense.reshape(self.blocks, BLOCK, -1).max(1).T.astype(np.float64)
         place, term, weight = place[own < 0], term[own < 0], weight[own < 0]
         order = np.lexsort((place, term))
-        self.place, self.weight = place[order], weight[order]
+        # numbers as narrow as they may be: the index goes to every executor
+        self.place, self.weight = place[order].astype(np.min_scalar_type(self.blocks * BLOCK)), weight[order]
         self.begin = np.searchsorted(term[order], np.arange(len(terms) + 1)).astype(np.int32)
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
@@ -172,7 +175,7 @@ def _vote(cosine: np.ndarray, label: np.ndarray, strangers: float) -> float:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", *,
-        fit_rows: int = FIT_ROWS, fit_terms: int = FIT_TERMS, neighbours: int = NEIGHBOURS) -> dict:
+        fit_rows: int = FIT_ROWS, fit_terms: int = FIT_TERMS, fit_votes: int = FIT_VOTES, neighbours: int = NEIGHBOURS) -> dict:
     """Term weights, example index and calibration."""
     def example_terms(batches):
         for batch in batches:
@@ -207,29 +210,17 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
         np.bincount(at, minlength=len(terms)), np.bincount(at, y[row], minlength=len(terms)), n, t)
     row, at, weight = _vectors(terms, factor, row, term, count)
     index = Index(terms, factor, n, row, at, weight, y)
-    keys = table["key"].to_numpy()
-    by_key = np.argsort(keys)
     strangers = (t + 0.5) / (n + 1)
-
-    def own_votes(batches):
-        for batch in batches:
-            place = by_key[np.searchsorted(keys, np.asarray(batch.column(0)), sorter=by_key)]
-            votes = np.full(len(place), strangers)
-            size = np.asarray(batch.column(1).value_lengths())
-            row, at, weight = _vectors(terms, factor, np.repeat(np.arange(len(place)), size),
-                                       np.asarray(batch.column(1).flatten()).view(np.uint64), np.asarray(batch.column(2).flatten()))
-            cut = np.flatnonzero(np.diff(row, prepend=-1, append=-2))
-            for lo, hi in zip(cut[:-1], cut[1:]):
-                found, cosine = index.nearest(at[lo:hi], weight[lo:hi], neighbours, skip=place[row[lo]])
-                votes[row[lo]] = _vote(cosine, y[found], strangers)
-            yield pa.RecordBatch.from_pydict({"place": pa.array(place, pa.int64()), "vote": pa.array(votes)})
-
-    spread = examples.select("key", "terms", "counts").repartition(shuffle_partitions(docs.sparkSession), "key")
-    votes = spread.mapInArrow(own_votes, "place long, vote double").toArrow()
-    raw = np.full(n, strangers)
-    raw[votes["place"].to_numpy()] = votes["vote"].to_numpy()
+    # the curve has two numbers: the votes of fit_votes examples, by the hash of their ids, settle it
+    judged = np.sort(np.argsort(table["key"].to_numpy(), kind="stable")[:fit_votes])
+    raw = np.full(len(judged), strangers)
+    first, last = np.searchsorted(row, judged), np.searchsorted(row, judged, "right")
+    for i, (r, lo, hi) in enumerate(zip(judged, first, last)):
+        if hi > lo:
+            found, cosine = index.nearest(at[lo:hi], weight[lo:hi], neighbours, skip=r)
+            raw[i] = _vote(cosine, y[found], strangers)
     return {"index": index, "ids": table["example"].to_numpy(), "strangers": strangers, "k": neighbours,
-            "curve": fit_calibration(raw, y)}
+            "curve": fit_calibration(raw, y[judged])}
 
 
 def evidence(holding: np.ndarray, toxic: np.ndarray, n: int, t: float) -> np.ndarray:
