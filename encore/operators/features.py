@@ -1,8 +1,8 @@
 """Track metadata (landed service rows) and behavioural features per track.
 
-Features aggregate the fact by (track, day), then (track, year), then track, so the
-distinct-day count needs no Expand and a new year leaves the others' sums as they
-are; durations join at track grain.
+Features aggregate the fact by (track, year), then track, so a new year leaves the
+others' sums as they are; a year's active days are a set of 366 bits, which needs
+neither an Expand nor a shuffle of its own. Durations join at track grain.
 """
 
 from __future__ import annotations
@@ -60,15 +60,23 @@ def completion(total_ms, plays, duration_ms):
 YEAR_SUMS = ["n", "ms", "minutes", "skipped", "shuffle", "days"]
 
 
+# The days of a year as bits of six numbers.
+DAY_WORDS, DAY_BITS = 6, 61
+
+
 def track_years(plays: DataFrame) -> DataFrame:
     """Sums per (track, year), active days among them: a day lies in one year, so years
-    add up. The fact is aggregated to (track, date) first, so a hot track collapses
-    map-side and the active days need no distinct count."""
-    by_day = plays.groupBy("track_id", "date").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("ms_played").alias("ms"), exact_sum("minutes_played").alias("minutes"),
-        *[F.sum(F.col(c).cast("int")).alias(c) for c in ("skipped", "shuffle")])
-    return by_day.groupBy("track_id", F.year("date").alias("year")).agg(
-        *[F.sum(c).alias(c) for c in YEAR_SUMS if c != "days"], F.count("date").alias("days"))
+    add up. One aggregate: a hot track collapses map-side, its days to six numbers."""
+    day = F.dayofyear("date") - 1
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), day % DAY_BITS)
+    words = [f"_days{i}" for i in range(DAY_WORDS)]
+    sums = plays.groupBy("track_id", F.year("date").alias("year")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("ms_played").alias("ms"),
+        exact_sum("minutes_played").cast("decimal(38,2)").alias("minutes"),
+        *[F.sum(F.col(c).cast("int")).alias(c) for c in ("skipped", "shuffle")],
+        *[F.bit_or(F.when(F.floor(day / DAY_BITS) == i, bit).otherwise(0)).alias(w) for i, w in enumerate(words)])
+    days = sum((F.bit_count(w) for w in words[1:]), F.bit_count(words[0])).cast("long")
+    return sums.select("track_id", "year", *YEAR_SUMS[:-1], F.coalesce(days, F.lit(0).cast("long")).alias("days"))
 
 
 def track_features(plays: DataFrame, api: DataFrame) -> DataFrame:

@@ -21,6 +21,7 @@ column is still split across partitions as long as the full order is total.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Window
@@ -34,7 +35,10 @@ PART, SEQ = "_part", "_seq"
 # partition, so the partition count — and the written file count — grows with
 # the data instead of staying at the shuffle-partition setting.
 RANGE_BYTES_KEY = "encore.range.inputBytesPerPartition"
-RANGE_BYTES_DEFAULT = 128 * 1024 * 1024
+RANGE_BYTES_DEFAULT = 32 * 1024 * 1024
+# Plays per range partition once they are written and so known: columnar input may hold
+# several millions in RANGE_BYTES. So many are sorted in memory, without spilling.
+RANGE_ROWS = 400_000
 # Spark's size of a leaf without an estimate, and what a row of one counts as
 UNKNOWN_BYTES = 2 ** 63 - 1
 ROW_BYTES = 256
@@ -65,6 +69,11 @@ def range_partitions(df: DataFrame) -> int:
     return int(max(cores(spark), by_size))
 
 
+def partitions_of(written: DataFrame, partitions: int) -> int:
+    """``partitions``, or more where a written table has over ``RANGE_ROWS`` rows for each."""
+    return max(partitions, -(-written.count() // RANGE_ROWS))
+
+
 @contextmanager
 def sized_shuffles(spark, partitions: int):
     """Shuffles inside take at least ``partitions`` (AQE merges small ones, but
@@ -83,22 +92,25 @@ def _order_exprs(order: list) -> list[Column]:
 
 
 def write_ranged(df: DataFrame, order: list, path: str, num_partitions: int | None = None,
-                 partition_by: list[str] | None = None) -> DataFrame:
+                 partition_by: list[str] | None = None, within: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Steps 1-2: write ``df`` range-partitioned and sorted, tagged with position.
 
     Without an explicit count, one range partition per core (dimensions). With
-    ``partition_by`` the files lie in folders by these columns, each in order."""
+    ``partition_by`` the files lie in folders by these columns, each in order.
+    ``within`` is applied to the ranges before they are sorted: rows equal in ``order``
+    share one, so grouping by these columns needs no shuffle of its own."""
     spark = df.sparkSession
     n = num_partitions or cores(spark)
     exprs = _order_exprs(order)
     pid = F.spark_partition_id()
-    tagged = (df.repartitionByRange(n, *exprs)
+    ranges = df.repartitionByRange(n, *exprs)
+    tagged = ((within(ranges) if within else ranges)
                 .sortWithinPartitions(*exprs)
                 .withColumn(PART, pid)
                 .withColumn(SEQ, F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)))
     if partition_by:  # as the writer wants it: else it would sort by the folders alone, and lose the order in them
         tagged = tagged.sortWithinPartitions(*partition_by, SEQ)
-    tagged.write.mode("overwrite").parquet(path, partitionBy=partition_by)
+    tagged.write.mode("overwrite").parquet(path, partitionBy=partition_by, compression="zstd")
     return spark.read.schema(tagged.schema).parquet(path).select(*tagged.columns)
 
 

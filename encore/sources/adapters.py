@@ -58,13 +58,17 @@ def raw_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = (t("customer").select("c_custkey", "c_nationkey")
                  .join(F.broadcast(nation_country), F.col("c_nationkey") == F.col("n_nationkey"))
                  .select("c_custkey", "conn_country"))
-    orders = t("orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    # the customers meet the orders, not the lines, and a line is cut to what its play
+    # needs: the lines are shuffled twice, by order and by part
+    orders = (t("orders").select("o_orderkey", "o_custkey", "o_orderdate")
+              .join(customers, F.col("o_custkey") == F.col("c_custkey"))
+              .select("o_orderkey", "o_orderdate", "conn_country"))
     parts = t("part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    li = t("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                              "l_quantity", "l_tax", "l_returnflag", "l_linestatus")
+    li = t("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                              (F.col("l_tax") >= 0.04).alias("taxed"), (F.col("l_tax") == 0).alias("untaxed"),
+                              (F.col("l_returnflag") == "R").alias("returned"), (F.col("l_linestatus") == "O").alias("open"))
     j = (li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-           .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-           .join(customers, F.col("o_custkey") == F.col("c_custkey")))
+           .join(parts, F.col("l_partkey") == F.col("p_partkey")))
 
     ln, pk, sk = F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")
     hours = ((ln * 3 + sk) % 24).cast("int")
@@ -93,12 +97,12 @@ def raw_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_type").alias("master_metadata_album_album_name"),
         F.concat(F.lit(URI_PREFIX), (pk * 3 + sk % 3).cast("string")).alias("spotify_track_uri"),
         F.when(ln <= 3, "trackdone").otherwise("clickrow").alias("reason_start"),
-        F.when(F.col("l_returnflag") == "R", "fwdbtn").otherwise("trackdone").alias("reason_end"),
+        F.when(F.col("returned"), "fwdbtn").otherwise("trackdone").alias("reason_end"),
         # flags as texts of JSON values: true and false, 1 and 0
-        F.when(F.col("l_linestatus") == "O", (F.col("l_tax") >= 0.04).cast("string")).alias("shuffle"),
-        F.when(ln % 2 == 0, (F.col("l_returnflag") == "R").cast("string"))
-         .otherwise((F.col("l_returnflag") == "R").cast("int").cast("string")).alias("skipped"),
-        F.when(F.col("l_tax") == 0, F.lit("true")).alias("offline"),
+        F.when(F.col("open"), F.col("taxed").cast("string")).alias("shuffle"),
+        F.when(ln % 2 == 0, F.col("returned").cast("string"))
+         .otherwise(F.col("returned").cast("int").cast("string")).alias("skipped"),
+        F.when(F.col("untaxed"), F.lit("true")).alias("offline"),
         F.lit(None).cast("string").alias("incognito_mode"),
         F.explode(F.sequence(F.lit(1), F.when(pk % 97 == 0, 2).otherwise(1))).alias("_copy"),
     )

@@ -1,0 +1,49 @@
+"""What the build shuffles: one ranged shuffle of the plays, ranges by rows, active days without a shuffle."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from encore.operators import clean as clean_op
+from encore.operators import features, keys
+from tests.rows import play, raw_df
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+
+def test_copies_are_removed_in_their_range(spark, scratch):
+    rows = [play("2024-01-01T00:00:0%dZ" % (i % 4), 60000, "T", "A", None if i % 2 else "x:track:1") for i in range(40)]
+    long = clean_op.CountedClean(raw_df(spark, rows)).rows
+    order = [F.col(c).asc_nulls_last() for c in clean_op.PLAY_ORDER]
+    assert exchanges(clean_op.deduplicated(long.repartitionByRange(3, *order)).sortWithinPartitions(*order)) == 1
+    ranged = keys.write_ranged(long, clean_op.PLAY_ORDER, scratch, 3, ["year"], within=clean_op.deduplicated)
+    want = clean_op.clean_plays(raw_df(spark, rows)).collect()
+    assert sorted(map(str, ranged.select(*clean_op.CLEAN_COLUMNS).collect())) == sorted(map(str, want))
+    assert sorted(r[0] for r in ranged.select(clean_op.COPIES).collect()) == [10, 10, 10, 10]
+
+
+def test_ranges_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(keys, "RANGE_ROWS", 100)
+    assert [keys.partitions_of(spark.range(1050), n) for n in (4, 20)] == [11, 20]
+
+
+def test_rows_are_counted_by_the_written_rows(spark, scratch):
+    rows = [play("2024-01-01T00:00:00Z", 60000, "T", "A", "x:track:1")] * 3 + [play("2024-01-01T00:00:00Z", 60000, None, "A", None)]
+    counted = clean_op.CountedClean(raw_df(spark, rows))
+    counted.rows.write.parquet(scratch)
+    found = counted.counts(spark.read.parquet(scratch)).first()
+    assert (found["raw_rows"], found["music_rows"]) == (4, 3)
+
+
+def test_active_days_are_counted_in_one_shuffle(spark):
+    days = [dt.date(2024, 1, 1), dt.date(2024, 3, 1), dt.date(2024, 3, 2), dt.date(2024, 12, 31), dt.date(2023, 12, 31), None]
+    leap = [dt.date(2024, 1, 1) + dt.timedelta(i) for i in range(366)]
+    rows = [(1, d, 6000, 0.1, True, False) for d in days for _ in range(2)] + [(2, d, 6000, 0.1, False, True) for d in leap]
+    plays = spark.createDataFrame(rows, "track_id long, date date, ms_played long, minutes_played double, skipped boolean, shuffle boolean")
+    years = features.track_years(plays)
+    assert exchanges(years) == 1
+    got = {(r.track_id, r.year): (r.n, r.days, r.skipped, r.shuffle, r.ms) for r in years.collect()}
+    assert got == {(1, 2024): (8, 4, 8, 0, 48000), (1, 2023): (2, 1, 2, 0, 12000), (1, None): (2, 0, 2, 0, 12000),
+                   (2, 2024): (366, 366, 0, 366, 366 * 6000)}
