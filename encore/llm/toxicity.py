@@ -9,11 +9,10 @@ common prose decide: held-out toxic documents found fall from nine in ten to
 four in ten. No term is left out, so a document finds its neighbours by its
 plain words where it has no telling ones.
 
-The examples lie in an inverted index, in blocks of examples of like length. The
-lists of rare words are added up in full; each common word knows its largest
-weight in each block, which bounds what it can add there. The examples with the
-best bounds are scored first, and of the others only those whose bound reaches
-the k-th cosine so found. The nearest examples vote
+The examples lie in an inverted index. The lists of rare words are added up per
+document; those of common words are rows of a matrix, and one product gives what
+they add to all cosines of a batch of documents, in single precision. Whatever comes
+near the k-th cosine so found is computed again in double. The nearest examples vote
 with weights that fall with their distance; one more vote, at the distance of
 strangers, is the toxic rate of the sample. A logistic curve, fitted on the
 examples' own leave-one-out votes, makes the vote a probability, and the
@@ -38,6 +37,8 @@ gives an empty result.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -53,8 +54,9 @@ FIT_TERMS = 8_000_000
 FIT_VOTES = 4000
 SHRINK = 5
 NEIGHBOURS = 10
-BLOCK = 16
-DENSE = 128
+# queries multiplied at once
+BLOCK = 128
+DENSE = 512
 # more than single precision can be off in a sum of products of unit vectors
 ROUNDING = 1e-4
 THRESHOLD = 0.5
@@ -97,75 +99,82 @@ def _spans(first: np.ndarray, last: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """Examples' vectors as an inverted index with block maxima. The ``DENSE`` longest
-    lists, of common words, are kept as columns with a maximum per block; the
-    others as postings."""
+    """Examples' vectors as an inverted index: per term a list of examples and weights.
+    The ``DENSE`` longest lists, of common words, are also rows of a matrix, ``dense``."""
 
     def __init__(self, terms: np.ndarray, factor: np.ndarray, n_examples: int, row, term, weight, labels):
-        self.terms, self.factor, self.labels = terms, factor, labels
-        self.blocks = -(-n_examples // BLOCK)
-        # documents of like length share blocks: their weights are alike, which keeps the maxima low
-        self.example = np.argsort(np.bincount(row, minlength=n_examples), kind="stable")
-        place = np.empty(n_examples, np.int32)
-        place[self.example] = np.arange(n_examples, dtype=np.int32)
-        place, weight = place[row], weight.astype(np.float32)
-        common = np.argsort(-np.bincount(term, minlength=len(terms)), kind="stable")[:DENSE]
-        self.column = np.full(len(terms), -1, np.int16)
-        self.column[common] = np.arange(len(common))
-        own = self.column[term]
-        self.dense = np.zeros((self.blocks * BLOCK, len(common)), np.float32)
-        self.dense[place[own >= 0], own[own >= 0]] = weight[own >= 0]
-        self.most = self.dense.reshape(self.blocks, BLOCK, -1).max(1).T.astype(np.float64)
-        place, term, weight = place[own < 0], term[own < 0], weight[own < 0]
-        order = np.lexsort((place, term))
+        self.terms, self.factor, self.labels, self.examples = terms, factor, labels, n_examples
         # numbers as narrow as they may be: the index goes to every executor
-        self.place, self.weight = place[order].astype(np.min_scalar_type(self.blocks * BLOCK)), weight[order]
-        self.begin = np.searchsorted(term[order], np.arange(len(terms) + 1)).astype(np.int32)
+        order = np.lexsort((row, term))
+        self.place, self.weight = row.astype(np.min_scalar_type(n_examples))[order], weight.astype(np.float32, copy=False)[order]
+        self.begin = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(terms)))]).astype(np.int32)
+        self.common = np.argsort(-np.diff(self.begin), kind="stable")[:DENSE].astype(np.int32)
+        self.column = np.full(len(terms), len(self.common), np.int16)
+        self.column[self.common] = np.arange(len(self.common))
+
+    @cached_property
+    def dense(self) -> np.ndarray:
+        matrix = np.zeros((len(self.common), self.examples), np.float32)
+        for weights, lo, hi in zip(matrix, self.begin[self.common], self.begin[self.common + 1]):
+            weights[self.place[lo:hi]] = self.weight[lo:hi]
+        return matrix
+
+    def __getstate__(self) -> dict:
+        """Without the matrix, which every process makes from the lists."""
+        return {name: value for name, value in vars(self).items() if name != "dense"}
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k nearest examples that share a term, and their cosines."""
-        column = self.column[term]
-        listed, common = column < 0, column[column >= 0]
+        return self.nearest_of_each(term, weight, np.array([0, len(term)]), k, np.array([skip]))[0]
+
+    def nearest_of_each(self, term: np.ndarray, weight: np.ndarray, cut: np.ndarray, k: int,
+                        skip: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` of several queries: query i has the terms from ``cut[i]`` to ``cut[i + 1]``."""
+        column, found = self.column[term], []
+        query = np.repeat(np.arange(len(cut) - 1), np.diff(cut))
+        for lo in range(0, len(cut) - 1, BLOCK):
+            hi = min(lo + BLOCK, len(cut) - 1)
+            own = cut[lo] + np.flatnonzero(column[cut[lo]:cut[hi]] < len(self.common))
+            factors = np.zeros((hi - lo, len(self.common)), np.float32)
+            factors[query[own] - lo, column[own]] = weight[own]
+            for i, near in zip(range(lo, hi), factors @ self.dense):
+                at = slice(cut[i], cut[i + 1])
+                found.append(self._nearest(near, term[at], weight[at], column[at], k, -1 if skip is None else skip[i]))
+        return found
+
+    def _nearest(self, near: np.ndarray, term, weight, column, k: int, skip: int) -> tuple[np.ndarray, np.ndarray]:
+        """The nearest of one query; ``near`` holds what its common words add to each cosine, in single precision."""
+        listed = column == len(self.common)
         first, last = self.begin[term[listed]], self.begin[term[listed] + 1]
         posting = _spans(first, last)
         score = np.bincount(self.place[posting], np.repeat(weight[listed], last - first) * self.weight[posting],
-                            minlength=self.blocks * BLOCK).astype(np.float64)
-        rest = weight[~listed]
-        bound = (score.reshape(self.blocks, BLOCK) + (rest @ self.most[common])[:, None]).ravel()
-
-        query = np.zeros(self.dense.shape[1], np.float32)
-        query[common] = rest
-
-        def rough(place: np.ndarray) -> np.ndarray:
-            parts = [self.dense[place[lo:lo + 512]] @ query for lo in range(0, len(place), 512)]
-            return score[place] + np.concatenate(parts) if parts else np.empty(0)
-
-        # the most promising first; what cannot reach the k-th of these is never scored
-        seed = np.argpartition(-bound, min(4 * k, len(bound) - 1))[:4 * k]
-        near = rough(seed)
-        more = np.empty(0, np.int64)
-        if len(seed) > k:
-            bound[seed] = 0
-            more = np.flatnonzero((bound > 0) & (bound >= np.partition(near, -k - 1)[-k - 1] - ROUNDING))
-        place, near = np.concatenate([seed, more]), np.concatenate([near, rough(more)])
-        if len(place) > k:
-            place = place[near >= np.partition(near, -k - 1)[-k - 1] - ROUNDING]
-        cosine = score[place] + (self.dense[place][:, common] * rest).sum(1)
-        found = self.example[np.minimum(place, len(self.example) - 1)]
-        own = (cosine > 0) & (found != skip)
-        found, cosine = found[own], cosine[own]
-        best = np.lexsort((found, -np.round(cosine, 12)))[:k]
-        return found[best], cosine[best]
+                            minlength=self.examples)
+        near += score
+        # exact cosines of all that may be among the nearest
+        least = np.partition(near, -k - 1)[-k - 1] - ROUNDING if len(near) > k else 0
+        place = np.flatnonzero((near >= least) & (near > 0))
+        cosine = score[place] + (self.dense[np.ix_(column[~listed], place)] * weight[~listed, None]).sum(0)
+        place, cosine = place[place != skip], cosine[place != skip]
+        best = np.lexsort((place, -np.round(cosine, 12)))[:k]
+        return place[best], cosine[best]
 
 
 def _vectors(terms: np.ndarray, factor: np.ndarray, row: np.ndarray, term: np.ndarray, count: np.ndarray):
     """Unit vectors of distinct (row, term) pairs over the examples' terms: row, term number, weight."""
     at = np.minimum(np.searchsorted(terms, term), max(len(terms) - 1, 0))
     own = np.flatnonzero(terms[at] == term) if len(terms) else np.empty(0, np.int64)
-    row, at, count = row[own], at[own], count[own]
-    weight = (1 + np.log(count)) * factor[at]
+    row, at = row[own], at[own]
+    return row, at, _unit(factor, row, at, count[own])
+
+
+def _unit(factor: np.ndarray, row: np.ndarray, at: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Weights of the rows' terms, each row's of norm 1."""
+    weight = np.log(count)
+    weight += 1
+    weight *= factor[at]
     norm = np.sqrt(np.bincount(row, weight ** 2, minlength=row.max() + 1 if len(row) else 0))
-    return row, at, weight / np.maximum(norm[row], 1e-12)
+    weight /= np.maximum(norm, 1e-12)[row]
+    return weight
 
 
 def _vote(cosine: np.ndarray, label: np.ndarray, strangers: float) -> float:
@@ -198,28 +207,37 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str =
     examples = examples.join(F.broadcast(chosen), "key", "left_semi")
     table = examples.select("key", "example", "label", "terms", "counts").toArrow().combine_chunks().sort_by(
         [("example", "ascending"), ("key", "ascending")])
-    y = table["label"].to_numpy().astype(float)
+    y, key, ids = (table[c].to_numpy() for c in ("label", "key", "example"))
+    y = y.astype(float)
     n, t = len(y), float(y.sum())
     if n == 0 or t == 0 or t == n:
         return {"constant": 0.5 if n == 0 else min(max(t / n, 0.02), 0.98)}
-    row = np.repeat(np.arange(n, dtype=np.int32), pc.list_value_length(table["terms"]).to_numpy())
-    term = pc.list_flatten(table["terms"]).to_numpy().view(np.uint64)
-    count = pc.list_flatten(table["counts"]).to_numpy()
-    terms, at = np.unique(term, return_inverse=True)
+    first = np.concatenate([[0], np.cumsum(pc.list_value_length(table["terms"]).to_numpy())])
+    row = np.repeat(np.arange(n, dtype=np.int32), np.diff(first))
+    term, count = pc.list_flatten(table["terms"]).to_numpy().view(np.uint64), pc.list_flatten(table["counts"]).to_numpy()
+    terms = np.unique(term)
+    at = np.empty(len(term), np.int32)
+    # by parts, and without what is no longer needed: the driver's memory is small
+    for lo in range(0, len(term), 1 << 20):
+        at[lo:lo + (1 << 20)] = np.searchsorted(terms, term[lo:lo + (1 << 20)])
+    del table, term
     factor = _inverse_frequencies(docs, text_col, terms) * evidence(
         np.bincount(at, minlength=len(terms)), np.bincount(at, y[row], minlength=len(terms)), n, t)
-    row, at, weight = _vectors(terms, factor, row, term, count)
-    index = Index(terms, factor, n, row, at, weight, y)
+    weight = _unit(factor, row, at, count)
     strangers = (t + 0.5) / (n + 1)
     # the curve has two numbers: the votes of fit_votes examples, by the hash of their ids, settle it
-    judged = np.sort(np.argsort(table["key"].to_numpy(), kind="stable")[:fit_votes])
+    judged = np.sort(np.argsort(key, kind="stable")[:fit_votes])
     raw = np.full(len(judged), strangers)
-    first, last = np.searchsorted(row, judged), np.searchsorted(row, judged, "right")
-    for i, (r, lo, hi) in enumerate(zip(judged, first, last)):
-        if hi > lo:
-            found, cosine = index.nearest(at[lo:hi], weight[lo:hi], neighbours, skip=r)
-            raw[i] = _vote(cosine, y[found], strangers)
-    return {"index": index, "ids": table["example"].to_numpy(), "strangers": strangers, "k": neighbours,
+    own = _spans(first[judged], first[judged + 1])
+    cut = np.concatenate([[0], np.cumsum(first[judged + 1] - first[judged])])
+    judged_at, judged_weight, weight = at[own], weight[own], weight.astype(np.float32)
+    del count, own
+    index = Index(terms, factor, n, row, at, weight, y)
+    del row, at, weight
+    for i, (found, cosine) in enumerate(index.nearest_of_each(judged_at, judged_weight, cut, neighbours, judged)):
+        raw[i] = _vote(cosine, y[found], strangers)
+    vars(index).pop("dense", None)
+    return {"index": index, "ids": ids, "strangers": strangers, "k": neighbours,
             "curve": fit_calibration(raw, y[judged])}
 
 
@@ -266,12 +284,15 @@ def score_batch(model: dict, column) -> tuple[list[float], list[np.ndarray], lis
     for a, b, data, offsets in _text_pieces(column):
         row, at, weight = _vectors(index.terms, index.factor, *_counted(*_terms(data, offsets)))
         cut = np.flatnonzero(np.diff(row, prepend=-1, append=-2))
-        for lo, hi in zip(cut[:-1], cut[1:]):
-            key = at[lo:hi].tobytes() + weight[lo:hi].tobytes()
-            if key not in known:
-                found, cosine = index.nearest(at[lo:hi], weight[lo:hi], k)
-                vote = _vote(cosine, index.labels[found], model["strangers"])
-                known[key] = (logistic(np.array(slope * vote + shift)).item(), model["ids"][found], cosine)
+        keys = [at[lo:hi].tobytes() + weight[lo:hi].tobytes() for lo, hi in zip(cut[:-1], cut[1:])]
+        new = {key: i for i, key in enumerate(keys) if key not in known}
+        first, last = cut[list(new.values())], cut[[i + 1 for i in new.values()]]
+        own = _spans(first, last)
+        each = index.nearest_of_each(at[own], weight[own], np.concatenate([[0], np.cumsum(last - first)]), k) if new else []
+        for key, (found, cosine) in zip(new, each):
+            vote = _vote(cosine, index.labels[found], model["strangers"])
+            known[key] = (logistic(np.array(slope * vote + shift)).item(), model["ids"][found], cosine)
+        for lo, key in zip(cut, keys):
             r = a + row[lo]
             scores[r], ids[r], cosines[r] = known[key]
     return scores, ids, cosines

@@ -1,13 +1,16 @@
 import math
+import pickle
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from encore.llm import ann, decontaminate, quality, toxicity, urlfilter
+from encore.llm.common import byte_buffer
 from encore.llm.labelled import fit_calibration, held_out, sampled_documents
 from tests.llm import helpers as h
 
@@ -196,6 +199,36 @@ def test_index_is_exact_in_every_layout(monkeypatch, dense, block, n):
             assert got[0].tolist() == ids and np.allclose(got[1], cosine[ids], atol=1e-12)
 
 
+def test_texts_are_searched_in_batches(monkeypatch):
+    rng = np.random.default_rng(8)
+    words = ["".join(chr(97 + int(c)) for c in rng.integers(0, 26, 4)) for _ in range(120)]
+    texts = [" ".join(words[int(w)] for w in np.minimum(rng.zipf(1.3, 12), 120) - 1) for _ in range(90)]
+    row, term, count = toxicity._counted(*toxicity._terms(*byte_buffer(pa.array(texts[:60]))))
+    terms = np.unique(term)
+    factor = rng.random(len(terms)) + 0.5
+    monkeypatch.setattr(toxicity, "DENSE", 9)
+    monkeypatch.setattr(toxicity, "BLOCK", 7)
+    index = toxicity.Index(terms, factor, 60, *toxicity._vectors(terms, factor, row, term, count), np.arange(60) % 2)
+    calls = []
+    whole = toxicity.Index.nearest_of_each
+    monkeypatch.setattr(toxicity.Index, "nearest_of_each", lambda self, term, weight, cut, *more: calls.append(len(cut) - 1) or whole(self, term, weight, cut, *more))
+    index.nearest(np.array([0]), np.array([1.0]), 10)
+    assert "dense" in vars(index)
+    model = {"index": pickle.loads(pickle.dumps(index)), "ids": np.arange(60), "strangers": 0.4, "k": 10, "curve": (3.0, -1.0)}
+    assert "dense" not in vars(model["index"])  # the matrix does not go with the tasks
+    calls.clear()
+    found = toxicity.score_batch(model, pa.array([*texts, None, "", "zzzzz", texts[3], texts[80]]))
+    assert calls == [len({tuple(sorted(Counter(t.split()).items())) for t in texts})]  # one call, each text once
+    dense = np.zeros((95, len(terms)))
+    row, at, weight = toxicity._vectors(terms, factor, *toxicity._counted(*toxicity._terms(*byte_buffer(pa.array([*texts, "", "", "", texts[3], texts[80]])))))
+    dense[row, at] = weight
+    for i, cosine in enumerate(dense @ dense[:60].astype(np.float32).astype(float).T):
+        want = [j for j in np.lexsort((np.arange(60), -np.round(cosine, 12))) if cosine[j] > 0][:10]
+        assert found[1][i].tolist() == want and np.allclose(found[2][i], cosine[want], atol=1e-12)
+        vote = toxicity._vote(cosine[want], index.labels[want], 0.4)
+        assert abs(found[0][i] - 1 / (1 + math.exp(1 - 3 * vote))) < 1e-9
+
+
 def test_toxicity_matches_a_plain_version(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
     docs = docs.unionByName(h.documents(spark, [None, "", "12 34", "Zq", "zq zq ZQ"], [10**6 + i for i in range(5)])
